@@ -1,0 +1,5 @@
+"""Nothing here on purpose: every job of this engine is a scheduled batch.
+
+The closed-candle filter, latest-ingestion-wins and the history merge cover what a
+re-run needs; no watermark, window state or late-data handling is part of the data model.
+"""
