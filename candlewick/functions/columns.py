@@ -16,7 +16,8 @@ def growth(now: Column, before: Column) -> Column:
 
 
 def floored_ln(value: Column) -> Column:
-    return F.ln(F.greatest(value, F.lit(LOG_FLOOR)))
+    """Natural logarithm with a floor under the value; NULL stays NULL."""
+    return F.ln(F.when(value < LOG_FLOOR, LOG_FLOOR).otherwise(value))
 
 
 def or_zero(value: Column) -> Column:

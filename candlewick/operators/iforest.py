@@ -174,7 +174,9 @@ def _grow(values: np.ndarray, limit: int, rng: np.random.Generator) -> dict[str,
             entry = (*entry[:5], depth + float(_expected_path(np.array([len(members)]))[0]))
         else:
             feature = int(rng.choice(varying))
-            threshold = float(rng.uniform(low[feature], high[feature]))
+            # Rounding may return the upper end of a tiny interval; keep it on the right.
+            highest = np.nextafter(high[feature], low[feature])
+            threshold = float(min(rng.uniform(low[feature], high[feature]), highest))
             goes_left = points[:, feature] <= threshold
             entry = (node, feature, threshold, len(pending), len(pending) + 1, 0.0)
             pending.append((members[goes_left], depth + 1))
