@@ -225,7 +225,7 @@ def _mart(body: str, bars: str = EVENT_BARS) -> str:
 ALL_MART = f"""
 SELECT {MART_COLUMNS}, round(daily_return, 8) AS daily_return,
   round(volatility_7d, 8) AS volatility_7d, round(volatility_30d, 8) AS volatility_30d,
-  round(avg_quote_volume_30d, 4) AS avg_quote_volume_30d
+  round(avg_quote_volume_30d + 1e-7, 4) AS avg_quote_volume_30d
 FROM mart"""
 ALL_FEATURES = """
 SELECT symbol, open_time_ms, round(return_1d, 6) AS return_1d, round(log_volume, 6) AS log_volume,
@@ -243,7 +243,7 @@ ALL_MERGED = f"""
 SELECT {MART_COLUMNS.replace("close,", "round(close, 4) AS close,")},
   round(daily_return, 8) AS daily_return,
   round(volatility_7d, 8) AS volatility_7d, round(volatility_30d, 8) AS volatility_30d,
-  round(avg_quote_volume_30d, 4) AS avg_quote_volume_30d
+  round(avg_quote_volume_30d + 1e-7, 4) AS avg_quote_volume_30d
 FROM merged"""
 KLINE_COLUMNS = f"""symbol, open_time_ms, open, high, low, close, volume,
   open_time_ms + {DAY_MS} - 1 AS close_time_ms, quote_volume, trade_count,
@@ -528,7 +528,7 @@ FROM mart WHERE symbol = 'click' ORDER BY trade_date DESC LIMIT 1"""
         f"""SELECT symbol, '/symbols/' || symbol AS symbol_link, {_last('close')} AS last_close,
   round({_last('daily_return')}, 8) AS last_daily_return,
   round({_last('volatility_30d')}, 8) AS volatility_30d,
-  round({_last('avg_quote_volume_30d')}, 4) AS avg_quote_volume_30d,
+  round({_last('avg_quote_volume_30d')} + 1e-7, 4) AS avg_quote_volume_30d,
   max(trade_date) AS last_trade_date
 FROM mart GROUP BY symbol""",
         USER_BARS,
