@@ -68,7 +68,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_trades(events: DataFrame, symbol: str) -> DataFrame:
-    """Trades in the order (ts, event_id).
+    """Trades in the order (ts, event_id), priced at the event's value but at least 0.01.
 
     The place within the day packs microseconds and the low 26 bits of the id into one
     bigint. A struct key would force the aggregate to sort all rows first; with a fixed-width
@@ -77,11 +77,12 @@ def _event_trades(events: DataFrame, symbol: str) -> DataFrame:
     ts = F.col("ts")
     seconds = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000
     micros = seconds + (F.expr("extract(SECOND FROM ts)") * 1_000_000).cast("bigint")
+    price = F.greatest("value", F.lit(0.01))
     return events.select(
         F.col(symbol).cast("string").alias("symbol"),
         F.to_date(ts).alias("trade_date"),
-        F.col("value").alias("price"),
-        F.col("value").alias("size"),
+        price.alias("price"),
+        price.alias("size"),
         (micros * (1 << 26) + F.col("event_id") % (1 << 26)).alias("place"),
         (F.col("event_id") % 2 == 0).alias("taker"),
     )

@@ -21,9 +21,8 @@ FROM {source} GROUP BY ALL"""
 
 
 def _event_bars(symbol: str) -> str:
-    return _bars(
-        symbol, "ts", "value", "value", "(ts, event_id)", "event_id % 2 = 0", "events"
-    )
+    price = "greatest(value, 0.01::DOUBLE)"
+    return _bars(symbol, "ts", price, price, "(ts, event_id)", "event_id % 2 = 0", "events")
 
 
 EVENT_BARS = _event_bars("event_type")
@@ -334,7 +333,9 @@ SELECT l_linenumber * {DAY_MS} AS open_time_ms, l_extendedprice AS open,
   l_linenumber AS open_time, CAST(l_orderkey AS VARCHAR) AS symbol, '1d' AS "interval"
 FROM lineitem"""
 BATCHES = f"""
-SELECT {KLINE_COLUMNS}, trade_date + unnest([1, 2]) AS ingested_date FROM bars"""
+SELECT {KLINE_COLUMNS.replace(" close,", " CASE ingestion WHEN 1 THEN open ELSE close END AS close,")},
+  trade_date + ingestion AS ingested_date
+FROM bars, (SELECT unnest([1, 2]) AS ingestion)"""
 REJECTED = """
 SELECT c_custkey, coin_id,
   list_filter([

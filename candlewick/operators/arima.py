@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.features import KEY, TIME
 from candlewick.operators.forecast import series_lengths
+from candlewick.operators.series import spread
 
 ORDER = (1, 1, 1)
 # Largest partial autocorrelation a candidate may have.
@@ -53,7 +54,8 @@ def arima_forecast(
     eligible = series_lengths(bars, holdout).filter("eligible").select(*KEY)
     series = bars.select(*KEY, *TIME, "close").join(eligible, KEY, "left_semi")
     return (
-        series.groupBy(*KEY)
+        spread(series, *KEY)
+        .groupBy(*KEY)
         .applyInPandas(roll, schema)
         .select(*KEY, F.lit("arima").alias("model"), "step", "actual", "pred", "fit_failed")
     )

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.quantile import exact_quantile
+from candlewick.operators.series import spread
 from candlewick.sources.storage import stored
 
 EULER = 0.5772156649015329
@@ -35,8 +36,7 @@ class Forest:
     depth: int
     feature: np.ndarray
     threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    children: np.ndarray  # left and right child of each node side by side
     path: np.ndarray
 
 
@@ -109,7 +109,7 @@ def grow_trees(
             tree=tree
         )[["tree", "node", "feature", "threshold", "left", "right", "path"]]
 
-    return sampled.groupBy("tree").applyInPandas(grow, NODES)
+    return spread(sampled, "tree").groupBy("tree").applyInPandas(grow, NODES)
 
 
 def score_samples(features: DataFrame, forest: Forest, output: str = "score") -> DataFrame:
@@ -196,26 +196,29 @@ def _forest(nodes: pd.DataFrame, columns: Sequence[str], sample: int) -> Forest:
         array[position, nodes["node"].to_numpy()] = nodes[name].to_numpy()
         return array
 
+    children = np.stack([packed("left", np.int32), packed("right", np.int32)], axis=-1)
     return Forest(
         columns=tuple(columns),
         sample=sample,
         depth=_depth_limit(sample),
-        feature=packed("feature", np.int64),
+        feature=packed("feature", np.int32),
         threshold=packed("threshold", float),
-        left=packed("left", np.int64),
-        right=packed("right", np.int64),
+        children=children.reshape(shape[0], -1),
         path=packed("path", float),
     )
 
 
 def _mean_path(values: np.ndarray, trees: Forest) -> np.ndarray:
     """Walk all rows down each tree level by level."""
-    rows = np.arange(len(values))
+    cells = np.ascontiguousarray(values).ravel()
+    starts = np.arange(len(values)) * values.shape[1]
     total = np.zeros(len(values))
-    for tree in range(len(trees.feature)):
-        node = np.zeros(len(values), dtype=np.int64)
+    for feature, threshold, children, path in zip(
+        trees.feature, trees.threshold, trees.children, trees.path, strict=True
+    ):
+        node = np.zeros(len(values), dtype=np.int32)
         for _ in range(trees.depth):
-            goes_left = values[rows, trees.feature[tree, node]] <= trees.threshold[tree, node]
-            node = np.where(goes_left, trees.left[tree, node], trees.right[tree, node])
-        total += trees.path[tree, node]
+            right = cells.take(starts + feature.take(node)) > threshold.take(node)
+            node = children.take(2 * node + right)
+        total += path.take(node)
     return total / len(trees.feature)

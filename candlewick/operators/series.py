@@ -61,6 +61,15 @@ def over_series(
     )
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Partition by key over all shuffle partitions, for groups that cost much more time than bytes.
+
+    AQE would otherwise merge partitions by their size and line such groups up in few tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *key)
+
+
 def _sorted_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Number all rows 0.. in (key, order), whatever the skew.
 

@@ -39,7 +39,7 @@ def write_raw(
 
 
 def load_raw(
-    spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]
+    spark: SparkSession, root: str, schemas: Mapping[str, T.StructType | str]
 ) -> dict[str, DataFrame]:
     """Every partition of each dataset; a dataset without files has no entry.
 
