@@ -670,13 +670,15 @@ def forecast_eligibility(spark, sf_dir):
 
 @query("arima_forecast")
 def rolling_arima(spark, sf_dir):
-    return arima_forecast(b.event_bars(spark, sf_dir), HOLDOUT)
+    return arima_forecast(b.event_bars(spark, sf_dir), HOLDOUT, daily=True)
 
 
 
 def _evaluated(spark, sf_dir) -> DataFrame:
     bars = b.event_bars(spark, sf_dir)
-    predictions = naive_forecast(bars, HOLDOUT).unionByName(arima_forecast(bars, HOLDOUT))
+    predictions = naive_forecast(bars, HOLDOUT).unionByName(
+        arima_forecast(bars, HOLDOUT, daily=True)
+    )
     return forecast_eval(bars, predictions, HOLDOUT)
 
 

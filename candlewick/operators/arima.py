@@ -1,183 +1,76 @@
-"""Rolling one-step ARIMA forecasts, one task per daily series.
+"""Rolling one-step ARIMA forecasts.
 
-Spark ranks, filters and groups the series; the fit itself is the exact Gaussian likelihood of
-an ARMA process through a Kalman recursion, minimised by a shrinking pattern search
-over partial autocorrelations (so every candidate is stationary and invertible).
+Series that fit a task are grouped, many per task; longer ones are evaluated in blocks, see
+`long_arima`. The fit itself is in `functions.arma`.
 """
 
 from __future__ import annotations
 
-from itertools import product
-from math import comb
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.functions.arma import rolling_predictions
 from candlewick.operators.features import KEY, TIME
-from candlewick.operators.forecast import series_lengths
+from candlewick.operators.forecast import MIN_EXTRA_ROWS, series_lengths
+from candlewick.operators.long_arima import blocked_forecast
 from candlewick.operators.series import spread
 
 ORDER = (1, 1, 1)
-# Largest partial autocorrelation a candidate may have.
-PACF_LIMIT = 0.995
-SETTLED = 1e-10
-FINEST_STEP = 1e-4
-MAX_ROUNDS = 120
+# Longest series one task fits by itself.
+SERIES_ROWS = 262_144
 
 
 def arima_forecast(
-    bars: DataFrame, holdout: int = 10, order: tuple[int, int, int] = ORDER
+    bars: DataFrame,
+    holdout: int = 10,
+    order: tuple[int, int, int] = ORDER,
+    *,
+    daily: bool = False,
+    series_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """(symbol, model, step, actual, pred, fit_failed) with a refit before every step.
 
-    Step k is predicted from all closes before it. A failed fit predicts the last close. One
-    group is one series of daily closes: a double per calendar day.
+    Too short series are left out. Step k is predicted from all closes before it. A failed
+    fit predicts the last close. `daily=True` states that a series has one row per calendar day;
+    otherwise series longer than `series_rows` are looked for and take the blocked way.
     """
-    symbol_type = bars.schema[KEY[0]].dataType.simpleString()
+    closes = bars.select(*KEY, *TIME, "close")
+    if daily:
+        return _grouped(closes, holdout, order)
+    long = series_lengths(bars, holdout).filter(F.col("n") > series_rows).select(*KEY)
+    if long.isEmpty():
+        return _grouped(closes, holdout, order)
+    short = _grouped(closes.join(long, KEY, "left_anti"), holdout, order)
+    return short.unionByName(
+        blocked_forecast(closes.join(long, KEY, "left_semi"), holdout, order)
+    )
+
+
+def _grouped(closes: DataFrame, holdout: int, order: tuple[int, int, int]) -> DataFrame:
+    """One group per series of bounded length."""
+    symbol_type = closes.schema[KEY[0]].dataType.simpleString()
     schema = f"symbol {symbol_type}, step int, actual double, pred double, fit_failed boolean"
 
     def roll(group: pd.DataFrame) -> pd.DataFrame:
-        closes = group.sort_values(TIME)["close"].to_numpy(dtype=float)
-        predictions, failed = rolling_predictions(closes, holdout, order)
+        values = group.sort_values(TIME)["close"].to_numpy(dtype=float)
+        if len(values) <= holdout + MIN_EXTRA_ROWS:
+            return pd.DataFrame()
+        predictions, failed = rolling_predictions(values, holdout, order)
         return pd.DataFrame(
             {
                 "symbol": group["symbol"].iloc[0],
                 "step": np.arange(1, holdout + 1, dtype=np.int32),
-                "actual": closes[-holdout:],
+                "actual": values[-holdout:],
                 "pred": predictions,
                 "fit_failed": failed,
             }
         )
 
-    eligible = series_lengths(bars, holdout).filter("eligible").select(*KEY)
-    series = bars.select(*KEY, *TIME, "close").join(eligible, KEY, "left_semi")
     return (
-        spread(series, *KEY)
+        spread(closes, *KEY)
         .groupBy(*KEY)
         .applyInPandas(roll, schema)
         .select(*KEY, F.lit("arima").alias("model"), "step", "actual", "pred", "fit_failed")
     )
-
-
-def rolling_predictions(
-    closes: np.ndarray, holdout: int, order: tuple[int, int, int]
-) -> tuple[np.ndarray, np.ndarray]:
-    """Predictions of the last `holdout` values and whether each fit failed."""
-    d = order[1]
-    known = len(closes) - holdout + np.arange(holdout)  # rows before each step
-    fallback = closes[known - 1]
-    with np.errstate(all="ignore"):
-        moves = fit_and_predict(np.diff(closes, n=d), known - d, order)
-    # y[t] = w[t] - sum over k of (-1)^k C(d, k) y[t-k]
-    carried = sum((-1) ** (k + 1) * comb(d, k) * closes[known - k] for k in range(1, d + 1))
-    predictions = moves + carried
-    failed = ~np.isfinite(predictions)
-    return np.where(failed, fallback, predictions), failed
-
-
-def fit_and_predict(
-    series: np.ndarray, lengths: np.ndarray, order: tuple[int, int, int]
-) -> np.ndarray:
-    """Next value after each prefix of `series`; NaN where no model can be fitted.
-
-    All prefixes are searched at once: row k of every array belongs to prefix k.
-    """
-    p, d, q = order
-    spreads = np.array([np.ptp(series[:n]) if n > p + q + 1 else 0.0 for n in lengths])
-    centre = np.array([series[:n].mean() if d == 0 else 0.0 for n in lengths])
-    size = p + q
-    rows = np.arange(len(lengths))
-    corners = list(product((-1.0, 0.0, 1.0), repeat=size)) if size <= 3 else [(0.0,) * size]
-    points = np.broadcast_to(np.array(corners), (len(lengths), len(corners), size))
-    moves = np.array(list(product((-1.0, 0.0, 1.0), repeat=size)) if size <= 3 else
-                     np.vstack([np.zeros((1, size)), np.eye(size), -np.eye(size)]))
-    step = np.full(len(lengths), 0.5)
-    best, best_cost = np.zeros((len(lengths), size)), np.full(len(lengths), np.inf)
-    ahead = np.full(len(lengths), np.nan)
-    for _ in range(MAX_ROUNDS):
-        cost, following = prefix_costs(series, lengths, centre, points, p, q)
-        cost = np.where(np.isfinite(cost), cost, np.inf)
-        pick = cost.argmin(axis=1)
-        better = cost[rows, pick] < best_cost - 1e-12
-        best[better] = points[rows, pick][better]
-        ahead[better] = following[rows, pick][better]
-        best_cost[better] = cost[rows, pick][better]
-        step = np.where(better, step, step / 2)
-        if size == 0 or (step < FINEST_STEP).all():
-            break
-        points = best[:, None, :] + step[:, None, None] * moves
-    usable = (spreads > 0) & np.isfinite(best_cost)
-    return np.where(usable, ahead + centre, np.nan)
-
-
-def coefficients(free: np.ndarray) -> np.ndarray:
-    """Autoregressive coefficients of a stationary process from unbounded numbers (Levinson)."""
-    partial = PACF_LIMIT * np.tanh(free)
-    result = np.zeros_like(partial)
-    for k in range(partial.shape[-1]):
-        reflection = partial[..., k : k + 1]
-        previous = result[..., :k]
-        result[..., :k] = previous - reflection * previous[..., ::-1]
-        result[..., k] = partial[..., k]
-    return result
-
-
-def prefix_costs(
-    series: np.ndarray, lengths: np.ndarray, centre: np.ndarray, points: np.ndarray, p: int, q: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Concentrated -2 log likelihood of each prefix under each candidate, and the next value."""
-    shape = points.shape[:2]
-    r = max(p, q + 1)
-    phi, impact = np.zeros((*shape, r)), np.zeros((*shape, r))
-    phi[..., :p] = coefficients(points[..., :p])
-    impact[..., 0] = 1.0
-    impact[..., 1 : q + 1] = -coefficients(points[..., p:])
-    noise = impact[..., :, None] * impact[..., None, :]
-    covariance = stationary_covariance(phi, noise)
-    state = np.zeros((*shape, r))
-    squares, logs = np.zeros(shape), np.zeros(shape)
-    cost, following = np.full(shape, np.inf), np.full(shape, np.nan)
-    settled = False
-    for t in range(int(lengths.max())):
-        surprise = series[t] - centre[:, None] - state[..., 0]
-        if not settled:
-            variance = covariance[..., 0, 0]
-            gain = advance(phi, covariance[..., :, 0, None])[..., 0] / variance[..., None]
-            logs += np.log(variance)
-            after = propagate(phi, covariance) + noise
-            after -= gain[..., :, None] * gain[..., None, :] * variance[..., None, None]
-            settled = bool(np.abs(after - covariance).max() < SETTLED)
-            covariance = after
-        squares += surprise * surprise / variance
-        state = advance(phi, state[..., None])[..., 0] + gain * surprise[..., None]
-        for k in np.flatnonzero(lengths == t + 1):
-            cost[k] = lengths[k] * np.log(squares[k] / lengths[k]) + logs[k]
-            following[k] = state[k, :, 0]
-    return cost, following
-
-
-def advance(phi: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """The companion matrix of `phi` times a matrix given by its last two axes."""
-    result = phi[..., :, None] * columns[..., :1, :]
-    result[..., :-1, :] += columns[..., 1:, :]
-    return result
-
-
-def propagate(phi: np.ndarray, covariance: np.ndarray) -> np.ndarray:
-    """T P T' for the companion matrix T of `phi`."""
-    return advance(phi, np.swapaxes(advance(phi, covariance), -1, -2))
-
-
-def stationary_covariance(phi: np.ndarray, noise: np.ndarray) -> np.ndarray:
-    """Solve P = T P T' + noise by doubling: T is squared until its powers vanish."""
-    r = phi.shape[-1]
-    transition = np.zeros((*phi.shape[:-1], r, r))
-    transition[..., :, 0] = phi
-    transition[..., np.arange(r - 1), np.arange(1, r)] = 1.0
-    total = noise.copy()
-    for _ in range(16):
-        total = total + transition @ total @ np.swapaxes(transition, -1, -2)
-        transition = transition @ transition
-    return total

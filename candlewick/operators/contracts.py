@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,7 +91,7 @@ KLINES = Contract(
 class Rule:
     name: str
     column: str
-    broken: Column
+    broken: str  # SQL predicate, true for rows that break the rule
 
 
 def violations(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> DataFrame:
@@ -102,29 +102,26 @@ def violations(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) ->
     task. `batch` columns delimit the frames keys must be unique in; they are no contract
     fields themselves.
     """
-    structure = _structure(df, contract, batch)
+    rules = _row_rules(df, contract)
+    entries = [_entry(rule.name, rule.column, f"n{i}") for i, rule in enumerate(rules)]
+    entries += [_entry(name, column, "1") for name, column in _structure(df, contract, batch)]
     parts = []
-    rules = list(_row_rules(df, contract))
-    if rules:
-        sums = [
-            F.coalesce(F.sum(F.when(rule.broken, 1).otherwise(0)), F.lit(0)).alias(f"r{i}")
-            for i, rule in enumerate(rules)
-        ]
-        entries = [_entry(rule.name, rule.column, F.col(f"r{i}")) for i, rule in enumerate(rules)]
-        entries += [_entry(name, column, F.lit(1)) for name, column in structure]
-        parts.append(df.agg(*sums).select(F.inline(F.array(*entries))))
+    if entries:
+        counts = [f"count_if({rule.broken}) AS n{i}" for i, rule in enumerate(rules)]
+        parts.append(
+            df.selectExpr("count(*) AS rows", *counts).selectExpr(
+                f"inline(array({', '.join(entries)}))"
+            )
+        )
     if set(contract.unique) <= set(df.columns):
-        surplus = (
+        key = ",".join(contract.unique)
+        parts.append(
             df.groupBy(*batch, *contract.unique)
             .agg(F.count("*").alias("n"))
             .filter(F.col("n") > 1)
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+            .selectExpr("coalesce(sum(n), 0) AS n")
+            .selectExpr(f"inline(array({_entry('unique', key, 'n')}))")
         )
-        key = ",".join(contract.unique)
-        parts.append(surplus.select(F.inline(F.array(_entry("unique", key, F.col("n"))))))
-    if not parts:
-        entries = [_entry(name, column, F.lit(1)) for name, column in structure]
-        parts.append(df.agg(F.count("*")).select(F.inline(F.array(*entries))))
     found = reduce(DataFrame.unionByName, parts)
     return found.select(F.lit(contract.dataset).alias("dataset"), "rule", "column", "n")
 
@@ -136,19 +133,15 @@ def rejects(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> Dat
     with very many copies is split by the skew join instead of filling one task.
     """
     keys = [*batch, *contract.unique]
-    repeated = (
-        df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    )
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
     joined = df.join(
         repeated.select(*keys, F.lit(True).alias("_repeated")), keys, "left"
     ).select(*df.columns, "_repeated")
-    names = [
-        F.when(rule.broken, F.lit(f"{rule.name}:{rule.column}"))
-        for rule in _row_rules(df, contract)
-    ]
-    names.append(F.when(F.col("_repeated"), F.lit(f"unique:{','.join(contract.unique)}")))
+    rules = _row_rules(df, contract)
+    rules.append(Rule("unique", ",".join(contract.unique), "_repeated"))
+    names = [f"CASE WHEN {rule.broken} THEN '{rule.name}:{rule.column}' END" for rule in rules]
     return (
-        joined.withColumn("failed", F.array_compact(F.array(*names)))
+        joined.withColumn("failed", F.expr(f"array_compact(array({', '.join(names)}))"))
         .filter(F.size("failed") > 0)
         .withColumn("first_failed", F.col("failed")[0])
         .drop("_repeated")
@@ -161,13 +154,12 @@ def require(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> Dat
     if broken:
         found = "; ".join(f"{row.rule}({row.column}): {row.n}" for row in broken)
         raise ContractError(f"{contract.dataset}: {found}")
-    return df.select(*[_typed(df, field).alias(field.name) for field in contract.fields], *batch)
+    typed = [f"{_typed(df, field)} AS `{field.name}`" for field in contract.fields]
+    return df.selectExpr(*typed, *batch)
 
 
-def _entry(rule: str, column: str, n: Column) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"), F.lit(column).alias("column"), n.cast("bigint").alias("n")
-    )
+def _entry(rule: str, column: str, n: str) -> str:
+    return f"struct('{rule}' AS rule, '{column}' AS column, CAST({n} AS BIGINT) AS n)"
 
 
 def _structure(
@@ -191,33 +183,40 @@ def _structure(
     return found
 
 
-def _typed(df: DataFrame, field: Field) -> Column:
-    column = F.col(field.name)
-    if field.coerce and df.schema[field.name].dataType != field.type:
-        return column.try_cast(field.type)
-    return column
+def _converted(df: DataFrame, field: Field) -> bool:
+    return field.coerce and df.schema[field.name].dataType != field.type
+
+
+def _typed(df: DataFrame, field: Field) -> str:
+    """The field's value in its contract type, NULL where it does not convert."""
+    if _converted(df, field):
+        return f"try_cast(`{field.name}` AS {field.type.simpleString()})"
+    return f"`{field.name}`"
 
 
-def _row_rules(df: DataFrame, contract: Contract) -> Iterator[Rule]:
+def _row_rules(df: DataFrame, contract: Contract) -> list[Rule]:
     """Rules for the columns that exist with a usable type. NaN counts as NULL."""
+    rules = []
     for field in contract.fields:
         if field.name not in df.columns:
             continue
-        column = _typed(df, field)
+        value = _typed(df, field)
         type_ = field.type if field.coerce else df.schema[field.name].dataType
-        missing = column.isNull()
-        if isinstance(type_, (T.DoubleType, T.FloatType)):
-            missing = missing | F.isnan(column)
-        if field.coerce and df.schema[field.name].dataType != field.type:
-            yield Rule("convertible", field.name, F.col(field.name).isNotNull() & column.isNull())
+        fractional = isinstance(type_, (T.DoubleType, T.FloatType))
+        missing = f"({value} IS NULL OR isnan({value}))" if fractional else f"({value} IS NULL)"
+        if _converted(df, field):
+            unread = f"`{field.name}` IS NOT NULL AND {value} IS NULL"
+            rules.append(Rule("convertible", field.name, unread))
         if not field.nullable:
-            yield Rule("not_null", field.name, missing)
+            rules.append(Rule("not_null", field.name, missing))
         if isinstance(type_, T.NumericType):
             if field.above is not None:
-                yield Rule("greater_than", field.name, ~missing & (column <= field.above))
+                low = f"NOT {missing} AND {value} <= {field.above}"
+                rules.append(Rule("greater_than", field.name, low))
             if field.at_least is not None:
-                yield Rule("at_least", field.name, ~missing & (column < field.at_least))
+                low = f"NOT {missing} AND {value} < {field.at_least}"
+                rules.append(Rule("at_least", field.name, low))
     for larger, smaller in contract.ordered_pairs:
         if {larger, smaller} <= set(df.columns):
-            low, high = F.col(smaller), F.col(larger)
-            yield Rule("ordered", f"{larger}>={smaller}", high < low)
+            rules.append(Rule("ordered", f"{larger}>={smaller}", f"`{larger}` < `{smaller}`"))
+    return rules

@@ -43,6 +43,9 @@ def event_windows(
         )
 
     narrow = bars.select(*KEY, *TIME, "close")
+    if events is not None:
+        # Series without an event need not be shuffled.
+        narrow = narrow.join(events.select(*KEY).distinct(), KEY, "left_semi")
     around = over_series(narrow, KEY, TIME, build, before=pre + 1, after=post, daily=daily)
     if events is not None:
         around = around.join(events.select(*KEY, *TIME).distinct(), [*KEY, *TIME], "left_semi")

@@ -22,16 +22,19 @@ def holdout_tail(bars: DataFrame, holdout: int, lead_in: int = 1) -> DataFrame:
     """The last `holdout` rows of each eligible series plus `lead_in` rows before them.
 
     `from_end` counts 1.. back from the newest row. The rank limit is applied map-side, so a
-    long series sends only its tail.
+    long series sends only its tail; a tail that reaches the shortest eligible length also
+    settles eligibility without counting the series.
     """
+    shortest = holdout + MIN_EXTRA_ROWS + 1
     newest_first = Window.partitionBy(*KEY).orderBy(*[F.desc(name) for name in TIME])
-    tail = (
+    return (
         bars.select(*KEY, *TIME, "close")
         .withColumn("from_end", F.row_number().over(newest_first))
-        .filter(F.col("from_end") <= holdout + lead_in)
+        .filter(F.col("from_end") <= shortest)
+        .withColumn("_rows", F.count("*").over(Window.partitionBy(*KEY)))
+        .filter((F.col("_rows") == shortest) & (F.col("from_end") <= holdout + lead_in))
+        .drop("_rows")
     )
-    eligible = series_lengths(bars, holdout).filter("eligible").select(*KEY)
-    return tail.join(eligible, KEY, "left_semi")
 
 
 def naive_forecast(bars: DataFrame, holdout: int = 10) -> DataFrame:

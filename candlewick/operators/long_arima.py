@@ -1,0 +1,220 @@
+"""ARIMA forecasts of series too long for one task.
+
+The prediction errors of an invertible model forget where the recursion started: after
+WARM_ROWS rows the start's weight is below double precision. So each block of a series runs
+on its own from WARM_ROWS rows earlier, the likelihood is the sum over blocks, and a search
+round is one scan of the blocks plus a sum per series and candidate.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from candlewick.functions.arma import (
+    FINEST_STEP,
+    FIRST_STEP,
+    MAX_ROUNDS,
+    carried,
+    corners,
+    innovations,
+    moves,
+)
+from candlewick.operators.features import KEY, TIME
+from candlewick.operators.series import (
+    BLOCK_ROWS,
+    overlapping_blocks,
+    sorted_rows,
+    spread,
+)
+from candlewick.sources.storage import stored
+
+# PACF_LIMIT ** WARM_ROWS is under 2 ** -59.
+WARM_ROWS = 8_192
+SYMBOL = KEY[0]
+
+
+def blocked_forecast(
+    closes: DataFrame,
+    holdout: int,
+    order: tuple[int, int, int],
+    block_rows: int = BLOCK_ROWS,
+    warm_rows: int = WARM_ROWS,
+) -> DataFrame:
+    """The rows `arima_forecast` gives, for (symbol, open_time_ms, close) of long series.
+
+    The model is fitted once on everything before the holdout: in a series this long the
+    holdout moves the optimum by less than the resolution of the search.
+    """
+    p, d, q = order
+    # Written once by sorted_rows, so every use below sees the same numbers.
+    rows = sorted_rows(closes, KEY, TIME)
+    spans = rows.groupBy(*KEY).agg(F.max("_row").alias("last")).withColumn(
+        "trained", F.col("last") - holdout
+    )
+    if d == 0:
+        known = rows.join(spans, KEY).filter(F.col("_row") <= F.col("trained"))
+        spans = spans.join(known.groupBy(*KEY).agg(F.avg("close").alias("centre")), KEY)
+    else:
+        spans = spans.withColumn("centre", F.lit(0.0))
+    spans = stored(spans, "spans")
+    # A block holds at most block_rows rows and the warm-up.
+    ordered = F.sort_array(F.collect_list(F.struct("_row", "close")))
+    blocks = stored(
+        overlapping_blocks(rows, warm_rows + d, 0, block_rows)
+        .groupBy(*KEY, "_block")
+        .agg(F.min("_row").alias("start"), ordered.alias("values"))
+        .select(
+            *KEY,
+            F.col("_block").alias("block"),
+            "start",
+            F.col("values.close").alias("closes"),
+        )
+        .join(spans, KEY),
+        "blocks",
+    )
+    fitted = _search(blocks, spans, p, d, q, block_rows)
+    tail = rows.join(spans.join(fitted, KEY), KEY).filter(
+        F.col("_row") > F.col("trained") - (warm_rows + d)
+    )
+    return _predict_tail(tail, holdout, p, d, q)
+
+
+def _search(
+    blocks: DataFrame, spans: DataFrame, p: int, d: int, q: int, block_rows: int
+) -> DataFrame:
+    """(symbol, point, cost) of the best candidate per series.
+
+    One small row per series is carried from round to round and written each time, so the
+    plan of a round does not grow. A series leaves the search when its step is fine enough.
+    """
+    size = p + q
+    state = stored(
+        spans.select(
+            *KEY,
+            F.array_repeat(F.lit(0.0), size).alias("point"),
+            F.lit(FIRST_STEP).alias("step"),
+            F.lit(float("inf")).alias("cost"),
+        ),
+        "search",
+    )
+    for turn in range(MAX_ROUNDS):
+        active = F.col("step") >= FINEST_STEP
+        searching = state.filter(active)
+        if searching.isEmpty():
+            break
+        lattice = corners(size) / FIRST_STEP if turn == 0 else moves(size)
+        best = _best_candidates(blocks, searching, lattice, p, d, q, block_rows)
+        better = F.col("new_cost") < F.col("cost") - 1e-9
+        moved = searching.join(best, KEY, "left").select(
+            *KEY,
+            F.when(better, F.col("new_point")).otherwise(F.col("point")).alias("point"),
+            F.when(better, F.col("step"))
+            .otherwise(F.lit(0.0) if size == 0 else F.col("step") / 2)
+            .alias("step"),
+            F.when(better, F.col("new_cost")).otherwise(F.col("cost")).alias("cost"),
+        )
+        state = stored(moved.unionByName(state.filter(~active)), "search")
+    return state.select(*KEY, "point", "cost")
+
+
+def _best_candidates(
+    blocks: DataFrame,
+    searching: DataFrame,
+    lattice: np.ndarray,
+    p: int,
+    d: int,
+    q: int,
+    block_rows: int,
+) -> DataFrame:
+    """(symbol, new_point, new_cost): the cheapest point + step * direction per series."""
+    symbol_type = blocks.schema[SYMBOL].dataType.simpleString()
+    schema = (
+        f"{SYMBOL} {symbol_type}, candidate int, point array<double>, n bigint,"
+        "squares double, logs double"
+    )
+
+    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block in batch.itertuples():
+                points = np.asarray(block.point) + block.step * lattice
+                n, squares, logs = block_likelihood(block, points, p, d, q, block_rows)
+                yield pd.DataFrame(
+                    {
+                        SYMBOL: getattr(block, SYMBOL),
+                        "candidate": np.arange(len(points), dtype=np.int32),
+                        "point": list(points),
+                        "n": n,
+                        "squares": squares,
+                        "logs": logs,
+                    }
+                )
+
+    parts = blocks.join(searching.select(*KEY, "point", "step"), KEY).mapInPandas(evaluate, schema)
+    sums = parts.groupBy(*KEY, "candidate").agg(
+        F.first("point").alias("point"),
+        F.sum("n").alias("n"),
+        F.sum("squares").alias("squares"),
+        F.sum("logs").alias("logs"),
+    )
+    cost = F.col("n") * F.ln(F.try_divide("squares", "n")) + F.col("logs")
+    usable = sums.withColumn("cost", cost).filter(F.col("cost") > float("-inf"))
+    return usable.groupBy(*KEY).agg(
+        F.min_by("point", "cost").alias("new_point"), F.min("cost").alias("new_cost")
+    )
+
+
+def block_likelihood(
+    block, points: np.ndarray, p: int, d: int, q: int, block_rows: int
+) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows the block owns before the holdout, and their sums per candidate."""
+    series = np.diff(np.asarray(block.closes, dtype=float), n=d)
+    numbers = block.start + d + np.arange(len(series))
+    owned = (numbers // block_rows == block.block) & (numbers <= block.trained)
+    squares, logs = np.zeros(len(points)), np.zeros(len(points))
+    centre = np.array([block.centre])
+    for mine, (surprise, variance, _) in zip(
+        owned, innovations(series, centre, points[None], p, q), strict=True
+    ):
+        if mine:
+            squares += surprise[0] ** 2 / variance[0]
+            logs += np.log(variance[0])
+    return int(owned.sum()), squares, logs
+
+
+def _predict_tail(tail: DataFrame, holdout: int, p: int, d: int, q: int) -> DataFrame:
+    """Predictions of the holdout from the warm-up rows before it: a bounded group per series."""
+    symbol_type = tail.schema[SYMBOL].dataType.simpleString()
+    schema = f"{SYMBOL} {symbol_type}, step int, actual double, pred double, fit_failed boolean"
+
+    def predict(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_row")
+        closes = group["close"].to_numpy(dtype=float)
+        centre = np.array([group["centre"].iloc[0]])
+        point = np.asarray(group["point"].iloc[0], dtype=float).reshape(1, 1, p + q)
+        steps = innovations(np.diff(closes, n=d), centre, point, p, q)
+        ahead = np.array([following[0, 0] for _, _, following in steps])
+        at = len(closes) - holdout + np.arange(holdout)
+        pred = ahead[-holdout - 1 : -1] + centre + carried(closes, at, d)
+        failed = ~np.isfinite(pred) | ~np.isfinite(group["cost"].iloc[0])
+        return pd.DataFrame(
+            {
+                SYMBOL: group[SYMBOL].iloc[0],
+                "step": np.arange(1, holdout + 1, dtype=np.int32),
+                "actual": closes[at],
+                "pred": np.where(failed, closes[at - 1], pred),
+                "fit_failed": failed,
+            }
+        )
+
+    columns = [*KEY, "_row", "close", "centre", "point", "cost"]
+    return (
+        spread(tail.select(*columns), *KEY)
+        .groupBy(*KEY)
+        .applyInPandas(predict, schema)
+        .select(*KEY, F.lit("arima").alias("model"), "step", "actual", "pred", "fit_failed")
+    )

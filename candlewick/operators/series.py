@@ -40,9 +40,24 @@ def over_series(
     """
     if daily:
         return build(df, Window.partitionBy(*key).orderBy(*order))
+    blocks = overlapping_blocks(sorted_rows(df, key, order), before, after, block_rows)
+    window = Window.partitionBy("_block", *key).orderBy("_row")
+    return (
+        build(blocks, window)
+        .filter(F.col("_block") == F.col("_home"))
+        .drop("_block", "_home", "_row")
+    )
+
+
+def overlapping_blocks(
+    rows: DataFrame, before: int, after: int = 0, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Numbered rows assigned to blocks of `block_rows`, with copies in the blocks they reach.
+
+    `_home` is the block a row belongs to, `_block` the one it is copied into.
+    """
     if before + after >= block_rows:
         raise ValueError("frames must be shorter than a block")
-    placed = _sorted_rows(df, key, order)
     home = F.floor(F.col("_row") / block_rows)
     offset = F.col("_row") % block_rows
     blocks = F.array_compact(
@@ -52,13 +67,7 @@ def over_series(
             F.when(offset < after, home - 1),
         )
     )
-    spread = placed.withColumn("_home", home).withColumn("_block", F.explode(blocks))
-    window = Window.partitionBy("_block", *key).orderBy("_row")
-    return (
-        build(spread, window)
-        .filter(F.col("_block") == F.col("_home"))
-        .drop("_block", "_home", "_row")
-    )
+    return rows.withColumn("_home", home).withColumn("_block", F.explode(blocks))
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
@@ -70,8 +79,8 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(partitions, *key)
 
 
-def _sorted_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Number all rows 0.. in (key, order), whatever the skew.
+def sorted_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Number all rows 0.. in (key, order) as `_row`, whatever the skew.
 
     Range partitioning splits long series between tasks. The sorted rows are written once
     because each run of the sort may draw other partition borders. The border table has

@@ -3,7 +3,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.operators import arima, iforest
+from candlewick.functions import arma
+from candlewick.operators import iforest
+from candlewick.operators.arima import arima_forecast
+from candlewick.operators.long_arima import blocked_forecast
 from candlewick.operators.events import event_study, event_windows, rejected_events
 from candlewick.operators.features import (
     FEATURE_COLUMNS,
@@ -212,7 +215,7 @@ def test_naive_repeats_the_last_close(spark):
 
 def test_evaluation_compares_both_models_and_skips_short_series(spark):
     df = bars(spark, walk(63, 1, "A"), walk(13, 2, "short"), walk(14, 3, "enough"))
-    predictions = naive_forecast(df, 8).unionByName(arima.arima_forecast(df, 8))
+    predictions = naive_forecast(df, 8).unionByName(arima_forecast(df, 8))
     rows = {row.symbol: row for row in forecast_eval(df, predictions, 8).collect()}
     assert set(rows) == {"A", "enough"}
     row = rows["A"]
@@ -224,7 +227,7 @@ def test_evaluation_compares_both_models_and_skips_short_series(spark):
     assert report.select("evidence.naive_mae").count() == 2
 
 
-def arma(phi, theta, n, seed):
+def moving(phi, theta, n, seed):
     rng = np.random.default_rng(seed)
     noise, series = rng.normal(size=n + 100), np.zeros(n + 100)
     for t in range(1, n + 100):
@@ -234,10 +237,10 @@ def arma(phi, theta, n, seed):
 
 def test_likelihood_equals_the_dense_gaussian():
     phi, theta = 0.4, 0.3
-    series = arma(phi, theta, 25, 1)
+    series = moving(phi, theta, 25, 1)
     n = len(series)
-    point = np.arctanh(np.array([[[phi, -theta]]]) / arima.PACF_LIMIT)
-    cost, ahead = arima.prefix_costs(series, np.array([n]), np.zeros(1), point, 1, 1)
+    point = np.arctanh(np.array([[[phi, -theta]]]) / arma.PACF_LIMIT)
+    cost, ahead = arma.prefix_costs(series, np.array([n]), np.zeros(1), point, 1, 1)
     variance = (1 + 2 * phi * theta + theta**2) / (1 - phi**2)
     first = (1 + phi * theta) * (phi + theta) / (1 - phi**2)
     acf = np.array([variance, *[first * phi**k for k in range(n)]])
@@ -249,27 +252,61 @@ def test_likelihood_equals_the_dense_gaussian():
 
 
 def test_arima_predicts_better_than_naive_where_moves_persist():
-    closes = 100 + np.cumsum(arma(0.7, 0.2, 600, 3))
-    pred, failed = arima.rolling_predictions(closes, 60, (1, 1, 1))
+    closes = 100 + np.cumsum(moving(0.7, 0.2, 600, 3))
+    pred, failed = arma.rolling_predictions(closes, 60, (1, 1, 1))
     assert not failed.any()
     error = np.abs(pred - closes[-60:]).mean()
     assert error < 0.85 * np.abs(np.diff(closes[-61:])).mean()
 
 
 def test_failed_fits_fall_back_to_the_last_close():
-    pred, failed = arima.rolling_predictions(np.full(40, 5.0), 10, (1, 1, 1))
+    pred, failed = arma.rolling_predictions(np.full(40, 5.0), 10, (1, 1, 1))
     assert failed.all() and (pred == 5.0).all()
 
 
 @pytest.mark.parametrize("order", [(0, 1, 0), (1, 0, 0), (0, 2, 1), (2, 1, 2)])
 def test_other_orders(order):
-    closes = 100 + np.cumsum(arma(0.5, 0.0, 60, 2))
-    pred, failed = arima.rolling_predictions(closes, 5, order)
+    closes = 100 + np.cumsum(moving(0.5, 0.0, 60, 2))
+    pred, failed = arma.rolling_predictions(closes, 5, order)
     assert np.isfinite(pred).all() and not failed.any()
     if order == (0, 1, 0):
         np.testing.assert_allclose(pred, closes[-6:-1])
 
 
+@pytest.mark.parametrize("order", [(1, 1, 1), (1, 0, 0), (0, 1, 0)])
+def test_long_series_in_blocks_equal_whole_ones(spark, order):
+    shapes = [("A", 0.6, 0.3, 1500), ("B", -0.3, -0.4, 700), ("C", 0.2, 0.5, 40)]
+    df = bars(
+        spark,
+        *[
+            pd.DataFrame(
+                {
+                    "symbol": symbol,
+                    "open_time_ms": np.arange(n) * 1000,
+                    "close": 100 + np.cumsum(moving(phi, theta, n, n)),
+                }
+            )
+            for symbol, phi, theta, n in shapes
+        ],
+    )
+    whole = arima_forecast(df, 10, order, daily=True).toPandas()
+    blocked = blocked_forecast(
+        df.filter("symbol <> 'C'"), 10, order, block_rows=400, warm_rows=300
+    ).toPandas()
+    both = whole.merge(blocked, on=["symbol", "step", "actual"])
+    assert len(both) == 20
+    # The blocked way fits before the holdout only.
+    assert (both.pred_x - both.pred_y).abs().max() < 0.05
+    first = both[both.step == 1]
+    np.testing.assert_allclose(first.pred_x, first.pred_y, atol=1e-3)
+
+
+def test_only_long_series_are_blocked(spark):
+    df = bars(spark, walk(120, 1, "long"), walk(30, 2, "short"))
+    rows = arima_forecast(df, 8, (1, 0, 0), series_rows=100).toPandas()
+    assert rows.groupby("symbol").size().to_dict() == {"long": 8, "short": 8}
+
+
 # --- event studies
 
 
