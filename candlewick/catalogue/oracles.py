@@ -657,6 +657,58 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
         ),
         batch=BATCH,
     ),
+    "data_tests": _on_markets(
+        _results(
+            [
+                ("stg_klines", "not_null", "symbol", _nulls("bars", "symbol")),
+                ("stg_klines", "not_null", "close", _nulls("bars", "close")),
+                ("stg_klines", "positive_value", "close", _below("bars", "close")),
+                (
+                    "stg_klines",
+                    "unique_combination",
+                    "symbol,open_time",
+                    _repeats("bars", "symbol, open_time_ms"),
+                ),
+                ("stg_markets", "not_null", "coin_id", _nulls("stg_markets", "coin_id")),
+                ("stg_markets", "not_null", "price_usd", _nulls("stg_markets", "price_usd")),
+                ("stg_markets", "positive_value", "price_usd", _below("stg_markets", "price_usd")),
+                (
+                    "stg_markets",
+                    "unique_combination",
+                    "coin_id,snapshot_date",
+                    _repeats("stg_markets", "coin_id, snapshot_date"),
+                ),
+                ("mart_daily_ohlcv", "not_null", "close", _nulls("bars", "close")),
+                ("mart_daily_ohlcv", "positive_value", "close", _below("bars", "close")),
+                (
+                    "mart_daily_ohlcv",
+                    "unique_combination",
+                    "symbol,trade_date",
+                    _repeats("bars", "symbol, trade_date"),
+                ),
+                (
+                    "mart_market_overview",
+                    "not_null",
+                    "snapshot_date",
+                    _nulls("overview", "snapshot_date"),
+                ),
+                # No snapshot holds a coin of the default dominant id, so its share is 0, not NULL.
+                (
+                    "mart_market_overview",
+                    "not_null",
+                    "btc_dominance",
+                    _nulls("overview", "btc_dominance"),
+                ),
+                (
+                    "mart_market_overview",
+                    "unique",
+                    "snapshot_date",
+                    _repeats("overview", "snapshot_date"),
+                ),
+            ]
+        ),
+        bars=EVENT_BARS,
+    ),
     "contract_probes": _with(
         EVERY + "probes", markets=MARKETS, bars=USER_BARS, probes=PROBES
     ),

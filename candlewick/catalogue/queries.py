@@ -37,7 +37,7 @@ from candlewick.operators.keyed import (
     merge_fresh_wins,
     top_n_per_key,
 )
-from candlewick.plans import models, research, scorecard
+from candlewick.plans import models, research, scorecard, warehouse
 from candlewick.plans.ingest import KLINES_DATASET, RAW_SCHEMAS, ingest_klines
 from candlewick.sources import payloads, raw, reports, snapshot
 from candlewick.sources.storage import fresh_path, stored
@@ -522,6 +522,12 @@ def _probes(spark, sf_dir) -> DataFrame:
     return scorecard.contract_probes(markets, klines, markets_batch=["ingested_date"])
 
 
+@query("data_tests")
+def data_tests(spark, sf_dir):
+    marts = fresh_path(spark, "warehouse")
+    return warehouse.data_tests(warehouse.build_warehouse(_loaded(spark, sf_dir), marts, daily=True))
+
+
 @query("contract_probes")
 def contract_probes(spark, sf_dir):
     return _probes(spark, sf_dir).select("name", "dataset", "expected", "passed", "detail")
@@ -582,7 +588,8 @@ def ohlcv_features_suppliers(spark, sf_dir):
 
 @query("ohlcv_features_ticks")
 def ohlcv_features_ticks(spark, sf_dir):
-    rows = ohlcv_features(b.ticks(spark, sf_dir))
+    columns = ("symbol", "open_time_ms", "open", "high", "low", "close", "volume")
+    rows = ohlcv_features(b.ticks(spark, sf_dir).select(*columns))
     return rounded(rows.select("symbol", "open_time_ms", *FEATURE_COLUMNS), FEATURE_DIGITS)
 
 
@@ -595,7 +602,7 @@ def user_log_returns(spark, sf_dir):
 
 @query("log_returns_ticks")
 def log_returns_ticks(spark, sf_dir):
-    rows = log_returns(b.ticks(spark, sf_dir))
+    rows = log_returns(b.ticks(spark, sf_dir).select("symbol", "open_time_ms", "close"))
     return rounded(rows.select("symbol", "open_time_ms", "log_return"), {"log_return": 8})
 
 

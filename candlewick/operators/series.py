@@ -36,7 +36,8 @@ def over_series(
 
     `build` adds columns whose frames reach at most `before` rows back and `after` rows
     ahead in total. (key, order) must identify a row. `daily=True` states that `order` is a
-    calendar day, which bounds a series; otherwise the blocked plan is used.
+    calendar day, which bounds a series; otherwise the blocked plan is used. That plan
+    writes its input once, so hand it the needed columns only.
     """
     if daily:
         return build(df, Window.partitionBy(*key).orderBy(*order))

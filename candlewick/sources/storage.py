@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,16 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`).
 
-    Only a local session may go without it; it then gets a temporary folder for its lifetime.
+    Only a local session may go without it; it then gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="candlewick-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _temporary_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _temporary_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"candlewick-{application}-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.plans import models, scorecard
+from candlewick.plans import models, scorecard, warehouse
 from candlewick.sources.payloads import parse_klines, parse_markets
 from candlewick.sources.reports import list_tables, present_tables, write_report
 
@@ -78,3 +78,29 @@ def test_scorecard_of_a_warehouse(spark, markets, klines):
     assert len(scorecard.scorecard(probes, emptied).first().caveats) == 1
     for name in relations:
         spark.catalog.dropTempView(name)
+
+
+def test_warehouse_models_and_their_tests(spark, tmp_path, markets, klines):
+    day = F.lit("2025-07-22").cast("date")
+    raw = {
+        "klines": klines.withColumn("ingested_date", day),
+        "markets": markets.withColumn("ingested_date", day),
+    }
+    relations = warehouse.build_warehouse(raw, str(tmp_path), daily=True)
+    assert set(relations) == set(warehouse.MODEL_TESTS)
+    assert spark.table("mart_daily_ohlcv").count() == 3
+    assert relations["mart_market_overview"].first().coins_tracked == 2
+    results = warehouse.data_tests(relations).collect()
+    assert len(results) == 14
+    assert all(row.failures == 0 for row in results)
+    broken = {"mart_daily_ohlcv": relations["mart_daily_ohlcv"].withColumns(
+        {"close": F.lit(-1.0), "trade_date": day}
+    )}
+    found = {row.test: row.failures for row in warehouse.data_tests(broken).collect()}
+    assert found == {"not_null": 0, "positive_value": 3, "unique_combination": 1}
+    # Rebuilding from less raw data replaces the mart and builds nothing stale.
+    again = warehouse.build_warehouse({"klines": raw["klines"].limit(1)}, str(tmp_path))
+    assert set(again) == {"stg_klines", "mart_daily_ohlcv"}
+    assert again["mart_daily_ohlcv"].count() == 1
+    for name in relations:
+        spark.catalog.dropTempView(name)
