@@ -615,8 +615,7 @@ def shocked_bars(spark, sf_dir):
 
 
 def _anomalies(spark, sf_dir) -> DataFrame:
-    features = ohlcv_features(b.user_bars(spark, sf_dir), daily=True)
-    return research.detect_anomalies(stored(features, "features"))
+    return research.detect_anomalies(ohlcv_features(b.user_bars(spark, sf_dir), daily=True))
 
 
 @query("anomaly_fit")

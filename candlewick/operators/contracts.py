@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.sources.storage import stored
+
+# A key with this many copies is kept out of shuffles.
+HOT_ROWS = 1_000_000
+
 
 class ContractError(ValueError):
     """A batch broke its contract; the message lists the violated rules."""
@@ -126,28 +132,49 @@ def violations(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) ->
     return found.select(F.lit(contract.dataset).alias("dataset"), "rule", "column", "n")
 
 
-def rejects(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> DataFrame:
-    """Rows that break any row rule or share their key, with all broken rules and the first.
-
-    Duplicate keys come from an aggregate joined back, not from a per-key window, so a key
-    with very many copies is split by the skew join instead of filling one task.
-    """
-    keys = [*batch, *contract.unique]
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    joined = df.join(
-        repeated.select(*keys, F.lit(True).alias("_repeated")), keys, "left"
-    ).select(*df.columns, "_repeated")
+def rejects(
+    df: DataFrame, contract: Contract, batch: Sequence[str] = (), hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Rows that break any row rule or share their key, with all broken rules and the first."""
+    marked = _mark_repeated(df, [*batch, *contract.unique], hot_rows)
     rules = _row_rules(df, contract)
     rules.append(Rule("unique", ",".join(contract.unique), "_repeated"))
     names = [f"CASE WHEN {rule.broken} THEN '{rule.name}:{rule.column}' END" for rule in rules]
     return (
-        joined.withColumn("failed", F.expr(f"array_compact(array({', '.join(names)}))"))
-        .filter(F.size("failed") > 0)
+        marked.filter(" OR ".join(f"({rule.broken})" for rule in rules))
+        .withColumn("failed", F.expr(f"array_compact(array({', '.join(names)}))"))
         .withColumn("first_failed", F.col("failed")[0])
         .drop("_repeated")
     )
 
 
+def _mark_repeated(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add `_repeated`: true where another row has the same key, NULL keys included.
+
+    The repeated keys are counted with map-side sums and written, so that the planner knows
+    their size and broadcasts them if they are few. Rows of keys with `hot_rows` copies
+    or more never enter a shuffle: there are at most rows / hot_rows such keys, few enough
+    to broadcast whatever the data. What is left to join has no large key.
+    """
+    names = {key: f"_key{i}" for i, key in enumerate(keys)}
+    repeated = stored(
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > 1)
+        .withColumnsRenamed(names),
+        "repeated",
+    )
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(name)) for key, name in names.items()])
+    hot = F.col("_n") >= hot_rows
+    other = repeated.filter(~hot).select(*names.values(), F.lit(True).alias("_repeated"))
+    if repeated.filter(hot).isEmpty():
+        return df.join(other, same, "left").drop(*names.values())
+    hot_keys = F.broadcast(repeated.filter(hot).select(*names.values()))
+    copies = df.join(hot_keys, same, "left_semi").withColumn("_repeated", F.lit(True))
+    rest = df.join(hot_keys, same, "left_anti").join(other, same, "left")
+    return copies.unionByName(rest.drop(*names.values()))
+
+
 def require(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> DataFrame:
     """Return the frame in contract column order and types, or raise for the whole batch."""
     broken = violations(df, contract, batch).filter(F.col("n") > 0).collect()

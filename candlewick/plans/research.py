@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.features import FEATURE_COLUMNS
 from candlewick.operators.iforest import fit_iforest, score_iforest
+from candlewick.sources.storage import stored
 
 # Absolute daily return that counts as a spike by itself (fixed value).
 SPIKE_RETURN = 0.1
@@ -54,7 +55,11 @@ def detect_anomalies(
     contamination: float = 0.05,
     seed: int = 42,
 ) -> DataFrame:
-    """Fit an isolation forest on the features and score the same rows."""
+    """Fit an isolation forest on the features and score the same rows.
+
+    The features are counted, sampled and scored, so they are written once.
+    """
+    features = stored(features, "features")
     forest = fit_iforest(features, FEATURE_COLUMNS, key, trees=trees, seed=seed)
     return score_iforest(features, forest, contamination)
 
