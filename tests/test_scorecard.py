@@ -8,6 +8,12 @@ from candlewick.sources.payloads import parse_klines, parse_markets
 from candlewick.sources.reports import list_tables, present_tables, write_report
 
 
+@pytest.fixture(autouse=True)
+def empty_catalog(spark):
+    for name in warehouse.MODEL_TESTS:
+        spark.catalog.dropTempView(name)
+
+
 @pytest.fixture
 def markets(spark, market_payload):
     raw = spark.createDataFrame([(json.dumps(market_payload),)], "payload string")
@@ -76,8 +82,6 @@ def test_scorecard_of_a_warehouse(spark, markets, klines):
     assert row.caveats == []
     emptied = {"mart_daily_ohlcv": relations["mart_daily_ohlcv"].limit(0)}
     assert len(scorecard.scorecard(probes, emptied).first().caveats) == 1
-    for name in relations:
-        spark.catalog.dropTempView(name)
 
 
 def test_warehouse_models_and_their_tests(spark, tmp_path, markets, klines):
@@ -102,5 +106,3 @@ def test_warehouse_models_and_their_tests(spark, tmp_path, markets, klines):
     again = warehouse.build_warehouse({"klines": raw["klines"].limit(1)}, str(tmp_path))
     assert set(again) == {"stg_klines", "mart_daily_ohlcv"}
     assert again["mart_daily_ohlcv"].count() == 1
-    for name in relations:
-        spark.catalog.dropTempView(name)
