@@ -332,9 +332,9 @@ SELECT l_linenumber * {DAY_MS} AS open_time_ms, l_extendedprice AS open,
   CASE WHEN l_discount > 0 THEN l_discount END AS taker_buy_quote_volume,
   l_linenumber AS open_time, CAST(l_orderkey AS VARCHAR) AS symbol, '1d' AS "interval"
 FROM lineitem"""
+FIRST_CLOSE = " CASE ingestion WHEN 1 THEN open ELSE close END AS close,"
 BATCHES = f"""
-SELECT {KLINE_COLUMNS.replace(" close,", " CASE ingestion WHEN 1 THEN open ELSE close END AS close,")},
-  trade_date + ingestion AS ingested_date
+SELECT {KLINE_COLUMNS.replace(" close,", FIRST_CLOSE)}, trade_date + ingestion AS ingested_date
 FROM bars, (SELECT unnest([1, 2]) AS ingestion)"""
 REJECTED = """
 SELECT c_custkey, coin_id,

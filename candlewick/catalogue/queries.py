@@ -525,7 +525,8 @@ def _probes(spark, sf_dir) -> DataFrame:
 @query("data_tests")
 def data_tests(spark, sf_dir):
     marts = fresh_path(spark, "warehouse")
-    return warehouse.data_tests(warehouse.build_warehouse(_loaded(spark, sf_dir), marts, daily=True))
+    relations = warehouse.build_warehouse(_loaded(spark, sf_dir), marts, daily=True)
+    return warehouse.data_tests(relations)
 
 
 @query("contract_probes")

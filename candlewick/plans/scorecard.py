@@ -116,7 +116,8 @@ def scorecard(
         F.sort_array(F.collect_list(F.struct("name", "dataset", "expected", "passed", "detail")))
         .alias("probes")
     )
-    total, passed = F.size("probes"), F.size(F.filter("probes", lambda probe: probe["passed"]))
+    total = F.size("probes").cast("bigint")
+    passed = F.size(F.filter("probes", lambda probe: probe["passed"])).cast("bigint")
     rate = F.coalesce(F.round(F.try_divide(passed, total), 4), F.lit(0.0))
     card = rows.withColumn(
         "probe_summary",

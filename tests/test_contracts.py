@@ -24,7 +24,8 @@ def markets(spark, market_payload):
 
 @pytest.fixture
 def klines(spark, candle_payload):
-    raw = spark.createDataFrame([("A", json.dumps(candle_payload))], "symbol string, payload string")
+    rows = [("A", json.dumps(candle_payload))]
+    raw = spark.createDataFrame(rows, "symbol string, payload string")
     return parse_klines(raw)
 
 

@@ -121,7 +121,8 @@ def test_overview_of_worthless_market(spark):
 
 
 def test_ranks_round_half_to_even(spark):
-    ranks = [("a", 1.0, 2.5, 1.0), ("b", 1.0, 3.5, 1.0), ("c", 1.0, 2.7, 1.0), ("d", 1.0, None, 1.0)]
+    given = {"a": 2.5, "b": 3.5, "c": 2.7, "d": None}
+    ranks = [(coin, 1.0, rank, 1.0) for coin, rank in given.items()]
     rows = staged_markets(spark, ranks).orderBy("coin_id").collect()
     assert [row.market_cap_rank for row in rows] == [2, 4, 3, None]
     assert rows[0].symbol == "a"

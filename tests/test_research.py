@@ -197,9 +197,10 @@ def test_quantile_of_nothing(spark):
 def test_metrics_by_hand(spark):
     actual, pred = [10.0, 12.0, 11.0, 11.0], [10.0, 11.0, 13.0, 11.0]
     rows = [("A", "m", i + 1, a, p, False) for i, (a, p) in enumerate(zip(actual, pred))]
-    df = spark.createDataFrame(
-        rows, "symbol string, model string, step int, actual double, pred double, fit_failed boolean"
+    schema = (
+        "symbol string, model string, step int, actual double, pred double, fit_failed boolean"
     )
+    df = spark.createDataFrame(rows, schema)
     row = forecast_metrics(df).first()
     assert row.mae == pytest.approx(0.75)
     assert row.rmse == pytest.approx(np.sqrt(5 / 4))
