@@ -1,0 +1,101 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick.llm import pii
+
+
+def run(spark, texts, key="k"):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: (r.text, r.n_entities, r.kinds) for r in pii.pseudonymize(docs, key).collect()}
+
+
+def luhn(number):
+    each = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(number))]
+    return sum(d - 9 * (d > 9) for d in each) % 10 == 0
+
+
+def test_kinds_and_formats(spark):
+    got = run(spark, [
+        "write to Anna.Lee7@mail3.example.com, or ANNA.LEE7@MAIL3.EXAMPLE.COM.",
+        "call +1 (017) 555-7713 or 017-555-7713",
+        "from 97.51.17.173 and 97.51.17.173, not 1.2.3.999 nor 1.2.3.4.5",
+        "card 4111 1111 1111 1111 and 4111111111111111 but not 4111111111111112",
+        'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and 123-45-6789',
+        "Version 2.0 of 2024, 1,000,000 things at 12:30 @ home",
+    ])
+    a, b = re.findall(r"\S+@\S+?(?=[,.]?(?: |$))", got[0][0])
+    assert a.lower() == b.lower() and b == b.upper() and a[0].isupper() and "nna" not in a.lower()
+    assert re.fullmatch(r"[A-Z][a-z]{3}\.[a-z]{3}\d@[a-z]{4}\d\.[a-z]{7}\.com", a) and got[0][1:] == (2, "email")
+    long, short = re.fullmatch(r"call (\+1 \(\d{3}\) \d{3}-\d{4}) or (\d{3}-\d{3}-\d{4})", got[1][0]).groups()
+    assert "555-7713" not in got[1][0] and got[1][1:] == (2, "phone") and long[-8:] != short[-8:]
+    one, two = re.fullmatch(r"from ([\d.]+) and ([\d.]+), not 1\.2\.3\.999 nor 1\.2\.3\.4\.5", got[2][0]).groups()
+    assert one == two != "97.51.17.173" and all(0 < int(x) < 255 for x in one.split("."))
+    spaced, plain = re.fullmatch(r"card (.{19}) and (\d{16}) but not 4111111111111112", got[3][0]).groups()
+    assert spaced.replace(" ", "") == plain != "4" + "1" * 15 and luhn(plain) and plain[0] == "4"
+    assert got[3][1:] == (2, "card")
+    secret, number = re.fullmatch(r'token = "([0-9a-f]{40})" and (\d{3}-\d{2}-\d{4})', got[4][0]).groups()
+    assert secret != "04dbebab91ab85687d33eeaaf9ac699e1188f962" and number != "123-45-6789"
+    assert got[4][2] == "personal,secret"
+    assert got[5] == ("Version 2.0 of 2024, 1,000,000 things at 12:30 @ home", 0, "")
+
+
+def test_names_keep_gender_script_and_reference(spark):
+    got = run(spark, [
+        "Mrs. Maria Lopez met Mr Juan LOPEZ.", "Dr. Maria Lopez wrote to Frau Lopez", "господин Иван Петров, г-жа Анна",
+        "κύριος Νίκος Παππάς",
+    ])
+    woman, hers, man, his = re.fullmatch(r"Mrs\. (\w+) (\w+) met Mr (\w+) (\w+)\.", got[0][0]).groups()
+    assert hers.upper() == his and any(woman.endswith(e) for e in pii.ENDINGS["latin"][1].split())
+    assert any(man.endswith(e) for e in pii.ENDINGS["latin"][0].split())
+    assert got[1][0] == f"Dr. {woman} {hers} wrote to Frau {hers}"
+    assert re.fullmatch(r"господин [А-Я][а-я]+ [А-Я][а-я]+, г-жа [А-Я][а-я]+", got[2][0])
+    assert re.fullmatch(r"κύριος [Α-Ω]\w+ [Α-Ω]\w+", got[3][0]) and "Νίκος" not in got[3][0]
+    assert "Lopez" not in got[0][0] and got[0][1:] == (2, "name")
+
+
+def test_key_decides(spark):
+    texts = ["a.b@c.org"]
+    one, two = run(spark, texts, "k"), run(spark, texts, "l")
+    assert one == run(spark, texts, "k") and one != two
+
+
+@pytest.mark.parametrize("part", ["mailbox", "domain", "given", "surname"])
+def test_collisions_are_drawn_anew(spark, part):
+    # More values than one draw has room for: one-letter mailboxes and hosts, names of one pattern.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = {
+        "mailbox": [f"{a}@x.org" for a in letters] + [f"{a}@y.org" for a in letters],
+        "domain": [f"{a}.org" for a in letters],
+        "given": [f"name{i}" for i in range(6000)],
+        "surname": [f"name{i}" for i in range(6000)],
+    }[part]
+    frame = spark.createDataFrame([(part, v, 0) for v in values], "part string, value string, gender int")
+    got = {r.value: r.surrogate for r in pii.surrogates(frame, "k").collect()}
+    assert set(got) == set(values) and len(set(got.values())) == len(values)
+    assert not set(got.values()) & set(values)
+
+
+def test_odd_rows(spark):
+    schema = "doc_id long, text string, kinds string, entity string"
+    rows = [(1, "x a.b@c.org", "q", None), (1, "x a.b@c.org", "q", "z"), (None, "a.b@c.org y", None, None),
+            (2, None, "r", None), (3, "", "r", None), (4, "word " * 50_000 + "a.b@c.org", None, None),
+            (5, "@" * 3000 + "z" * 3000 + "1" * 3000, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    got = pii.pseudonymize(docs, "k")
+    assert got.columns == ["doc_id", "text", "entity", "n_entities", "kinds"]
+    seen = sorted((r.doc_id or 0, r.n_entities, r.kinds, r.text) for r in got.collect())
+    new = seen[0][3].split(" ")[0]
+    assert [s[:3] for s in seen] == [(0, 1, "email"), (1, 1, "email"), (1, 1, "email"), (2, 0, ""), (3, 0, ""),
+                                     (4, 1, "email"), (5, 0, "")]
+    assert seen[1][3] == seen[2][3] == f"x {new}" and seen[5][3] == "word " * 50_000 + new
+    assert seen[3][3] is None and seen[6][3] == rows[6][1]
+    assert pii.pseudonymize(docs.limit(0), "k").count() == 0
+
+
+def test_native(spark):
+    docs = spark.createDataFrame([(1, "a.b@c.org")], "doc_id long, text string")
+    plan = pii.pseudonymize(docs, "k")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert pii.pseudonymize(docs, "k").filter(F.col("n_entities") > 0).count() == 1
