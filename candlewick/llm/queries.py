@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import simhash
+from candlewick.llm import decontaminate, html, langid, licenses, linededup, mixing, pii, simhash, topk, warc
+
+#: Key of the surrogates in the test query; a real one is kept secret.
+TEST_KEY = "test"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.filter("doc_id IS NOT NULL").filter(~out))
+    found = langid.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.taken(mixing.mix(_table(spark, sf_dir, "documents")))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -22,7 +39,90 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the archives that hold all pages."""
+    found = warc.archived(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for personal data."""
+    found = pii.pseudonymize(_table(spark, sf_dir, "documents"), TEST_KEY)
+    return found.select("doc_id", "text", "n_entities", "kinds")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and benchmark items that they repeat."""
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontaminate.contaminated(docs, benchmark)
+    return found.select("doc_id", "item_id", "coverage", "tiles", "longest")
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for each hundredth one."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.license_scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of runs of lines."""
+    found = linededup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "deleted_lines")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
+    "op5_pii": op5_pii,
+    "op6_decontamination": op6_decontamination,
+    "op7_topk": op7_topk,
+    "op8_licenses": op8_licenses,
+    "op9_html": op9_html,
+    "op10_line_dedup": op10_line_dedup,
+}
+
+#: What SQL can express of the operators; the others have brute-force tests.
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d
+        ), r AS (
+            SELECT *, CASE WHEN n >= 100 AND first IS DISTINCT FROM page_id THEN first END AS refers_to FROM f
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+        FROM r
+    """,
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
 }
-ORACLES: dict[str, str] = {}
