@@ -41,10 +41,12 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("trade_date"),
         price.alias("price"),
         F.col("l_quantity").alias("size"),
-        # Line of the order, then price: equal places mean equal prices.
+        # Order, line (up to 999), cents: equal places mean equal prices.
         (
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")) % (1 << 38) * (1 << 24) + cents
-        ).alias("place"),
+            (F.col("l_orderkey").cast("decimal(19,0)") * F.lit(1000) + F.col("l_linenumber")).cast("decimal(22,0)")
+            * F.lit(10**15).cast("decimal(16,0)")
+            + cents
+        ).cast("decimal(38,0)").alias("place"),
         (F.col("l_orderkey") % 2 == 0).alias("taker"),
     )
     return _bars(trades)
@@ -68,26 +70,33 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_trades(events: DataFrame, symbol: str) -> DataFrame:
-    """Trades in the order (ts, event_id), priced at the event's value but at least 0.01.
+    """Trades in the order (ts, event_id), priced at the event's value.
 
-    The place within the day packs microseconds and the low 26 bits of the id into one
-    bigint. A struct key would force the aggregate to sort all rows first; with a fixed-width
-    key it stays a hash aggregate with map-side partials.
+    The place within the day is one decimal of microseconds and the whole id. A struct key would force
+    the aggregate to sort all rows first; with a fixed-width key it stays a hash aggregate with
+    map-side partials.
     """
     ts = F.col("ts")
     seconds = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000
     micros = seconds + (F.expr("extract(SECOND FROM ts)") * 1_000_000).cast("bigint")
-    price = F.greatest("value", F.lit(0.01))
+    price = F.col("value")
     return events.select(
         F.col(symbol).cast("string").alias("symbol"),
         F.to_date(ts).alias("trade_date"),
         price.alias("price"),
         price.alias("size"),
-        (micros * (1 << 26) + F.col("event_id") % (1 << 26)).alias("place"),
+        _place(micros, F.col("event_id")),
         (F.col("event_id") % 2 == 0).alias("taker"),
     )
 
 
+def _place(first: Column, second: Column) -> Column:
+    """One number that orders like (first, second), for first from 0 to 10^17 and any second."""
+    return (
+        first.cast("decimal(18,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + second.cast("decimal(20,0)")
+    ).cast("decimal(38,0)").alias("place")
+
+
 def _bars(trades: DataFrame) -> DataFrame:
     """Daily bars with the raw candle columns. Sums are rounded to the decimals they can have."""
     price, size, value = F.col("price"), F.col("size"), F.col("price") * F.col("size")
@@ -126,6 +135,11 @@ def _bars(trades: DataFrame) -> DataFrame:
     )
 
 
+def sound(bars: DataFrame) -> DataFrame:
+    """Bars without trades at price 0, which the contract rejects."""
+    return bars.filter("low > 0")
+
+
 def candles(bars: DataFrame) -> DataFrame:
     """Bars as a raw candle batch (contract columns only)."""
     return bars.drop("trade_date")
@@ -259,7 +273,7 @@ def market_payloads(markets: DataFrame) -> DataFrame:
             "roi"
         ),
     )
-    page = F.floor(F.col("coin_id").cast("bigint") / COINS_PER_PAYLOAD)
+    page = F.floor(F.regexp_extract("coin_id", "^[0-9]+", 0).cast("bigint") / COINS_PER_PAYLOAD)
     grouped = markets.groupBy(F.to_date("snapshot_date").alias("snapshot_day"), page).agg(
         F.concat_ws(",", F.collect_list(F.to_json(coin))).alias("body")
     )

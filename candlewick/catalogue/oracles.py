@@ -21,12 +21,12 @@ FROM {source} GROUP BY ALL"""
 
 
 def _event_bars(symbol: str) -> str:
-    price = "greatest(value, 0.01::DOUBLE)"
-    return _bars(symbol, "ts", price, price, "(ts, event_id)", "event_id % 2 = 0", "events")
+    return _bars(symbol, "ts", "value", "value", "(ts, event_id)", "event_id % 2 = 0", "events")
 
 
 EVENT_BARS = _event_bars("event_type")
 USER_BARS = _event_bars("user_id")
+SOUND_USER_BARS = f"SELECT * FROM ({USER_BARS}) WHERE low > 0"
 SUPPLIER_BARS = _bars(
     "l_suppkey",
     "l_shipdate",
@@ -119,14 +119,14 @@ FROM (
 WINDOW w AS (PARTITION BY symbol ORDER BY open_time_ms ROWS 6 PRECEDING)"""
 
 RETURNS = """
-SELECT symbol, open_time_ms, close, lag(close) OVER o AS pre_close,
+SELECT symbol, open_time_ms, CAST(row_number() OVER o - 1 AS INTEGER) AS event_index, close, lag(close) OVER o AS pre_close,
   ln(greatest(close, 1e-12)) - lag(ln(greatest(close, 1e-12))) OVER o AS event_return
 FROM bars WINDOW o AS (PARTITION BY symbol ORDER BY open_time_ms)"""
 
 
 def _windows(pre: int, post: int) -> str:
     return f"""
-SELECT symbol, open_time_ms, close AS event_close, pre_close, event_return,
+SELECT symbol, open_time_ms, event_index, close AS event_close, pre_close, event_return,
   list(event_return) FILTER (event_return IS NOT NULL) OVER before AS pre_returns,
   CAST(count(event_return) OVER before AS INTEGER) AS n_pre,
   avg(event_return) OVER before AS pre_mean,
@@ -149,19 +149,21 @@ EXACT_NULL = """
 SELECT symbol, open_time_ms, unnest(pre_returns) - pre_mean AS drawn FROM studied"""
 
 DRAWN_NULL = """
-SELECT symbol, open_time_ms, pre_returns[(mixed * 48271) % 2147483647 % n_pre + 1] - pre_mean
+SELECT symbol, open_time_ms, pre_returns[(mixed * 48271 + shift) % 2147483647 % n_pre + 1] - pre_mean
   AS drawn
 FROM (
   SELECT *, (counter * counter + 48271) % 2147483647 AS mixed
   FROM (
-    SELECT *, (CAST('0x' || substr(md5('42|' || symbol || '|' || open_time_ms), 1, 7) AS BIGINT)
-      + draw * 40692) % 2147483647 AS counter
-    FROM studied, (SELECT unnest(range(1, 501)) AS draw)))"""
+    SELECT *, (CAST('0x' || substr(digest, 1, 15) AS BIGINT) % 2147483647 + draw * 40692)
+        % 2147483647 AS counter,
+      CAST('0x' || substr(digest, 16, 15) AS BIGINT) % 2147483647 AS shift
+    FROM (SELECT *, md5('42|' || symbol || '|' || open_time_ms) AS digest FROM studied),
+      (SELECT unnest(range(1, 501)) AS draw)))"""
 
 
 def _study(pre: int, post: int) -> str:
     return f"""
-SELECT s.symbol, s.open_time_ms, {pre} AS pre_window, {post} AS post_window, n_pre, n_post,
+SELECT s.symbol, s.open_time_ms, event_index, {pre} AS pre_window, {post} AS post_window, n_pre, n_post,
   round(pre_mean, 6) AS pre_mean_log_return, round(event_return, 6) AS event_log_return,
   round(post_mean, 6) AS post_mean_log_return,
   round(event_return - pre_mean, 6) AS diff_event_minus_pre,
@@ -203,7 +205,7 @@ WHERE from_end <= 10 AND n > 15"""
 
 def _with(body: str, **ctes: str) -> str:
     parts = ",\n".join(f"{name} AS ({text})" for name, text in ctes.items())
-    return f"WITH {parts}\n{body}"
+    return f"WITH RECURSIVE {parts}\n{body}"
 
 
 def _on_markets(body: str, **ctes: str) -> str:
@@ -400,7 +402,7 @@ def _report_study(body: str) -> str:
         windows=_windows(12, 12),
         studied="SELECT * FROM windows SEMI JOIN middle USING (symbol, open_time_ms) "
         "WHERE n_pre = 12 AND n_post = 12",
-        nulls=EXACT_NULL,
+        nulls=DRAWN_NULL,
         study=_study(12, 12),
     )
 
@@ -418,8 +420,144 @@ def _events(
     )
 
 
-def _forecast(body: str) -> str:
-    return _with(body, bars=USER_BARS, predictions=PREDICTIONS)
+def _expected(n: str) -> str:
+    return (
+        f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n} "
+        f"WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+    )
+
+
+FEATURE_LIST = ("return_1d", "log_volume", "hl_range_pct", "close_open_pct", "volume_z", "return_z")
+CIRCLE = 16**15
+DEPTH = 8  # of trees on 256 rows
+
+
+def _digits(text: str, place: int, size: int) -> str:
+    return f"CAST('0x' || substr(md5({text}), {place}, {size}) AS BIGINT)"
+
+
+def _forest(body: str) -> str:
+    """The trees level by level, then every row's way down each of them."""
+    every = range(1, len(FEATURE_LIST) + 1)
+    ctes = {
+        "bars": USER_BARS,
+        "features": FEATURES,
+        "f": f"SELECT r.*, close, volume, [{', '.join('r.' + c for c in FEATURE_LIST)}] AS x "
+        f"FROM ({ALL_FEATURES}) r JOIN bars USING (symbol, open_time_ms)",
+        "trees": f"SELECT t AS tree, {_digits("'42|tree|' || t", 1, 15)} AS start FROM range(100) r(t)",
+        "drawn": f"""SELECT tree, 1 AS node, x FROM f, trees
+QUALIFY row_number() OVER (PARTITION BY tree
+  ORDER BY (({_digits("'42|' || symbol || '|' || open_time_ms", 1, 15)} - start) % {CIRCLE} + {CIRCLE})
+    % {CIRCLE}, symbol, open_time_ms) <= 256""",
+    }
+    points = "drawn"
+    for depth in range(DEPTH + 1):
+        low = f"[{', '.join(f'min(x[{i}])' for i in every)}]"
+        high = f"[{', '.join(f'max(x[{i}])' for i in every)}]"
+        split = f"len(varying) > 0 AND {depth} < {DEPTH}"
+        ctes[f"n{depth}"] = f"""
+SELECT tree, node, {depth} AS depth, n, {split} AS split,
+  CASE WHEN {split} THEN chosen END AS chosen,
+  CASE WHEN {split} THEN low[chosen] + 0.999::DOUBLE * (share / 16.0::DOUBLE ** 13)
+    * (high[chosen] - low[chosen]) END AS threshold
+FROM (
+  SELECT *, varying[{_digits("'42|' || tree || '|' || node", 1, 8)} % greatest(len(varying), 1) + 1] AS chosen,
+    CAST({_digits("'42|' || tree || '|' || node", 9, 13)} AS DOUBLE) AS share
+  FROM (
+    SELECT *, [i FOR i IN {list(every)} IF low[i] < high[i]] AS varying
+    FROM (SELECT tree, node, count(*) AS n, {low} AS low, {high} AS high FROM {points} GROUP BY tree, node)))"""
+        if depth < DEPTH:
+            ctes[f"p{depth + 1}"] = f"""
+SELECT p.tree, 2 * p.node + CASE WHEN x[chosen] > threshold THEN 1 ELSE 0 END AS node, x
+FROM {points} p JOIN n{depth} n ON p.tree = n.tree AND p.node = n.node WHERE split"""
+            points = f"p{depth + 1}"
+    ctes["nodes"] = " UNION ALL ".join(f"SELECT * FROM n{d}" for d in range(DEPTH + 1))
+    way = "SELECT symbol, open_time_ms, x, tree, 1 AS node FROM f, trees"
+    for depth in range(DEPTH):
+        ctes[f"w{depth}"] = way
+        way = f"""
+SELECT symbol, open_time_ms, x, w.tree, CASE WHEN split
+    THEN 2 * w.node + CASE WHEN x[chosen] > threshold THEN 1 ELSE 0 END ELSE w.node END AS node
+FROM w{depth} w JOIN nodes n ON w.tree = n.tree AND w.node = n.node"""
+    ctes["ends"] = way
+    ctes["scores"] = f"""
+SELECT symbol, open_time_ms,
+  -pow(2, -avg(depth + {_expected('n::DOUBLE')}) / (SELECT {_expected('256::DOUBLE')})) AS score
+FROM ends e JOIN nodes n ON e.tree = n.tree AND e.node = n.node GROUP BY ALL"""
+    ctes["scored"] = """
+SELECT symbol, open_time_ms, close, volume, return_1d, round(score - edge, 8) AS anomaly_score,
+  score - edge < 0 AS is_anomaly
+FROM scores JOIN f USING (symbol, open_time_ms), (SELECT quantile_cont(score, 0.05) AS edge FROM scores)"""
+    ctes["top"] = "SELECT * FROM scored ORDER BY anomaly_score, symbol, open_time_ms LIMIT 5"
+    ctes["summary"] = """
+SELECT count(*) AS n_rows, count(*) FILTER (is_anomaly) AS n_anomalies,
+  round(CAST(count(*) FILTER (is_anomaly) AS DOUBLE) / count(*), 4) AS anomaly_rate FROM scored"""
+    return _with(body, **ctes)
+
+
+def _forecast(body: str, **more: str) -> str:
+    return _with(body, bars=USER_BARS, predictions=PREDICTIONS, **more)
+
+
+UNIT = "(0.9::DOUBLE / 81)"
+
+
+def _arima() -> dict[str, str]:
+    """The lattice search: errors of every candidate row by row, the best for each step, its neighbours."""
+    ctes = {
+        "changes": """
+SELECT symbol, n, t, w, close FROM (
+  SELECT symbol, close, close - lag(close) OVER o AS w, row_number() OVER o - 1 AS t,
+    count(*) OVER (PARTITION BY symbol) AS n
+  FROM bars WINDOW o AS (PARTITION BY symbol ORDER BY open_time_ms)) WHERE n > 15 AND t > 0""",
+        "c0": """
+SELECT symbol, a, b FROM (SELECT DISTINCT symbol FROM changes),
+  (SELECT unnest(range(-81, 82, 27)) AS a), (SELECT unnest(range(-81, 82, 27)) AS b)""",
+    }
+    for turn, spacing in enumerate((27, 9, 3, 1)):
+        if turn:
+            ctes[f"c{turn}"] = f"""
+SELECT DISTINCT symbol, least(greatest(a + x * {spacing}, -88), 88) AS a,
+  least(greatest(b + y * {spacing}, -88), 88) AS b
+FROM b{turn - 1}, (SELECT unnest([-1, 0, 1]) AS x), (SELECT unnest([-1, 0, 1]) AS y)"""
+        ctes[f"r{turn}"] = f"""
+SELECT symbol, a, b, t, w, w AS e, w * w AS cost, n, close FROM c{turn} JOIN changes USING (symbol) WHERE t = 1
+UNION ALL
+SELECT symbol, a, b, t, w, e, cost + e * e AS cost, n, close FROM (
+  SELECT r.symbol, r.a, r.b, c.t, c.w, c.w - a * {UNIT} * r.w - (-(b * {UNIT})) * r.e AS e, r.cost, c.n, c.close
+  FROM r{turn} r JOIN changes c ON r.symbol = c.symbol AND c.t = r.t + 1)"""
+        ctes[f"b{turn}"] = f"""
+SELECT *, t - n + 12 AS step FROM r{turn} WHERE t BETWEEN n - 11 AND n - 2
+QUALIFY row_number() OVER (PARTITION BY symbol, t
+  ORDER BY round(ln(greatest(cost, 1e-300)), 9), abs(a) + abs(b), a, b) = 1"""
+    ctes["arima"] = f"""
+SELECT symbol, CAST(step AS INTEGER) AS step, p.actual,
+  CASE WHEN cost > 0 THEN close + a * {UNIT} * w + (-(b * {UNIT})) * e ELSE close END AS pred,
+  NOT cost > 0 AS fit_failed, cost > 0 AND abs(a) < 88 AND abs(b) < 88 AS converged
+FROM b3 JOIN predictions p USING (symbol, step)"""
+    return ctes
+
+
+ARIMA = _arima()
+METRICS = """
+SELECT symbol, avg(abs(actual - pred)) AS mae, sqrt(avg((actual - pred) * (actual - pred))) AS rmse,
+  coalesce(avg(CASE WHEN step > 1 THEN CASE WHEN sign(actual - last) = sign(pred - last) THEN 1.0 ELSE 0.0
+    END END), 0) AS hit
+FROM (SELECT *, lag(actual) OVER (PARTITION BY symbol ORDER BY step) AS last FROM {})
+GROUP BY symbol"""
+EVALUATED = """
+SELECT symbol, n - 10 AS n_train, 10 AS n_holdout, '1,1,1' AS arima_order,
+  round(v.mae, 4) AS naive_mae, round(v.rmse, 4) AS naive_rmse, round(v.hit, 4) AS naive_directional_accuracy,
+  round(m.mae, 4) AS arima_mae, round(m.rmse, 4) AS arima_rmse, round(m.hit, 4) AS arima_directional_accuracy,
+  round(m.mae, 4) < round(v.mae, 4) AS arima_beats_naive_mae
+FROM (SELECT symbol, count(*) AS n FROM bars GROUP BY symbol)
+  JOIN naive v USING (symbol) JOIN model m USING (symbol)"""
+EVALUATION = {
+    **ARIMA,
+    "naive": METRICS.format("predictions"),
+    "model": METRICS.format("arima"),
+    "evaluated": EVALUATED,
+}
 
 
 EVERY = "SELECT * FROM "
@@ -436,9 +574,14 @@ ORACLES: dict[str, str] = {
     ),
     "ingest_all_symbols": _with(
         f"""SELECT symbol, count(*) AS rows FROM bars
-WHERE open_time_ms + {DAY_MS} - 1 <= 1705708800000 GROUP BY symbol""",
+WHERE open_time_ms + {DAY_MS} - 1 <= 1705708800000 AND low > 0 GROUP BY symbol""",
         bars=EVENT_BARS,
     ),
+    "ingest_all_markets": _with(
+        """SELECT coin_id || '@' || strftime(snapshot_date, '%Y-%m') AS coin_id, current_price, market_cap,
+  snapshot_date, DATE '2024-02-01' AS ingested_date FROM markets""",
+        markets=MARKETS,
+    ),
     "write_raw_partition": _with(
         """SELECT symbol, open_time_ms, open, high, low, close, volume,
   DATE '2024-02-01' AS ingested_date FROM bars""",
@@ -710,9 +853,12 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
         bars=EVENT_BARS,
     ),
     "contract_probes": _with(
-        EVERY + "probes", markets=MARKETS, bars=USER_BARS, probes=PROBES
+        "SELECT *, CASE WHEN detail = 'validated' THEN '' ELSE detail END AS broken FROM probes",
+        markets=MARKETS,
+        bars=SOUND_USER_BARS,
+        probes=PROBES,
     ),
-    "probe_summary": _with(SUMMARY, markets=MARKETS, bars=USER_BARS, probes=PROBES),
+    "probe_summary": _with(SUMMARY, markets=MARKETS, bars=SOUND_USER_BARS, probes=PROBES),
     "warehouse_freshness": _with(
         """SELECT count(DISTINCT symbol) AS symbols, max(trade_date) AS max_day,
   min(trade_date) AS min_day FROM bars""",
@@ -721,13 +867,14 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
     "warehouse_row_counts": _on_markets(WAREHOUSE_COUNTS, bars=EVENT_BARS),
     "qc_scorecard": _on_markets(
         """SELECT 5 AS probes, summary.*, true AS available,
+  'mart_daily_ohlcv,mart_market_overview,stg_klines' AS tables, CAST(NULL AS VARCHAR) AS reason,
   (SELECT string_agg(table_name || '=' || n, ',' ORDER BY table_name) FROM counts) AS row_counts,
   (SELECT count(DISTINCT symbol) FROM event_bars) AS symbols,
   (SELECT max(trade_date) FROM event_bars) AS max_day,
   (SELECT min(trade_date) FROM event_bars) AS min_day,
   CAST(CASE WHEN failed > 0 THEN 1 ELSE 0 END AS BIGINT) AS caveats
 FROM summary""",
-        bars=USER_BARS,
+        bars=SOUND_USER_BARS,
         event_bars=EVENT_BARS,
         probes=PROBES,
         summary=SUMMARY,
@@ -745,6 +892,35 @@ FROM bars""",
         middle=MIDDLE,
         bars=SHOCKED,
     ),
+    "exact_quantiles": """
+SELECT q, round(price, 6) AS price FROM (
+  SELECT unnest([0.0::DOUBLE, 0.05::DOUBLE, 0.5::DOUBLE, 0.999::DOUBLE]) AS q,
+    unnest(quantile_cont(l_extendedprice, [0.0, 0.05, 0.5, 0.999])) AS price FROM lineitem)""",
+    "anomaly_fit": _forest(
+        f"""SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node,
+  CAST(CASE WHEN split THEN chosen - 1 ELSE 0 END AS INTEGER) AS feature,
+  round(coalesce(threshold, 0), 6) AS threshold,
+  CAST(CASE WHEN split THEN 2 * node ELSE node END AS INTEGER) AS "left",
+  CAST(CASE WHEN split THEN 2 * node + 1 ELSE node END AS INTEGER) AS "right",
+  round(CASE WHEN split THEN 0 ELSE depth + {_expected('n::DOUBLE')} END, 6) AS path FROM nodes"""
+    ),
+    "anomaly_score": _forest(
+        "SELECT symbol, open_time_ms, close, anomaly_score, is_anomaly FROM scored"
+    ),
+    "top_anomalies": _forest(
+        "SELECT open_time_ms, symbol, close, return_1d, volume, anomaly_score, is_anomaly FROM top"
+    ),
+    "anomaly_summary": _forest(EVERY + "summary"),
+    "spike_flagged": _forest(
+        """SELECT coalesce(bool_or(is_anomaly OR abs(return_1d) > 0.1), false) AS spike_flagged
+FROM (SELECT * FROM top ORDER BY anomaly_score, symbol, open_time_ms LIMIT 1)"""
+    ),
+    "anomaly_report": _forest(
+        f"""SELECT 'user bars' AS source, summary.*, 42 AS seed,
+  '{",".join(FEATURE_LIST)}' AS feature_columns,
+  (SELECT string_agg(symbol || '@' || open_time_ms, ',' ORDER BY anomaly_score, open_time_ms, symbol)
+    FROM top) AS top_flags, 2 AS caveats FROM summary"""
+    ),
     "naive_forecast": _forecast(EVERY + "predictions"),
     "forecast_metrics": _forecast(
         """SELECT symbol, 'naive' AS model, round(avg(abs(actual - pred)), 6) AS mae,
@@ -754,6 +930,17 @@ FROM bars""",
   count(*) AS n_holdout, 0::BIGINT AS n_fit_failed
 FROM predictions GROUP BY symbol"""
     ),
+    "arima_forecast": _forecast(
+        """SELECT symbol, 'arima' AS model, step, actual, round(pred, 4) AS pred, fit_failed, converged
+FROM arima""",
+        **ARIMA,
+    ),
+    "forecast_eval": _forecast(EVERY + "evaluated", **EVALUATION),
+    "forecast_report": _forecast(
+        """SELECT symbol, 'user bars' AS source, 2 AS limitations, n_train, naive_mae, arima_mae,
+  arima_beats_naive_mae FROM evaluated""",
+        **EVALUATION,
+    ),
     "forecast_eligibility": _with(
         "SELECT symbol, count(*) AS n, count(*) > 15 AS eligible FROM bars GROUP BY symbol",
         bars=USER_BARS,

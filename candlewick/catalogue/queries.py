@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from candlewick.catalogue import bindings as b
 from candlewick.functions.columns import utc_clock, utc_date
 from candlewick.operators import checks, contracts, serve
-from candlewick.operators.arima import arima_forecast
+from candlewick.operators.arima import ORDER, arima_forecast
 from candlewick.operators.events import event_study, event_windows, rejected_events
 from candlewick.operators.features import (
     FEATURE_COLUMNS,
@@ -30,6 +30,7 @@ from candlewick.operators.forecast import (
     series_lengths,
 )
 from candlewick.operators.iforest import grow_trees, tree_samples
+from candlewick.operators.quantile import exact_quantile
 from candlewick.operators.keyed import (
     append_series,
     last_n_per_key,
@@ -38,7 +39,13 @@ from candlewick.operators.keyed import (
     top_n_per_key,
 )
 from candlewick.plans import models, research, scorecard, warehouse
-from candlewick.plans.ingest import KLINES_DATASET, RAW_SCHEMAS, ingest_klines
+from candlewick.plans.ingest import (
+    KLINES_DATASET,
+    MARKETS_DATASET,
+    RAW_SCHEMAS,
+    ingest_klines,
+    ingest_markets,
+)
 from candlewick.sources import payloads, raw, reports, snapshot
 from candlewick.sources.storage import fresh_path, stored
 
@@ -55,6 +62,9 @@ OVERVIEW_FRESH_FROM = dt.date(1998, 1, 1)
 OVERVIEW_PREVIOUS_UNTIL = dt.date(1998, 6, 1)
 DOMINANT = "0"
 HOLDOUT = 10
+# Small enough for borders between blocks, and for narrowing passes, in the test tables.
+SMALL_BLOCK = 512
+SMALL_KEEP = 1000
 
 MART_DIGITS = {
     "daily_return": 8,
@@ -128,10 +138,24 @@ def closed_candle_filter(spark, sf_dir):
 
 @query("ingest_all_symbols")
 def ingest_all_symbols(spark, sf_dir):
-    landed = b.candle_payloads(b.event_bars(spark, sf_dir))
+    landed = b.candle_payloads(b.sound(b.event_bars(spark, sf_dir)))
     return ingest_klines(landed, fresh_path(spark, "raw"), AS_OF_MS, INGESTED)
 
 
+@query("ingest_all_markets")
+def ingest_all_markets(spark, sf_dir):
+    # Each month is a batch of its own in the source; here all come at once under distinct ids.
+    month = F.date_format("snapshot_date", "yyyy-MM")
+    coins = b.market_snapshots(spark, sf_dir).withColumn("coin_id", F.concat("coin_id", F.lit("@"), month))
+    landed = b.market_payloads(coins)
+    root = fresh_path(spark, "raw")
+    ingest_markets(landed, root, F.col("snapshot_day"), INGESTED)
+    raw_rows = raw.load_raw(spark, root, {MARKETS_DATASET: RAW_SCHEMAS[MARKETS_DATASET]})
+    return raw_rows[MARKETS_DATASET].select(
+        "coin_id", "current_price", "market_cap", "snapshot_date", "ingested_date"
+    )
+
+
 @query("write_raw_partition")
 def write_raw_partition(spark, sf_dir):
     root = fresh_path(spark, "raw")
@@ -269,7 +293,8 @@ def mart_daily_ohlcv_suppliers(spark, sf_dir):
 
 @query("mart_daily_ohlcv_blocked")
 def mart_daily_ohlcv_blocked(spark, sf_dir):
-    return rounded(models.mart_daily_ohlcv(b.user_bars(spark, sf_dir)), MART_DIGITS)
+    mart = models.mart_daily_ohlcv(b.user_bars(spark, sf_dir), block_rows=SMALL_BLOCK)
+    return rounded(mart, MART_DIGITS)
 
 
 @query("market_overview")
@@ -518,7 +543,7 @@ def test_unique(spark, sf_dir):
 def _probes(spark, sf_dir) -> DataFrame:
     # Five probes read each input, so both are written once.
     markets = stored(b.market_snapshots(spark, sf_dir), "markets")
-    klines = stored(b.candles(b.user_bars(spark, sf_dir)), "klines")
+    klines = stored(b.candles(b.sound(b.user_bars(spark, sf_dir))), "klines")
     return scorecard.contract_probes(markets, klines, markets_batch=["ingested_date"])
 
 
@@ -531,7 +556,8 @@ def data_tests(spark, sf_dir):
 
 @query("contract_probes")
 def contract_probes(spark, sf_dir):
-    return _probes(spark, sf_dir).select("name", "dataset", "expected", "passed", "detail")
+    probes = _probes(spark, sf_dir).withColumn("broken", F.concat_ws("; ", "broken"))
+    return probes.select("name", "dataset", "expected", "passed", "detail", "broken")
 
 
 @query("probe_summary")
@@ -563,6 +589,8 @@ def qc_scorecard(spark, sf_dir):
         F.size("probes").alias("probes"),
         "probe_summary.*",
         "warehouse.available",
+        F.array_join("warehouse.tables", ",").alias("tables"),
+        "warehouse.reason",
         F.array_join(counts, ",").alias("row_counts"),
         "warehouse.ohlcv.*",
         F.size("caveats").cast("bigint").alias("caveats"),
@@ -571,6 +599,16 @@ def qc_scorecard(spark, sf_dir):
 
 # --- features and research
 
+
+@query("exact_quantiles")
+def exact_quantiles(spark, sf_dir):
+    prices = stored(b.table(spark, sf_dir, "lineitem").select("l_extendedprice"), "prices")
+    found = [
+        (q, exact_quantile(prices, "l_extendedprice", q, SMALL_KEEP)) for q in (0.0, 0.05, 0.5, 0.999)
+    ]
+    return rounded(spark.createDataFrame(found, "q double, price double"), {"price": 6})
+
+
 FEATURE_DIGITS = dict.fromkeys(FEATURE_COLUMNS, 6)
 
 
@@ -590,7 +628,7 @@ def ohlcv_features_suppliers(spark, sf_dir):
 @query("ohlcv_features_ticks")
 def ohlcv_features_ticks(spark, sf_dir):
     columns = ("symbol", "open_time_ms", "open", "high", "low", "close", "volume")
-    rows = ohlcv_features(b.ticks(spark, sf_dir).select(*columns))
+    rows = ohlcv_features(b.ticks(spark, sf_dir).select(*columns), block_rows=SMALL_BLOCK)
     return rounded(rows.select("symbol", "open_time_ms", *FEATURE_COLUMNS), FEATURE_DIGITS)
 
 
@@ -603,7 +641,8 @@ def user_log_returns(spark, sf_dir):
 
 @query("log_returns_ticks")
 def log_returns_ticks(spark, sf_dir):
-    rows = log_returns(b.ticks(spark, sf_dir).select("symbol", "open_time_ms", "close"))
+    ticks = b.ticks(spark, sf_dir).select("symbol", "open_time_ms", "close")
+    rows = log_returns(ticks, block_rows=SMALL_BLOCK)
     return rounded(rows.select("symbol", "open_time_ms", "log_return"), {"log_return": 8})
 
 
@@ -615,17 +654,24 @@ def shocked_bars(spark, sf_dir):
 
 
 
+def _forest_features(spark, sf_dir) -> DataFrame:
+    # Rounded, so that both engines put a row on the same side of every threshold.
+    return rounded(ohlcv_features(b.user_bars(spark, sf_dir), daily=True), FEATURE_DIGITS)
+
+
 def _anomalies(spark, sf_dir) -> DataFrame:
-    return research.detect_anomalies(ohlcv_features(b.user_bars(spark, sf_dir), daily=True))
+    scored = research.detect_anomalies(_forest_features(spark, sf_dir))
+    return rounded(scored, {"anomaly_score": 8})
 
 
 @query("anomaly_fit")
 def anomaly_fit(spark, sf_dir):
-    features = stored(ohlcv_features(b.user_bars(spark, sf_dir), daily=True), "features")
+    features = stored(_forest_features(spark, sf_dir), "features")
     rows = features.count()
     key = ["symbol", "open_time_ms"]
     sampled = tree_samples(features, FEATURE_COLUMNS, key, rows, 100, min(256, rows), 42)
-    return grow_trees(sampled, FEATURE_COLUMNS, min(256, rows), 42)
+    nodes = grow_trees(sampled, FEATURE_COLUMNS, min(256, rows), 42)
+    return rounded(nodes, {"threshold": 6, "path": 6})
 
 
 @query("anomaly_score")
@@ -651,7 +697,20 @@ def spike_flagged(spark, sf_dir):
 
 @query("anomaly_report")
 def anomaly_report(spark, sf_dir):
-    return research.anomaly_report(_anomalies(spark, sf_dir), source="user bars")
+    report = research.anomaly_report(_anomalies(spark, sf_dir), source="user bars")
+    flags = F.transform(
+        "top_flags", lambda f: F.concat_ws("@", f["symbol"], f["open_time_ms"].cast("string"))
+    )
+    return report.select(
+        "source",
+        "summary.n_rows",
+        "summary.n_anomalies",
+        "summary.anomaly_rate",
+        "summary.seed",
+        F.array_join("summary.feature_columns", ",").alias("feature_columns"),
+        F.array_join(flags, ",").alias("top_flags"),
+        F.size("caveats").alias("caveats"),
+    )
 
 
 @query("naive_forecast")
@@ -677,27 +736,37 @@ def forecast_eligibility(spark, sf_dir):
 
 @query("arima_forecast")
 def rolling_arima(spark, sf_dir):
-    return arima_forecast(b.event_bars(spark, sf_dir), HOLDOUT, daily=True)
+    rows = arima_forecast(b.user_bars(spark, sf_dir), HOLDOUT, block_rows=SMALL_BLOCK)
+    return rounded(rows, {"pred": 4})
 
 
 
 def _evaluated(spark, sf_dir) -> DataFrame:
-    bars = b.event_bars(spark, sf_dir)
-    predictions = naive_forecast(bars, HOLDOUT).unionByName(
-        arima_forecast(bars, HOLDOUT, daily=True)
-    )
-    return forecast_eval(bars, predictions, HOLDOUT)
+    bars = b.user_bars(spark, sf_dir)
+    model = arima_forecast(bars, HOLDOUT).drop("converged")
+    predictions = naive_forecast(bars, HOLDOUT).unionByName(model)
+    return forecast_eval(bars, predictions, HOLDOUT, digits=4, order=ORDER)
 
 
 @query("forecast_eval")
 def model_comparison(spark, sf_dir):
-    return _evaluated(spark, sf_dir)
+    rows = _evaluated(spark, sf_dir)
+    return rows.withColumn("arima_order", F.concat_ws(",", "arima_order"))
 
 
 
 @query("forecast_report")
 def forecast_report(spark, sf_dir):
-    return research.research_report(_evaluated(spark, sf_dir), "forecast", source="event bars")
+    report = research.research_report(_evaluated(spark, sf_dir), "forecast", source="user bars")
+    return report.select(
+        "symbol",
+        "source",
+        F.size("limitations").alias("limitations"),
+        "evidence.n_train",
+        "evidence.naive_mae",
+        "evidence.arima_mae",
+        "evidence.arima_beats_naive_mae",
+    )
 
 
 WINDOW_DIGITS = {"event_return": 8, "pre_mean": 8, "post_mean": 8}
@@ -722,7 +791,7 @@ def event_study_windows(spark, sf_dir):
 
 @query("event_study_windows_ticks")
 def event_study_windows_ticks(spark, sf_dir):
-    windows = event_windows(b.ticks(spark, sf_dir))
+    windows = event_windows(b.ticks(spark, sf_dir), block_rows=SMALL_BLOCK)
     columns = ("symbol", "open_time_ms", "n_pre", "n_post", "complete", *WINDOW_DIGITS)
     return rounded(windows.select(*columns), WINDOW_DIGITS)
 
@@ -754,7 +823,7 @@ def event_study_report(spark, sf_dir):
     bars = b.event_bars(spark, sf_dir)
     events = b.middle_bars(bars)
     study = event_study(
-        inject_shock(bars, events, daily=True), events, pre=12, post=12, daily=True
+        inject_shock(bars, events, daily=True), events, 12, 12, null="bootstrap", daily=True
     )
     report = research.research_report(
         study, "event_study", ["symbol", "open_time_ms"], source="event bars"

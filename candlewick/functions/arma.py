@@ -1,94 +1,49 @@
-"""ARMA likelihoods of numpy series.
+"""Conditional sums of squares of ARMA models over blocks of a series.
 
-A fit minimises the exact Gaussian likelihood, computed by a Kalman recursion, with a
-shrinking pattern search over partial autocorrelations (so every candidate is stationary
-and invertible).
+Prediction errors are linear in the errors before a block, so a block can be read without knowing them:
+it is read once for its data and once for each unit error before it. Sums over blocks then compose
+exactly, whatever their size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import product
 from math import comb
 
 import numpy as np
 
-# Largest partial autocorrelation a candidate may have.
-PACF_LIMIT = 0.995
-SETTLED = 1e-10
-FIRST_STEP = 0.5
-FINEST_STEP = 1e-4
-MAX_ROUNDS = 120
+# Candidates are points of a lattice: partial autocorrelations in units of UNIT, at most LIMIT units. The
+# first lattice has seven points for each coefficient; the search then goes to the neighbours of the best
+# point at ever finer spacings.
+UNIT = 0.9 / 81
+LIMIT = 88
+SPACINGS = (27, 9, 3, 1)
+# Costs that agree to this many digits of their logarithm tie; the point nearest to zero wins.
+DIGITS = 9
 
 
-def rolling_predictions(
-    closes: np.ndarray, holdout: int, order: tuple[int, int, int]
-) -> tuple[np.ndarray, np.ndarray]:
-    """Predictions of the last `holdout` values and whether each fit failed."""
-    d = order[1]
-    known = len(closes) - holdout + np.arange(holdout)  # rows before each step
-    fallback = closes[known - 1]
-    with np.errstate(all="ignore"):
-        changes = fit_and_predict(np.diff(closes, n=d), known - d, order)
-    predictions = changes + carried(closes, known, d)
-    failed = ~np.isfinite(predictions)
-    return np.where(failed, fallback, predictions), failed
+def first_points(size: int) -> np.ndarray:
+    """The coarse lattice."""
+    return _moves(range(-3, 4), size) * SPACINGS[0]
 
 
-def carried(closes: np.ndarray, at: np.ndarray, d: int) -> np.ndarray:
-    """What undoing `d` differences adds at rows `at`: minus the sum of (-1)^k C(d, k) y[t-k]."""
-    terms = [(-1) ** (k + 1) * comb(d, k) * closes[at - k] for k in range(1, d + 1)]
-    return np.sum(terms, axis=0) if terms else np.zeros(len(at))
+def _moves(steps, size: int) -> np.ndarray:
+    return np.array(list(product(steps, repeat=size)), dtype=np.int64).reshape(len(steps) ** size, size)
 
 
-def fit_and_predict(
-    series: np.ndarray, lengths: np.ndarray, order: tuple[int, int, int]
-) -> np.ndarray:
-    """Next value after each prefix of `series`; NaN where no model can be fitted.
+def neighbours(points: np.ndarray, spacing: int) -> np.ndarray:
+    """All distinct points next to the given ones."""
+    size = points.shape[1]
+    if size == 0:
+        return points[:1]
+    near = points[:, None, :] + spacing * _moves((-1, 0, 1), size)[None]
+    return np.unique(np.clip(near, -LIMIT, LIMIT).reshape(-1, size), axis=0)
 
-    All prefixes are searched at once: row k of every array belongs to prefix k.
-    """
-    p, d, q = order
-    spreads = np.array([np.ptp(series[:n]) if n > p + q + 1 else 0.0 for n in lengths])
-    centre = np.array([series[:n].mean() if d == 0 else 0.0 for n in lengths])
-    size = p + q
-    rows = np.arange(len(lengths))
-    points = np.broadcast_to(corners(size), (len(lengths), *corners(size).shape))
-    step = np.full(len(lengths), FIRST_STEP)
-    best, best_cost = np.zeros((len(lengths), size)), np.full(len(lengths), np.inf)
-    ahead = np.full(len(lengths), np.nan)
-    for _ in range(MAX_ROUNDS):
-        cost, following = prefix_costs(series, lengths, centre, points, p, q)
-        cost = np.where(np.isfinite(cost), cost, np.inf)
-        pick = cost.argmin(axis=1)
-        better = cost[rows, pick] < best_cost - 1e-12
-        best[better] = points[rows, pick][better]
-        ahead[better] = following[rows, pick][better]
-        best_cost[better] = cost[rows, pick][better]
-        step = np.where(better, step, step / 2)
-        if size == 0 or (step < FINEST_STEP).all():
-            break
-        points = best[:, None, :] + step[:, None, None] * moves(size)
-    usable = (spreads > 0) & np.isfinite(best_cost)
-    return np.where(usable, ahead + centre, np.nan)
-
-
-def corners(size: int) -> np.ndarray:
-    """First candidates: a coarse lattice, or only its middle when it would be large."""
-    return moves(size) if size <= 3 else np.zeros((1, size))
-
-
-def moves(size: int) -> np.ndarray:
-    """Directions of one search round: a full lattice, or one coordinate at a time."""
-    if size <= 3:
-        return np.array(list(product((-1.0, 0.0, 1.0), repeat=size)))
-    return np.vstack([np.eye(size), -np.eye(size)])
-
-
-def coefficients(free: np.ndarray) -> np.ndarray:
-    """Autoregressive coefficients of a stationary process from unbounded numbers (Levinson)."""
-    partial = PACF_LIMIT * np.tanh(free)
-    result = np.zeros_like(partial)
+
+def coefficients(points: np.ndarray) -> np.ndarray:
+    """Coefficients of a stationary process from its partial autocorrelations (Levinson)."""
+    partial = UNIT * points
+    result = np.zeros(partial.shape)
     for k in range(partial.shape[-1]):
         reflection = partial[..., k : k + 1]
         previous = result[..., :k]
@@ -97,74 +52,94 @@ def coefficients(free: np.ndarray) -> np.ndarray:
     return result
 
 
-def prefix_costs(
-    series: np.ndarray, lengths: np.ndarray, centre: np.ndarray, points: np.ndarray, p: int, q: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Concentrated -2 log likelihood of each prefix under each candidate, and the next value."""
-    shape = points.shape[:2]
-    squares, logs = np.zeros(shape), np.zeros(shape)
-    cost, following = np.full(shape, np.inf), np.full(shape, np.nan)
-    steps = innovations(series[: lengths.max()], centre, points, p, q)
-    for t, (surprise, variance, ahead) in enumerate(steps):
-        squares += surprise * surprise / variance
-        logs += np.log(variance)
-        for k in np.flatnonzero(lengths == t + 1):
-            cost[k] = lengths[k] * np.log(squares[k] / lengths[k]) + logs[k]
-            following[k] = ahead[k]
-    return cost, following
-
-
-def innovations(
-    series: np.ndarray, centre: np.ndarray, points: np.ndarray, p: int, q: int
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per value and candidate: the prediction error, its relative variance, the next prediction.
-
-    The variance does not depend on the data and soon stops changing; from then on a step is
-    one linear update.
-    """
-    shape = points.shape[:2]
-    r = max(p, q + 1)
-    phi, impact = np.zeros((*shape, r)), np.zeros((*shape, r))
-    phi[..., :p] = coefficients(points[..., :p])
-    impact[..., 0] = 1.0
-    impact[..., 1 : q + 1] = -coefficients(points[..., p:])
-    noise = impact[..., :, None] * impact[..., None, :]
-    covariance = stationary_covariance(phi, noise)
-    state = np.zeros((*shape, r))
-    settled = False
-    for value in series:
-        surprise = value - centre[:, None] - state[..., 0]
-        if not settled:
-            variance = covariance[..., 0, 0]
-            gain = advance(phi, covariance[..., :, 0, None])[..., 0] / variance[..., None]
-            after = propagate(phi, covariance) + noise
-            after -= gain[..., :, None] * gain[..., None, :] * variance[..., None, None]
-            settled = bool(np.abs(after - covariance).max() < SETTLED)
-            covariance = after
-        state = advance(phi, state[..., None])[..., 0] + gain * surprise[..., None]
-        yield surprise, variance, state[..., 0]
-
-
-def advance(phi: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """The companion matrix of `phi` times a matrix given by its last two axes."""
-    result = phi[..., :, None] * columns[..., :1, :]
-    result[..., :-1, :] += columns[..., 1:, :]
-    return result
+def split(points: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Autoregressive and moving-average coefficients of points."""
+    return coefficients(points[..., :p]), -coefficients(points[..., p:])
+
 
+def read_blocks(
+    values: np.ndarray, there: np.ndarray, active: np.ndarray, points: np.ndarray, p: int, q: int, mean: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of products (block, candidate, K, K) and last errors (block, candidate, K, q) of K readings.
 
-def propagate(phi: np.ndarray, covariance: np.ndarray) -> np.ndarray:
-    """T P T' for the companion matrix T of `phi`."""
-    return advance(phi, np.swapaxes(advance(phi, covariance), -1, -2))
+    `values` (block, p + time) begins with the p values before the block; `there` is 0 where a series has
+    no value, `active` says which times count. Readings: the data, each unit error before the block, and
+    the response to a mean of one if `mean`.
+    """
+    phi, theta = split(points, p)
+    blocks, candidates = points.shape[:2]
+    readings = 1 + q + mean
+    sums = np.zeros((blocks, candidates, readings, readings))
+    errors = np.zeros((blocks, candidates, readings, q))
+    for j in range(q):
+        errors[:, :, 1 + j, j] = 1.0
+    for t in range(active.shape[1]):
+        now = p + t
+        new = np.zeros((blocks, candidates, readings))
+        lags = slice(now - p, now)
+        new[:, :, 0] = values[:, None, now] - (phi * values[:, None, lags][..., ::-1]).sum(axis=-1)
+        if mean:
+            new[:, :, -1] = -(there[:, None, now] - (phi * there[:, None, lags][..., ::-1]).sum(axis=-1))
+        new -= (theta[:, :, None, :] * errors).sum(axis=-1)
+        go = active[:, t]
+        new[~go] = 0.0
+        sums += new[..., :, None] * new[..., None, :]
+        if q:
+            shifted = np.concatenate((new[..., None], errors[..., :-1]), axis=-1)
+            errors = np.where(go[:, None, None, None], shifted, errors)
+    return sums, errors
+
+
+def roll(
+    parts: list[tuple[np.ndarray, np.ndarray]],
+    before: tuple[int, float],
+    tail: np.ndarray,
+    points: np.ndarray,
+    holdout: int,
+    order: tuple[int, int, int],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best point, its cost and the next change for each step of the holdout.
+
+    `parts` are the blocks' sums and errors in order, `before` the number and sum of their changes, `tail`
+    the closes from d + p rows before the holdout on. Step k knows all before it; with d = 0 the mean of
+    what it knows is taken off.
+    """
+    p, d, q = order
+    changes = np.diff(tail, n=d)
+    phi, theta = split(points, p)
+    known = changes[p:]  # the first one is the holdout's
+    count, total = before
+    through = np.concatenate(([0.0], np.cumsum(known[:-1])))
+    centre = (total + through) / (count + np.arange(holdout)) if d == 0 else np.zeros(holdout)
+    shape = (holdout, len(points))
+    cost, errors = np.zeros(shape), np.zeros((*shape, q))
+    for sums, last in parts:
+        weights = np.concatenate((np.ones((*shape, 1)), errors), axis=-1)
+        if d == 0:
+            weights = np.concatenate((weights, np.broadcast_to(centre[:, None, None], (*shape, 1))), axis=-1)
+        cost += np.einsum("sck,ckl,scl->sc", weights, sums, weights)
+        errors = np.einsum("sck,ckq->scq", weights, last)
+    best, costs, ahead = [], np.zeros(holdout), np.zeros(holdout)
+    size = np.abs(points).sum(axis=1)
+    keys = [points[:, i] for i in range(points.shape[1])][::-1]
+    for k in range(holdout):
+        # A line of the state for every step: those after k still have to read change k.
+        lags = changes[k : k + p][::-1]
+        base = centre[:, None] + (phi[None] * (lags - centre[:, None, None])).sum(axis=-1)
+        guess = base + (theta[None] * errors).sum(axis=-1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rank = np.round(np.log(np.maximum(cost[k], 1e-300)), DIGITS)
+        pick = np.lexsort((*keys, size, rank))[0]
+        best.append(points[pick])
+        costs[k], ahead[k] = cost[k, pick], guess[k, pick]
+        error = changes[p + k] - guess
+        cost = cost + error**2
+        if q:
+            errors = np.concatenate((error[..., None], errors[..., :-1]), axis=-1)
+    return np.array(best).reshape(holdout, points.shape[1]), costs, ahead
 
 
-def stationary_covariance(phi: np.ndarray, noise: np.ndarray) -> np.ndarray:
-    """Solve P = T P T' + noise by doubling: T is squared until its powers vanish."""
-    r = phi.shape[-1]
-    transition = np.zeros((*phi.shape[:-1], r, r))
-    transition[..., :, 0] = phi
-    transition[..., np.arange(r - 1), np.arange(1, r)] = 1.0
-    total = noise.copy()
-    for _ in range(16):
-        total = total + transition @ total @ np.swapaxes(transition, -1, -2)
-        transition = transition @ transition
-    return total
+def carried(closes: np.ndarray, at: np.ndarray, d: int) -> np.ndarray:
+    """What undoing `d` differences adds at rows `at`: minus the sum of (-1)^k C(d, k) y[t-k]."""
+    terms = [(-1) ** (k + 1) * comb(d, k) * closes[at - k] for k in range(1, d + 1)]
+    return np.sum(terms, axis=0) if terms else np.zeros(len(at))

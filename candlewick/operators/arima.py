@@ -1,25 +1,36 @@
-"""Rolling one-step ARIMA forecasts.
+"""Rolling one-step ARIMA forecasts of series of any length and number.
 
-Series that fit a task are grouped, many per task; longer ones are evaluated in blocks, see
-`long_arima`. The fit itself is in `functions.arma`.
+All series are sorted together and cut into blocks, so a long one is read by many tasks and many short
+ones by one. A search round reads the blocks once for the candidates of each series and composes their
+sums, see `functions.arma`; every step of the holdout gets its own best candidate from the same reading.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.arma import rolling_predictions
+from candlewick.functions.arma import (
+    LIMIT,
+    SPACINGS,
+    carried,
+    first_points,
+    neighbours,
+    read_blocks,
+    roll,
+)
 from candlewick.operators.features import KEY, TIME
-from candlewick.operators.forecast import MIN_EXTRA_ROWS, series_lengths
-from candlewick.operators.long_arima import blocked_forecast
-from candlewick.operators.series import spread
+from candlewick.operators.forecast import MIN_EXTRA_ROWS
+from candlewick.operators.series import overlapping_blocks, sorted_rows
+from candlewick.sources.storage import stored
 
 ORDER = (1, 1, 1)
-# Longest series one task fits by itself.
-SERIES_ROWS = 262_144
+BLOCK_ROWS = 8192
+TOGETHER = 128  # blocks that a task reads in lockstep
 
 
 def arima_forecast(
@@ -27,50 +38,155 @@ def arima_forecast(
     holdout: int = 10,
     order: tuple[int, int, int] = ORDER,
     *,
-    daily: bool = False,
-    series_rows: int = SERIES_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(symbol, model, step, actual, pred, fit_failed) with a refit before every step.
+    """(symbol, model, step, actual, pred, fit_failed, converged), fitted anew before every step.
 
-    Too short series are left out. Step k is predicted from all closes before it. A failed
-    fit predicts the last close. `daily=True` states that a series has one row per calendar day;
-    otherwise series longer than `series_rows` are looked for and take the blocked way.
+    Series of at most `holdout` and five rows are left out. Step k is predicted from all closes before it. A
+    fit without a positive finite cost fails and predicts the last close. `converged` is false where it
+    failed or its best candidate lies on the border of the lattice. The block size changes no result
+    beyond rounding.
     """
-    closes = bars.select(*KEY, *TIME, "close")
-    if daily:
-        return _grouped(closes, holdout, order)
-    long = series_lengths(bars, holdout).filter(F.col("n") > series_rows).select(*KEY)
-    if long.isEmpty():
-        return _grouped(closes, holdout, order)
-    short = _grouped(closes.join(long, KEY, "left_anti"), holdout, order)
-    return short.unionByName(
-        blocked_forecast(closes.join(long, KEY, "left_semi"), holdout, order)
+    p, d, q = order
+    # Written once by sorted_rows, so every use below sees the same numbers.
+    rows = sorted_rows(bars.select(*KEY, *TIME, "close"), KEY, TIME)
+    spans = rows.groupBy(*KEY).agg(F.min("_row").alias("first"), F.max("_row").alias("last"))
+    spans = spans.filter(F.col("last") - F.col("first") + 1 > holdout + MIN_EXTRA_ROWS)
+    spans = stored(spans.withColumn("trained", F.col("last") - holdout).drop("last"), "spans")
+    ordered = F.array_sort(F.collect_list(F.struct("_row", "close")))
+    blocks = (
+        overlapping_blocks(rows, p + d, 0, block_rows)
+        .groupBy(*KEY, "_block")
+        .agg(ordered.alias("values"))
+        .select(*KEY, "_block", F.col("values._row")[0].alias("start"), F.col("values.close").alias("closes"))
+    )
+    blocks = stored(blocks.join(spans, KEY).filter("start <= trained"), "blocks")
+    tails = rows.join(spans, KEY).filter(F.col("_row") > F.col("trained") - (p + d))
+    state = stored(
+        tails.groupBy(*KEY).agg(ordered["close"].alias("tail")).withColumn(
+            "points", F.lit(None).cast("array<array<bigint>>")
+        ),
+        "search",
     )
+    for spacing in (*SPACINGS[1:], 0):
+        read = _read(blocks, state, p, d, q, block_rows)
+        state = stored(_composed(read, state, holdout, order, spacing), "search")
+    step = F.posexplode(F.arrays_zip("actual", "pred", "failed", "converged")).alias("step", "found")
+    return state.select(*KEY, step).select(
+        *KEY,
+        F.lit("arima").alias("model"),
+        (F.col("step") + 1).alias("step"),
+        "found.actual",
+        "found.pred",
+        F.col("found.failed").alias("fit_failed"),
+        "found.converged",
+    )
+
 
+def _candidates(points, size: int) -> np.ndarray:
+    if points is None:
+        return first_points(size)
+    return np.array([list(x) for x in points], dtype=np.int64).reshape(len(points), size)
 
-def _grouped(closes: DataFrame, holdout: int, order: tuple[int, int, int]) -> DataFrame:
-    """One group per series of bounded length."""
-    symbol_type = closes.schema[KEY[0]].dataType.simpleString()
-    schema = f"symbol {symbol_type}, step int, actual double, pred double, fit_failed boolean"
 
-    def roll(group: pd.DataFrame) -> pd.DataFrame:
-        values = group.sort_values(TIME)["close"].to_numpy(dtype=float)
-        if len(values) <= holdout + MIN_EXTRA_ROWS:
-            return pd.DataFrame()
-        predictions, failed = rolling_predictions(values, holdout, order)
+def _read(blocks: DataFrame, state: DataFrame, p: int, d: int, q: int, block_rows: int) -> DataFrame:
+    """(symbol, parts): what each block of a series says of its candidates."""
+    symbol = blocks.schema[KEY[0]].dataType.simpleString()
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            frame = frame.iloc[np.argsort(frame["closes"].map(len).to_numpy())]
+            for low in range(0, len(frame), TOGETHER):
+                yield together(frame.iloc[low : low + TOGETHER])
+
+    def together(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = [_candidates(x, p + q) for x in frame["points"]]
+        most = max(map(len, sets))
+        points = np.stack([np.concatenate((s, np.repeat(s[:1], most - len(s), axis=0))) for s in sets])
+        columns = []
+        for row in frame.itertuples():
+            closes = np.asarray(row.closes, dtype=float)
+            changes = np.diff(closes, n=d)
+            numbers = row.start + d + np.arange(len(changes))
+            own = (numbers // block_rows == row.place) & (numbers <= row.trained)
+            begin = int(np.argmax(own)) if own.any() else len(changes)
+            lags = changes[max(0, begin - p) : begin]
+            missing = p - len(lags)
+            values = np.concatenate((np.zeros(missing), lags, changes[begin:][own[begin:]]))
+            there = np.concatenate((np.zeros(missing), np.ones(len(values) - missing)))
+            columns.append((values, there))
+        long = max(len(v) for v, _ in columns)
+        values = np.stack([np.pad(v, (0, long - len(v))) for v, _ in columns])
+        there = np.stack([np.pad(x, (0, long - len(x))) for _, x in columns])
+        size = np.array([len(v) - p for v, _ in columns])
+        active = np.arange(long - p)[None, :] < size[:, None]
+        sums, errors = read_blocks(values, there, active, points, p, q, d == 0)
+        total = (values[:, p:] * active).sum(axis=1)
         return pd.DataFrame(
             {
-                "symbol": group["symbol"].iloc[0],
-                "step": np.arange(1, holdout + 1, dtype=np.int32),
-                "actual": values[-holdout:],
-                "pred": predictions,
-                "fit_failed": failed,
+                KEY[0]: frame[KEY[0]].to_numpy(),
+                "block": frame["place"].to_numpy(),
+                "sums": [a[: len(s)].tobytes() for a, s in zip(sums, sets, strict=True)],
+                "errors": [a[: len(s)].tobytes() for a, s in zip(errors, sets, strict=True)],
+                "n": size,
+                "total": total,
             }
         )
 
-    return (
-        spread(closes, *KEY)
-        .groupBy(*KEY)
-        .applyInPandas(roll, schema)
-        .select(*KEY, F.lit("arima").alias("model"), "step", "actual", "pred", "fit_failed")
+    given = blocks.withColumnRenamed("_block", "place").join(state.select(*KEY, "points"), KEY)
+    schema = f"{KEY[0]} {symbol}, block long, sums binary, errors binary, n long, total double"
+    part = F.struct("block", "sums", "errors", "n", "total")
+    read_rows = given.mapInPandas(read, schema)
+    # A block of thousands of rows comes back as a few kilobytes.
+    return read_rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+
+
+def _composed(
+    read: DataFrame, state: DataFrame, holdout: int, order: tuple[int, int, int], spacing: int
+) -> DataFrame:
+    """One row a series: the best of its candidates for each step, and the next candidates."""
+    p, d, q = order
+    symbol = state.schema[KEY[0]].dataType.simpleString()
+    readings = 1 + q + (d == 0)
+
+    def compose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame(
+                [one(row) for row in frame.itertuples()],
+                columns=[KEY[0], "tail", "points", "actual", "pred", "failed", "converged"],
+            )
+
+    def one(row) -> tuple:
+        points = _candidates(row.points, p + q)
+        parts = [
+            (
+                np.frombuffer(x["sums"]).reshape(len(points), readings, readings),
+                np.frombuffer(x["errors"]).reshape(len(points), readings, q),
+            )
+            for x in row.parts
+        ]
+        before = sum(x["n"] for x in row.parts), sum(x["total"] for x in row.parts)
+        tail = np.asarray(row.tail, dtype=float)
+        with np.errstate(all="ignore"):
+            best, cost, ahead = roll(parts, before, tail, points, holdout, order)
+            at = len(tail) - holdout + np.arange(holdout)
+            pred = ahead + carried(tail, at, d)
+        failed = ~((cost > 0) & np.isfinite(cost) & np.isfinite(pred))
+        inside = (np.abs(best) < LIMIT).all(axis=1)
+        following = neighbours(best, spacing) if spacing else best
+        return (
+            getattr(row, KEY[0]),
+            row.tail,
+            [list(map(int, x)) for x in following],
+            tail[at],
+            np.where(failed, tail[at - 1], pred),
+            failed,
+            ~failed & inside,
+        )
+
+    schema = (
+        f"{KEY[0]} {symbol}, tail array<double>, points array<array<bigint>>, actual array<double>, "
+        "pred array<double>, failed array<boolean>, converged array<boolean>"
     )
+    given = state.select(*KEY, "tail", "points").join(read, KEY)
+    return given.mapInPandas(compose, schema)

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from candlewick.sources.storage import stored
 
-# A key with this many copies is kept out of shuffles.
-HOT_ROWS = 1_000_000
+# Parts that the rows of one key are dealt to when repeated keys are looked up.
+SALTS = 8
 
 
 class ContractError(ValueError):
@@ -132,11 +132,9 @@ def violations(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) ->
     return found.select(F.lit(contract.dataset).alias("dataset"), "rule", "column", "n")
 
 
-def rejects(
-    df: DataFrame, contract: Contract, batch: Sequence[str] = (), hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def rejects(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> DataFrame:
     """Rows that break any row rule or share their key, with all broken rules and the first."""
-    marked = _mark_repeated(df, [*batch, *contract.unique], hot_rows)
+    marked = _mark_repeated(df, [*batch, *contract.unique])
     rules = _row_rules(df, contract)
     rules.append(Rule("unique", ",".join(contract.unique), "_repeated"))
     names = [f"CASE WHEN {rule.broken} THEN '{rule.name}:{rule.column}' END" for rule in rules]
@@ -148,31 +146,30 @@ def rejects(
     )
 
 
-def _mark_repeated(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+def _mark_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add `_repeated`: true where another row has the same key, NULL keys included.
 
-    The repeated keys are counted with map-side sums and written, so that the planner knows
-    their size and broadcasts them if they are few. Rows of keys with `hot_rows` copies
-    or more never enter a shuffle: there are at most rows / hot_rows such keys, few enough
-    to broadcast whatever the data. What is left to join has no large key.
+    Keys are counted with map-side sums and written, so that the planner knows how many are
+    repeated. Rows look their key up under a salt of their whole content, and each repeated key is
+    there once for every salt, so the copies of a hot key come to SALTS tasks, which the skew join
+    may split further.
     """
     names = {key: f"_key{i}" for i, key in enumerate(keys)}
     repeated = stored(
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > 1)
-        .withColumnsRenamed(names),
+        .withColumnsRenamed(names)
+        .drop("_n"),
         "repeated",
     )
+    salted = repeated.withColumns(
+        {"_key_salt": F.explode(F.array(*map(F.lit, range(SALTS)))), "_repeated": F.lit(True)}
+    )
     same = reduce(and_, [F.col(key).eqNullSafe(F.col(name)) for key, name in names.items()])
-    hot = F.col("_n") >= hot_rows
-    other = repeated.filter(~hot).select(*names.values(), F.lit(True).alias("_repeated"))
-    if repeated.filter(hot).isEmpty():
-        return df.join(other, same, "left").drop(*names.values())
-    hot_keys = F.broadcast(repeated.filter(hot).select(*names.values()))
-    copies = df.join(hot_keys, same, "left_semi").withColumn("_repeated", F.lit(True))
-    rest = df.join(hot_keys, same, "left_anti").join(other, same, "left")
-    return copies.unionByName(rest.drop(*names.values()))
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    found = rows.join(salted, same & (F.col("_salt") == F.col("_key_salt")), "left")
+    return found.drop(*names.values(), "_key_salt", "_salt")
 
 
 def require(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> DataFrame:

@@ -22,8 +22,9 @@ def event_windows(
     post: int = 10,
     *,
     daily: bool = False,
+    block_rows: int | None = None,
 ) -> DataFrame:
-    """One row per event bar with the returns around it.
+    """One row per event bar with the returns around it and its place in the series, from 0.
 
     `events` holds (symbol, open_time_ms); without it every bar is an event. `complete` is
     false for events with fewer than `pre` returns before or `post` after them; only rows
@@ -46,7 +47,17 @@ def event_windows(
     if events is not None:
         # Series without an event need not be shuffled.
         narrow = narrow.join(events.select(*KEY).distinct(), KEY, "left_semi")
-    around = over_series(narrow, KEY, TIME, build, before=pre + 1, after=post, daily=daily)
+    around = over_series(
+        narrow,
+        KEY,
+        TIME,
+        build,
+        before=pre + 1,
+        after=post,
+        daily=daily,
+        block_rows=block_rows,
+        number="event_index",
+    )
     if events is not None:
         around = around.join(events.select(*KEY, *TIME).distinct(), [*KEY, *TIME], "left_semi")
     n_pre = F.size("pre_returns")
@@ -54,6 +65,7 @@ def event_windows(
     return around.select(
         *KEY,
         *TIME,
+        "event_index",
         F.col("close").alias("event_close"),
         "pre_close",
         "event_return",
@@ -102,6 +114,7 @@ def event_study(
     return drawn.select(
         *KEY,
         *TIME,
+        "event_index",
         F.lit(pre).alias("pre_window"),
         F.lit(post).alias("post_window"),
         "n_pre",
@@ -135,17 +148,20 @@ def rejected_events(
 def _draws(values: Column, size: Column, n_boot: int, seed: int) -> Column:
     """`n_boot` elements of `values`, chosen by a counter-based generator.
 
-    The start comes from a digest of seed and event; each draw squares a strided counter
-    modulo a prime. Everything fits 63 bits, so any engine reproduces the same draws, and a
-    retried task repeats them.
+    Start and shift come from 30 hexadecimal digits of a digest of seed and event; each draw
+    squares a strided counter modulo a prime and shifts it. Everything fits 63 bits, so any
+    engine reproduces the same draws, and a retried task repeats them.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *KEY, *[F.col(name).cast("string") for name in TIME])
-    start = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint")
+    start, shift = (
+        F.conv(F.substring(F.md5(text), place, 15), 16, 10).cast("bigint") % MODULUS
+        for place in (1, 16)
+    )
 
     def pick(draw: Column) -> Column:
         counter = (start + draw * STRIDE) % MODULUS
         mixed = (counter * counter + MIXER) % MODULUS
-        spread = (mixed * MIXER) % MODULUS
+        spread = (mixed * MIXER + shift) % MODULUS
         return F.element_at(values, (spread % size + 1).cast("int"))
 
     return F.transform(F.sequence(F.lit(1).cast("bigint"), F.lit(n_boot).cast("bigint")), pick)

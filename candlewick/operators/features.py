@@ -22,7 +22,9 @@ KEY = ["symbol"]
 TIME = ["open_time_ms"]
 
 
-def ohlcv_features(bars: DataFrame, roll: int = 7, *, daily: bool = False) -> DataFrame:
+def ohlcv_features(
+    bars: DataFrame, roll: int = 7, *, daily: bool = False, block_rows: int | None = None
+) -> DataFrame:
     """Add FEATURE_COLUMNS. Rolling statistics include the current row."""
 
     def build(df: DataFrame, window: WindowSpec) -> DataFrame:
@@ -44,16 +46,18 @@ def ohlcv_features(bars: DataFrame, roll: int = 7, *, daily: bool = False) -> Da
             {"volume_z": rolling_z("log_volume"), "return_z": rolling_z("return_1d")}
         )
 
-    return over_series(bars, KEY, TIME, build, before=roll, daily=daily)
+    return over_series(bars, KEY, TIME, build, before=roll, daily=daily, block_rows=block_rows)
 
 
-def log_returns(bars: DataFrame, *, daily: bool = False) -> DataFrame:
+def log_returns(
+    bars: DataFrame, *, daily: bool = False, block_rows: int | None = None
+) -> DataFrame:
     """Add log_return = ln(close) - ln(previous close); a symbol's first bar has none."""
 
     def build(df: DataFrame, window: WindowSpec) -> DataFrame:
         return df.withColumn("log_return", log_return(window))
 
-    returns = over_series(bars, KEY, TIME, build, before=1, daily=daily)
+    returns = over_series(bars, KEY, TIME, build, before=1, daily=daily, block_rows=block_rows)
     return returns.filter(F.col("log_return").isNotNull())
 
 

@@ -80,7 +80,11 @@ def forecast_metrics(predictions: DataFrame) -> DataFrame:
 
 
 def forecast_eval(
-    bars: DataFrame, predictions: DataFrame, holdout: int = 10, digits: int = 6
+    bars: DataFrame,
+    predictions: DataFrame,
+    holdout: int = 10,
+    digits: int = 6,
+    order: tuple[int, int, int] = (1, 1, 1),
 ) -> DataFrame:
     """One row per eligible series with both models' rounded metrics side by side."""
     wide = (
@@ -98,6 +102,7 @@ def forecast_eval(
         *KEY,
         (F.col("n") - holdout).alias("n_train"),
         F.lit(holdout).alias("n_holdout"),
+        F.array(*map(F.lit, order)).alias("arima_order"),
         *[name for name in wide.columns if name not in KEY],
         (F.col("arima_mae") < F.col("naive_mae")).alias("arima_beats_naive_mae"),
     )

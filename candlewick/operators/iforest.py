@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.quantile import exact_quantile
@@ -20,9 +21,12 @@ from candlewick.operators.series import spread
 from candlewick.sources.storage import stored
 
 EULER = 0.5772156649015329
-HASH_RANGE = 1 << 53
-# A tree's candidates are drawn at this multiple of the sample, then cut to it exactly.
+# Digests of 15 hexadecimal digits stand on a circle of this length.
+CIRCLE = 16**15
+# A tree is offered this multiple of its sample, then cut to it exactly.
 OVERDRAW = 4
+# A threshold stays this far below the largest value, so that rounding can't reach it.
+MOST_SHARE = 0.999
 
 NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
@@ -58,6 +62,11 @@ def fit_iforest(
     return _forest(nodes, columns, sample)
 
 
+def _digits(text: Column, place: int, size: int) -> Column:
+    """`size` hexadecimal digits of a digest as a number."""
+    return F.conv(F.substring(F.md5(text), place, size), 16, 10).cast("bigint")
+
+
 def tree_samples(
     features: DataFrame,
     columns: Sequence[str],
@@ -67,28 +76,31 @@ def tree_samples(
     sample: int,
     seed: int,
 ) -> DataFrame:
-    """(tree, draw, columns): up to `sample` distinct rows per tree, chosen by hashes of the key.
+    """(tree, rank, columns): `sample` distinct rows per tree, chosen by digests of the key.
 
-    A small table offers every row to every tree. In a large one a single hash first keeps
-    about OVERDRAW * trees * sample rows and a second deals each to one tree, so the cost
-    per row does not grow with the number of trees. Either way the choice depends on key and
-    seed alone and is the same after a retry.
+    Digests put the rows and the trees on a circle; a tree takes the rows that follow it. A row
+    is offered only to trees that stand up to OVERDRAW times the expected reach before it, whatever
+    the size of the table, so a large one offers few rows to each tree. The choice depends on key
+    and seed alone and is the same after a retry.
     """
-    wanted = OVERDRAW * trees * sample
-    narrow = features.select(*key, *columns)
-    if rows > 4 * wanted:
-        candidates = narrow.filter(_uniform(seed, "keep", key) < wanted / rows).withColumn(
-            "tree", F.pmod(F.xxhash64(F.lit(seed), F.lit("tree"), *key), F.lit(trees)).cast("int")
-        )
-    else:
-        share = min(1.0, OVERDRAW * sample / rows)
-        candidates = narrow.withColumn(
-            "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-        ).filter(_uniform(seed, "offer", ["tree", *key]) < share)
-    draw = F.xxhash64(F.lit(seed), F.lit("draw"), F.col("tree"), *key)
+    reach = min(CIRCLE, -(-CIRCLE * OVERDRAW * sample // rows))
+    starts = [int(md5(f"{seed}|tree|{t}".encode()).hexdigest()[:15], 16) for t in range(trees)]
+    place = _digits(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]), 1, 15)
+    offers = F.array(*[F.lit(s).cast("bigint") for s in starts])
+    near = F.filter(
+        F.transform(
+            offers,
+            lambda start, t: F.struct(
+                t.alias("tree"), F.pmod(F.col("_place") - start, F.lit(CIRCLE)).alias("draw")
+            ),
+        ),
+        lambda offer: offer["draw"] < F.lit(reach),
+    )
     order = Window.partitionBy("tree").orderBy("draw", *key)
     return (
-        candidates.withColumn("draw", draw)
+        features.select(*key, *columns, place.alias("_place"))
+        .withColumn("_offer", F.explode(near))
+        .select(*key, *columns, "_offer.tree", "_offer.draw")
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= sample)
         .select("tree", "rank", *columns)
@@ -105,9 +117,8 @@ def grow_trees(
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
         values = group.sort_values("rank")[names].to_numpy(dtype=float)
-        return pd.DataFrame(_grow(values, limit, np.random.default_rng([seed, tree]))).assign(
-            tree=tree
-        )[["tree", "node", "feature", "threshold", "left", "right", "path"]]
+        table = pd.DataFrame(_grow(values, limit, f"{seed}|{tree}")).assign(tree=tree)
+        return table[["tree", "node", "feature", "threshold", "left", "right", "path"]]
 
     return spread(sampled, "tree").groupBy("tree").applyInPandas(grow, NODES)
 
@@ -143,12 +154,6 @@ def score_iforest(
     ).drop("score")
 
 
-def _uniform(seed: int, purpose: str, key: Sequence[str]):
-    """A number in [0, 1) from a hash."""
-    hashed = F.xxhash64(F.lit(seed), F.lit(purpose), *key)
-    return F.pmod(hashed, F.lit(HASH_RANGE)) / HASH_RANGE
-
-
 def _depth_limit(sample: int) -> int:
     return max(1, int(np.ceil(np.log2(max(sample, 2)))))
 
@@ -160,34 +165,40 @@ def _expected_path(sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 2, large, np.where(sizes == 2, 1.0, 0.0))
 
 
-def _grow(values: np.ndarray, limit: int, rng: np.random.Generator) -> dict[str, list]:
-    """Split at random until points are alone, equal or `limit` deep; children follow parents."""
+def _grow(values: np.ndarray, limit: int, name: str) -> dict[str, list]:
+    """Split at random until points are alone, equal or `limit` deep.
+
+    Node 1 is the root and node n has the children 2n and 2n + 1. A digest of tree and node
+    picks the feature among those that vary, and the threshold.
+    """
     columns = ("node", "feature", "threshold", "left", "right", "path")
-    table: dict[str, list] = {name: [] for name in columns}
-    pending = [(np.arange(len(values)), 0)]
-    for node, (members, depth) in enumerate(pending):
+    table: dict[str, list] = {column: [] for column in columns}
+    pending = [(1, np.arange(len(values)), 0)]
+    for node, members, depth in pending:
         points = values[members]
         low, high = points.min(axis=0), points.max(axis=0)
         varying = np.flatnonzero(low < high)
         entry = (node, 0, 0.0, node, node, 0.0)
-        if depth == limit or len(varying) == 0:
+        goes_left = np.ones(len(members), dtype=bool)
+        if depth < limit and len(varying):
+            digest = md5(f"{name}|{node}".encode()).hexdigest()
+            feature = int(varying[int(digest[:8], 16) % len(varying)])
+            share = MOST_SHARE * (int(digest[8:21], 16) / 16**13)
+            threshold = float(low[feature] + share * (high[feature] - low[feature]))
+            goes_left = points[:, feature] <= threshold
+        if goes_left.all():
             entry = (*entry[:5], depth + float(_expected_path(np.array([len(members)]))[0]))
         else:
-            feature = int(rng.choice(varying))
-            # Rounding may return the upper end of a tiny interval; keep it on the right.
-            highest = np.nextafter(high[feature], low[feature])
-            threshold = float(min(rng.uniform(low[feature], high[feature]), highest))
-            goes_left = points[:, feature] <= threshold
-            entry = (node, feature, threshold, len(pending), len(pending) + 1, 0.0)
-            pending.append((members[goes_left], depth + 1))
-            pending.append((members[~goes_left], depth + 1))
-        for name, value in zip(columns, entry, strict=True):
-            table[name].append(value)
+            entry = (node, feature, threshold, 2 * node, 2 * node + 1, 0.0)
+            pending.append((2 * node, members[goes_left], depth + 1))
+            pending.append((2 * node + 1, members[~goes_left], depth + 1))
+        for column, value in zip(columns, entry, strict=True):
+            table[column].append(value)
     return table
 
 
 def _forest(nodes: pd.DataFrame, columns: Sequence[str], sample: int) -> Forest:
-    """Pack at most trees * (2 * sample - 1) collected nodes into rectangular arrays."""
+    """Pack at most trees * (2 * sample - 1) collected nodes into arrays by tree and node."""
     position = nodes["tree"].rank(method="dense").astype(int).to_numpy() - 1
     shape = (position.max() + 1, int(nodes["node"].max()) + 1)
 
@@ -216,7 +227,7 @@ def _mean_path(values: np.ndarray, trees: Forest) -> np.ndarray:
     for feature, threshold, children, path in zip(
         trees.feature, trees.threshold, trees.children, trees.path, strict=True
     ):
-        node = np.zeros(len(values), dtype=np.int32)
+        node = np.ones(len(values), dtype=np.int32)
         for _ in range(trees.depth):
             right = cells.take(starts + feature.take(node)) > threshold.take(node)
             node = children.take(2 * node + right)

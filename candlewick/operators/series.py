@@ -30,18 +30,29 @@ def over_series(
     before: int,
     after: int = 0,
     daily: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
+    number: str | None = None,
 ) -> DataFrame:
     """Apply `build(df, window)` to each key's rows in `order`.
 
     `build` adds columns whose frames reach at most `before` rows back and `after` rows
     ahead in total. (key, order) must identify a row. `daily=True` states that `order` is a
     calendar day, which bounds a series; otherwise the blocked plan is used. That plan
-    writes its input once, so hand it the needed columns only.
+    writes its input once, so hand it the needed columns only. `number` names a column for the
+    place of a row in its series, from 0. `block_rows` is for tests of the borders.
     """
+    block_rows = block_rows or BLOCK_ROWS
     if daily:
-        return build(df, Window.partitionBy(*key).orderBy(*order))
-    blocks = overlapping_blocks(sorted_rows(df, key, order), before, after, block_rows)
+        whole = Window.partitionBy(*key).orderBy(*order)
+        if number:
+            df = df.withColumn(number, F.row_number().over(whole) - 1)
+        return build(df, whole)
+    rows = sorted_rows(df, key, order)
+    if number:
+        starts = rows.groupBy(*key).agg(F.min("_row").alias("_first"))
+        rows = rows.join(starts, list(key)).withColumn(number, (F.col("_row") - F.col("_first")).cast("int"))
+        rows = rows.drop("_first")
+    blocks = overlapping_blocks(rows, before, after, block_rows)
     window = Window.partitionBy("_block", *key).orderBy("_row")
     return (
         build(blocks, window)

@@ -15,11 +15,27 @@ SHORT_ROWS = 7
 LONG_ROWS = 30
 
 
-def stg_klines(raw: DataFrame, tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """Clean candles: the latest ingestion of each (symbol, open_time) wins."""
-    latest = latest_wins(
-        raw, ["symbol", "open_time_ms"], [F.col("ingested_date").desc()], tiebreak
-    )
+KLINE_VALUES = (
+    "close", "open", "high", "low", "volume", "quote_volume", "trade_count", "interval", "open_time",
+)
+MARKET_VALUES = (
+    "current_price", "market_cap", "market_cap_rank", "total_volume", "price_change_percentage_24h",
+    "circulating_supply", "symbol", "name",
+)
+
+
+def _largest(names: Sequence[str]) -> list[Column]:
+    return [F.desc_nulls_last(name) for name in names]
+
+
+def stg_klines(raw: DataFrame, tiebreak: Sequence[Column] | None = None) -> DataFrame:
+    """Clean candles: the latest ingestion of each (symbol, open_time) wins.
+
+    Between rows of one ingestion the larger values win, column by column, unless `tiebreak` says
+    otherwise; rows that tie even then give the same result.
+    """
+    ties = _largest(KLINE_VALUES) if tiebreak is None else tiebreak
+    latest = latest_wins(raw, ["symbol", "open_time_ms"], [F.col("ingested_date").desc()], ties)
     return latest.select(
         "symbol",
         "interval",
@@ -36,12 +52,11 @@ def stg_klines(raw: DataFrame, tiebreak: Sequence[Column] = ()) -> DataFrame:
     )
 
 
-def stg_markets(raw: DataFrame, tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """Clean market snapshot: the latest ingestion of each (coin_id, day) wins."""
+def stg_markets(raw: DataFrame, tiebreak: Sequence[Column] | None = None) -> DataFrame:
+    """Clean market snapshot: the latest ingestion of each (coin_id, day) wins; ties as in stg_klines."""
     daily = raw.withColumn("snapshot_date", F.to_date("snapshot_date"))
-    latest = latest_wins(
-        daily, ["coin_id", "snapshot_date"], [F.col("ingested_date").desc()], tiebreak
-    )
+    ties = _largest(MARKET_VALUES) if tiebreak is None else tiebreak
+    latest = latest_wins(daily, ["coin_id", "snapshot_date"], [F.col("ingested_date").desc()], ties)
     return latest.select(
         "coin_id",
         F.lower("symbol").alias("symbol"),
@@ -67,7 +82,9 @@ def daily_return(bars: DataFrame, *, daily: bool = False) -> DataFrame:
     return over_series(bars, ["symbol"], ["trade_date"], build, before=1, daily=daily)
 
 
-def mart_daily_ohlcv(stg: DataFrame, *, daily: bool = False) -> DataFrame:
+def mart_daily_ohlcv(
+    stg: DataFrame, *, daily: bool = False, block_rows: int | None = None
+) -> DataFrame:
     """Return, 7- and 30-row volatility and 30-row mean volume per symbol.
 
     All frames share one ordering, hence one shuffle and one sort.
@@ -96,7 +113,15 @@ def mart_daily_ohlcv(stg: DataFrame, *, daily: bool = False) -> DataFrame:
         "quote_volume",
         "trade_count",
     )
-    return over_series(base, ["symbol"], ["trade_date"], build, before=LONG_ROWS, daily=daily)
+    return over_series(
+        base,
+        ["symbol"],
+        ["trade_date"],
+        build,
+        before=LONG_ROWS,
+        daily=daily,
+        block_rows=block_rows,
+    )
 
 
 def market_overview(stg: DataFrame, dominant: str = "bitcoin", top: int = 10) -> DataFrame:

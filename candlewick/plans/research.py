@@ -16,35 +16,35 @@ SPIKE_RETURN = 0.1
 
 NOTES = {
     "event_study": {
-        "hypothesis": "A discrete price shock moves the event bar's log return away from the "
-        "mean of the returns before it.",
-        "method": "Compare the event return with the pre-window mean; the null redraws the "
-        "event from the pre-window returns.",
+        "hypothesis": "event_log_return lies outside the pre_window returns of its own symbol.",
+        "method": "p_event_vs_pre is the share of null values at least as far from zero as "
+        "diff_event_minus_pre. The null holds each pre_window return less pre_mean_log_return: once "
+        "each if exact, or seeded draws of them.",
         "limitations": [
-            "The interval holds percentiles of the null, not of the effect.",
-            "Without a control series the study does not identify a cause.",
-            "Confounders such as volume regime or other venues are not modelled.",
+            "Windows count rows, so missing days make them longer.",
+            "An exact p-value is a multiple of 1 / n_pre; draws repeat the same n_pre values.",
+            "null_p2_5 and null_p97_5 say where redrawn differences lie, not where the event's may.",
         ],
         "implications": [
-            "Fix event, window and null before reading a market reaction as an effect.",
+            "Rows with too few returns on a side are found by rejected_events and are not in here.",
         ],
     },
     "forecast": {
-        "hypothesis": "Recent closes predict the next close better than repeating the last one.",
-        "method": "Roll one step at a time over a holdout tail, refitting ARIMA before each "
-        "step; compare absolute, squared and directional errors with the naive model.",
+        "hypothesis": "The arima row of a symbol has a smaller mae than its naive row.",
+        "method": "Step k sees the rows before it and nothing else. Its coefficients are the best of "
+        "a lattice that is narrowed around the best point, anew for every step.",
         "limitations": [
-            "ARIMA is a simple baseline, not a trading model.",
-            "The comparison measures prediction, not cause.",
+            "Coefficients are known to the finest spacing of the lattice only.",
+            "A step whose fit is not usable repeats the last close and has fit_failed set.",
         ],
         "implications": [
-            "A signal needs an explicit baseline and holdout before it is trusted.",
+            "Symbols with no more rows than the holdout and five have no rows in here.",
         ],
     },
 }
 ANOMALY_CAVEATS = [
-    "Flags add to the ingestion contracts and do not replace them.",
-    "Flags are unsupervised hints for review, not deletions.",
+    "Features are taken per symbol, but one forest scores the rows of all symbols.",
+    "The share of flagged rows is the chosen contamination, whatever the data hold.",
 ]
 
 

@@ -13,7 +13,9 @@ from candlewick.sources.raw import row_counts
 
 # Relations the sanity check counts (fixed values).
 SANITY_TABLES = ("mart_daily_ohlcv", "mart_market_overview", "stg_klines")
+# Fixed value: length of the readable detail; `broken` holds every broken rule.
 DETAIL_LENGTH = 200
+NO_WAREHOUSE = "No warehouse"
 
 
 def contract_probes(
@@ -26,7 +28,7 @@ def contract_probes(
 
     A broken copy differs in one row, found by key: price -1 in the first market row, the key
     of the first market row copied onto the second, and a high below the low in the first
-    candle. Returns (name, dataset, expected, passed, detail).
+    candle. Returns (name, dataset, expected, passed, detail, broken).
     """
     market_key = [*markets_batch, *MARKETS.unique]
     kline_key = [*klines_batch, *KLINES.unique]
@@ -69,16 +71,17 @@ def _probe(
     label = F.concat_ws(":", "rule", "column", F.col("n").cast("string"))
     result = violations(df, contract, batch).agg(
         F.coalesce(F.max(broken), F.lit(False)).alias("rejected"),
-        F.concat_ws("; ", F.sort_array(F.collect_list(F.when(broken, label)))).alias("found"),
+        F.sort_array(F.collect_list(F.when(broken, label))).alias("broken"),
     )
     quiet = "validated" if expected == "pass" else "expected a rejection, but all rows passed"
-    detail = F.when(F.col("rejected"), F.col("found")).otherwise(F.lit(quiet))
+    detail = F.when(F.col("rejected"), F.concat_ws("; ", "broken")).otherwise(F.lit(quiet))
     return result.select(
         F.lit(name).alias("name"),
         F.lit(contract.dataset).alias("dataset"),
         F.lit(expected).alias("expected"),
         (F.col("rejected") == F.lit(expected == "fail")).alias("passed"),
         F.substring(detail, 1, DETAIL_LENGTH).alias("detail"),
+        "broken",
     )
 
 
@@ -113,8 +116,9 @@ def scorecard(
     """
     # The probe table has one row per probe, whatever the size of the data.
     rows = probes.agg(
-        F.sort_array(F.collect_list(F.struct("name", "dataset", "expected", "passed", "detail")))
-        .alias("probes")
+        F.sort_array(
+            F.collect_list(F.struct("name", "dataset", "expected", "passed", "detail", "broken"))
+        ).alias("probes")
     )
     total = F.size("probes").cast("bigint")
     passed = F.size(F.filter("probes", lambda probe: probe["passed"])).cast("bigint")
@@ -151,16 +155,20 @@ def scorecard(
             failed > 0,
             F.concat(failed.cast("string"), F.lit(" probe(s) failed: the contracts need a look.")),
         ),
-        F.lit(None if relations else "No warehouse: only the contract probes were run."),
+        F.lit(None if relations else f"{NO_WAREHOUSE}: only the contract probes were run."),
         F.when(F.lit(bool(relations)) & (symbols == 0), F.lit("The daily mart has no rows.")),
     ]
     return card.select(
         F.lit(generated_at).alias("generated_at"),
         "probes",
         "probe_summary",
-        F.struct(F.lit(bool(relations)).alias("available"), "row_counts", "ohlcv").alias(
-            "warehouse"
-        ),
+        F.struct(
+            F.lit(bool(relations)).alias("available"),
+            F.lit(None if relations else NO_WAREHOUSE).cast("string").alias("reason"),
+            F.array(*map(F.lit, sorted(relations))).cast("array<string>").alias("tables"),
+            "row_counts",
+            "ohlcv",
+        ).alias("warehouse"),
         F.array_compact(F.array(*caveats)).alias("caveats"),
     )
 

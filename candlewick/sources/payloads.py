@@ -40,10 +40,22 @@ MARKET_FIELDS = T.StructType(
     ]
 )
 
-# A payload that is not the agreed JSON must stop the load, not vanish as NULL.
 STRICT = {"mode": "FAILFAST"}
 
 
+def _entries(type_: T.DataType | str) -> Column:
+    """Entries of the payload array. What is no array at all must stop the load, not vanish."""
+    payload = F.col("payload")
+    return F.when(payload.rlike(r"^\s*\["), F.from_json(payload, type_, STRICT)).otherwise(
+        F.raise_error(F.concat(F.lit("payload is no JSON array: "), F.coalesce(F.substring(payload, 1, 80), F.lit("NULL"))))
+    )
+
+
+def without_rows(raw: DataFrame) -> DataFrame:
+    """Payloads that are arrays without entries: fetched, but nothing to load."""
+    return raw.filter(F.size(_entries("array<string>")) == 0)
+
+
 def read_payloads(spark: SparkSession, path: str, partitions: str = "") -> DataFrame:
     """One row per landed file: its whole text, plus Hive-style path columns.
 
@@ -61,7 +73,7 @@ def parse_klines(
     candles = raw.select(
         "symbol",
         *keep,
-        F.explode(F.from_json("payload", "array<array<string>>", STRICT)).alias("candle"),
+        F.explode(_entries("array<array<string>>")).alias("candle"),
     )
     fields = [
         F.col("candle").getItem(position).cast(type_).alias(name)
@@ -86,7 +98,7 @@ def parse_markets(
     coins = raw.select(
         *keep,
         snapshot_date.cast("date").cast("timestamp_ntz").alias("snapshot_date"),
-        F.explode(F.from_json("payload", T.ArrayType(MARKET_FIELDS), STRICT)).alias("coin"),
+        F.explode(_entries(T.ArrayType(MARKET_FIELDS))).alias("coin"),
     )
     kept = [F.col("coin")[name].alias(name) for name in MARKET_FIELDS.names]
     return coins.select(

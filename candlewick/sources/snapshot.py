@@ -34,7 +34,11 @@ def export_snapshot(
     current = _current(spark, root)
     version = max((row.version for row in current), default=0) + 1
     previous = {row.mart: row.path for row in current}
-    entries = []
+    # Marts that are not exported now stay as they are in the new version.
+    carried = [
+        (version, row.mart, row.path, row.rows) for row in current if row.mart not in marts
+    ]
+    entries = [spark.createDataFrame(carried, MANIFEST)] if carried else []
     for mart, fresh in marts.items():
         merged = fresh
         if mart in previous:
@@ -52,9 +56,11 @@ def export_snapshot(
             )
         )
     manifest = reduce(DataFrame.unionByName, entries).coalesce(1)
-    manifest.write.mode("append").json(f"{root}/manifest")
-    published = spark.read.schema(MANIFEST).json(f"{root}/manifest")
-    return published.filter(F.col("version") == version).select("mart", "rows")
+    # One folder a version: of two exports at once, one finds its folder taken and fails.
+    manifest.write.mode("error").json(f"{root}/manifest/{version:09d}")
+    published = spark.read.schema(MANIFEST).json(f"{root}/manifest/{version:09d}")
+    exported = list(marts)
+    return published.filter(F.col("mart").isin(exported)).select("mart", "rows")
 
 
 def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -65,12 +71,10 @@ def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def _current(spark: SparkSession, root: str) -> list:
     """Manifest rows of the newest version: one per mart, empty before the first export."""
     try:
-        manifest = spark.read.schema(MANIFEST).json(f"{root}/manifest")
+        manifest = spark.read.schema(MANIFEST).json(f"{root}/manifest/*")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    newest = manifest.groupBy("mart").agg(
-        F.max_by(F.struct("version", "path"), "version").alias("entry")
-    )
-    return newest.select("mart", "entry.version", "entry.path").collect()
+    last = manifest.agg(F.max("version").alias("version"))
+    return manifest.join(last, "version").select("mart", "version", "path", "rows").collect()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -12,19 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`).
 
-    Only a local session may go without it; it then gets a temporary folder of its own.
+    Only a session in one process may go without it; it then gets a folder of its own, which goes
+    when the process ends. Files in the cluster's folder stay until it is cleared after the job.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return _temporary_folder(spark.sparkContext.applicationId)
 
 
 @cache
 def _temporary_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"candlewick-{application}-")
+    folder = tempfile.mkdtemp(prefix=f"candlewick-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -10,6 +10,7 @@ from candlewick.sources.payloads import (
     parse_klines,
     parse_markets,
     read_payloads,
+    without_rows,
 )
 
 
@@ -43,13 +44,26 @@ def test_a_candle_closing_right_now_is_closed(spark, candle_payload):
     assert closed_candles(frame, candle_payload[-1][6] - 1).count() == 2
 
 
-@pytest.mark.parametrize("broken", ['{"code": -1121}', "[[1, 2", '[["x"'])
+@pytest.mark.parametrize("broken", ['{"code": -1121}', "[[1, 2", '[["x"', "", "  ", None])
 def test_malformed_payload_fails(spark, broken):
     frame = spark.createDataFrame([("A", broken)], "symbol string, payload string")
-    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+    with pytest.raises(Exception, match="(?i)malformed|failfast|no JSON array"):
         parse_klines(frame).collect()
 
 
+@pytest.mark.parametrize("broken", ['{"status": {"error_code": 429}}', "", None])
+def test_what_is_no_market_list_fails(spark, broken):
+    frame = spark.createDataFrame([(broken,)], "payload string")
+    with pytest.raises(Exception, match="no JSON array"):
+        parse_markets(frame, F.lit("2025-07-21")).collect()
+
+
+def test_payloads_without_rows_are_found(spark):
+    frame = spark.createDataFrame([("A", " []"), ("B", "[[1]]")], "symbol string, payload string")
+    assert [r.symbol for r in without_rows(frame).collect()] == ["A"]
+    assert parse_klines(frame.filter("symbol = 'A'")).count() == 0
+
+
 def test_markets_keep_ten_fields(spark, market_payload):
     raw = landed(spark, market_payload)
     frame = parse_markets(raw, F.lit("2025-07-21"))

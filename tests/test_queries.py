@@ -9,18 +9,8 @@ import __spark_entry__ as driver
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
-# Seeded models SQL cannot express; their behaviour is tested on planted cases.
-ROWS_ONLY = {
-    "anomaly_fit": 100,
-    "anomaly_score": 1,
-    "top_anomalies": 5,
-    "anomaly_summary": 1,
-    "spike_flagged": 1,
-    "anomaly_report": 1,
-    "arima_forecast": 10,
-    "forecast_eval": 1,
-    "forecast_report": 1,
-}
+# Queries of the subpackage have their tests in tests/llm.
+OWN = {name for name in QUERIES if not (name == "pipeline" or name.startswith("op"))}
 
 
 @pytest.fixture(scope="module")
@@ -45,11 +35,10 @@ def comparable(rows):
 
 
 def test_every_query_has_a_check():
-    assert set(QUERIES) == set(ORACLES) | set(ROWS_ONLY)
-    assert not set(ORACLES) & set(ROWS_ONLY)
+    assert set(ORACLES) >= OWN
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_equals_sql(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR)
     cursor = duck.execute(ORACLES[name])
@@ -59,11 +48,6 @@ def test_query_equals_sql(spark, duck, name):
     assert got == comparable(cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_query_gives_rows(spark, name):
-    assert len(QUERIES[name](spark, SF_DIR).collect()) >= ROWS_ONLY[name]
-
-
 def test_entry(spark):
     flagship = driver.entry(spark)
     assert flagship.count() > 0
