@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -64,32 +64,49 @@ def latest_by_symbol(mart: DataFrame) -> DataFrame:
     )
 
 
+QUARTILES = (25, 50, 75)
+
+
 def describe_by(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles per key and column, NULLs skipped.
 
-    The quartiles are exact: `percentile` holds a key's distinct values, which a daily grain
-    bounds. One array call per column shares that buffer between the three.
+    The quartiles are exact: the values of a key are sorted, which may spill, and the two around each
+    quartile are picked by their place, so no task holds a key's values. All columns share one
+    shuffle.
     """
-    aggregates = []
+    ranked = df.select(key, *columns)
+    for name in columns:
+        known = Window.partitionBy(key)
+        ranked = ranked.withColumns(
+            {
+                f"_place_{name}": F.row_number().over(known.orderBy(F.asc_nulls_last(name))) - 1,
+                f"_count_{name}": F.count(name).over(known),
+            }
+        )
+    aggregates, output = [], [F.col(key)]
     for name in columns:
+        value, place = F.col(name), F.col(f"_place_{name}")
+        last = F.col(f"_count_{name}") - 1
         aggregates += [
             F.count(name).alias(f"{name}_count"),
             F.avg(name).alias(f"{name}_mean"),
             F.stddev_samp(name).alias(f"{name}_std"),
             F.min(name).alias(f"{name}_min"),
-            F.percentile(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_{name}"),
             F.max(name).alias(f"{name}_max"),
         ]
-    grouped = df.groupBy(key).agg(*aggregates)
-    output = [F.col(key)]
-    for name in columns:
         output += [F.col(f"{name}_{part}") for part in ("count", "mean", "std", "min")]
-        output += [
-            F.col(f"_{name}")[position].alias(f"{name}_p{rank}")
-            for position, rank in enumerate((25, 50, 75))
-        ]
+        for q in QUARTILES:
+            low, high = F.floor(last * q / 100), F.ceil(last * q / 100)
+            aggregates += [
+                F.max(F.when(place == low, value)).alias(f"_low_{name}_{q}"),
+                F.max(F.when(place == high, value)).alias(f"_high_{name}_{q}"),
+            ]
+            share = (F.col(f"{name}_count") - 1) * q / 100
+            step = F.col(f"_high_{name}_{q}") - F.col(f"_low_{name}_{q}")
+            quartile = F.col(f"_low_{name}_{q}") + (share - F.floor(share)) * step
+            output.append(quartile.alias(f"{name}_p{q}"))
         output.append(F.col(f"{name}_max"))
-    return grouped.select(*output)
+    return ranked.groupBy(key).agg(*aggregates).select(*output)
 
 
 def pivot_mean(

@@ -87,8 +87,12 @@ def mart_daily_ohlcv(
 ) -> DataFrame:
     """Return, 7- and 30-row volatility and 30-row mean volume per symbol.
 
-    All frames share one ordering, hence one shuffle and one sort.
+    All frames share one ordering, hence one shuffle and one sort. `daily=True` is held against the
+    rows' interval, if they have one; finer candles raise.
     """
+    if daily and "interval" in stg.columns:
+        finer = F.concat(F.lit("daily=True, but the interval is "), F.coalesce("interval", F.lit("NULL")))
+        stg = stg.filter(F.when(F.col("interval") == "1d", True).otherwise(F.raise_error(finer)))
 
     def build(df: DataFrame, window) -> DataFrame:
         returns = growth(F.col("close"), F.lag("close").over(window))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators.keyed import merge_fresh_wins
+from candlewick.sources.storage import stored
 
 # Natural key of each mart (fixed values).
 MART_KEYS = {
@@ -42,6 +43,7 @@ def export_snapshot(
     for mart, fresh in marts.items():
         merged = fresh
         if mart in previous:
+            fresh = stored(fresh, "fresh")  # read for its rows and for its keys
             old = spark.read.schema(fresh.schema).parquet(previous[mart])
             merged = merge_fresh_wins(fresh, old, keys[mart])
         path = f"{root}/marts/{mart}/{uuid.uuid4().hex}"

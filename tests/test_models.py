@@ -166,3 +166,12 @@ def test_snapshot_accumulates_and_old_files_stay(spark, tmp_path):
     now = read_snapshot(spark, root)["mart_daily_ohlcv"]
     assert sorted(row.close for row in now.collect()) == [1.0, 20.0, 30.0]
     assert sorted(row.close for row in open_reader.collect()) == [1.0, 2.0]
+
+
+def test_daily_is_held_against_the_interval(spark):
+    raw = spark.createDataFrame([("A", "1h", dt.date(2025, 1, 1))], "symbol string, interval string, trade_date date")
+    columns = ("open", "high", "low", "close", "volume", "quote_volume", "trade_count")
+    hourly = raw.select("*", *[F.lit(1.0).alias(c) for c in columns])
+    assert models.mart_daily_ohlcv(hourly).count() == 1
+    with pytest.raises(Exception, match="interval is 1h"):
+        models.mart_daily_ohlcv(hourly, daily=True).collect()

@@ -72,3 +72,18 @@ def test_a_page_filter_reaches_the_scan(spark, mart, tmp_path):
     )
     assert "EqualTo(symbol,A)" in plan
     assert "ReadSchema: struct<symbol:string,trade_date:date,close:double>" in plan
+
+
+def test_quartiles_of_uneven_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    groups = {"a": rng.normal(size=101).tolist(), "b": [1.0, 1.0, 5.0], "c": [2.0], "d": []}
+    rows = [(k, v) for k, values in groups.items() for v in [*values, None]]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for r in serve.describe_by(df, "k", ["v"]).collect():
+        values = groups[r.k]
+        assert r.v_count == len(values)
+        for q in (25, 50, 75):
+            want = np.percentile(values, q) if values else None
+            assert r[f"v_p{q}"] == (want if want is None else pytest.approx(want))
