@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from candlewick.operators.checks import all_results, column_tests, result_of, unique
 from candlewick.plans.ingest import KLINES_DATASET, MARKETS_DATASET
 from candlewick.plans.models import market_overview, mart_daily_ohlcv, stg_klines, stg_markets
+from candlewick.sources.snapshot import publish
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,10 @@ MODEL_TESTS = {
 def build_warehouse(
     raw: Mapping[str, DataFrame], path: str, *, daily: bool = False
 ) -> dict[str, DataFrame]:
-    """Staging as views, marts as Parquet tables under `path`; all are registered by name.
+    """Staging as views, marts as a new version of the tables under `path`; all are registered by name.
 
-    A missing raw dataset gives no models, so nothing stale is served in its place. Marts
-    are replaced as a whole: they only read the raw layer, never their own files.
+    A missing raw dataset gives no models, so nothing stale is served in its place. Whoever reads the
+    version before goes on reading it; `read_snapshot` gives the newest one.
     """
     staged, marts = {}, {}
     if KLINES_DATASET in raw:
@@ -48,9 +49,10 @@ def build_warehouse(
         staged["stg_markets"] = stg_markets(raw[MARKETS_DATASET])
         marts["mart_market_overview"] = market_overview(staged["stg_markets"])
     relations = dict(staged)
-    for name, mart in marts.items():
-        mart.write.mode("overwrite").parquet(f"{path}/{name}")
-        relations[name] = mart.sparkSession.read.schema(mart.schema).parquet(f"{path}/{name}")
+    if marts:
+        for row in publish(marts, path).collect():
+            mart = marts[row.mart]
+            relations[row.mart] = mart.sparkSession.read.schema(mart.schema).parquet(row.path)
     for name, relation in relations.items():
         relation.createOrReplaceTempView(name)
     return relations

@@ -28,27 +28,42 @@ def export_snapshot(
 ) -> DataFrame:
     """Merge each mart with the current snapshot and publish the result as a new version.
 
-    Files of the current version are only read. Readers follow the manifest, whose commit is
-    the last step, so they see the old version or the whole new one. Returns (mart, rows).
+    Marts that are not exported stay as they are in the new version. Returns (mart, rows).
     """
     spark = next(iter(marts.values())).sparkSession
-    current = _current(spark, root)
-    version = max((row.version for row in current), default=0) + 1
-    previous = {row.mart: row.path for row in current}
-    # Marts that are not exported now stay as they are in the new version.
-    carried = [
-        (version, row.mart, row.path, row.rows) for row in current if row.mart not in marts
-    ]
-    entries = [spark.createDataFrame(carried, MANIFEST)] if carried else []
+    previous = {row.mart: row.path for row in _current(spark, root)}
+    merged = dict(marts)
     for mart, fresh in marts.items():
-        merged = fresh
         if mart in previous:
             fresh = stored(fresh, "fresh")  # read for its rows and for its keys
             old = spark.read.schema(fresh.schema).parquet(previous[mart])
-            merged = merge_fresh_wins(fresh, old, keys[mart])
+            merged[mart] = merge_fresh_wins(fresh, old, keys[mart])
+    return publish(merged, root, keys, carry=True).select("mart", "rows")
+
+
+def publish(
+    marts: Mapping[str, DataFrame],
+    root: str,
+    keys: Mapping[str, Sequence[str]] = MART_KEYS,
+    *,
+    carry: bool = False,
+) -> DataFrame:
+    """Write the marts as a new version; returns its manifest rows for them.
+
+    Files of older versions are only read. Readers follow the manifest, whose commit is the last step,
+    so they see the old version or the whole new one. Rows are sorted by key within files, which lets
+    a reader of one symbol skip row groups. With `carry`, other marts of the last version stay.
+    """
+    spark = next(iter(marts.values())).sparkSession
+    current = _current(spark, root)
+    version = max((row.version for row in current), default=0) + 1
+    kept = [row for row in current if carry and row.mart not in marts]
+    carried = [(version, row.mart, row.path, row.rows) for row in kept]
+    entries = [spark.createDataFrame(carried, MANIFEST)] if carried else []
+    for mart, df in marts.items():
         path = f"{root}/marts/{mart}/{uuid.uuid4().hex}"
-        merged.write.parquet(path)
-        written = spark.read.schema(fresh.schema).parquet(path)
+        df.sortWithinPartitions(*keys[mart]).write.parquet(path)
+        written = spark.read.schema(df.schema).parquet(path)
         entries.append(
             written.agg(F.count("*").alias("rows")).select(
                 F.lit(version).cast("bigint").alias("version"),
@@ -61,8 +76,7 @@ def export_snapshot(
     # One folder a version: of two exports at once, one finds its folder taken and fails.
     manifest.write.mode("error").json(f"{root}/manifest/{version:09d}")
     published = spark.read.schema(MANIFEST).json(f"{root}/manifest/{version:09d}")
-    exported = list(marts)
-    return published.filter(F.col("mart").isin(exported)).select("mart", "rows")
+    return published.filter(F.col("mart").isin(list(marts)))
 
 
 def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:

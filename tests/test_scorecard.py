@@ -62,7 +62,13 @@ def test_scorecard_without_warehouse(spark, tmp_path, markets, klines):
     part = next((tmp_path / "report").glob("part-*.json"))
     written = json.loads(part.read_text())
     assert written["probe_summary"]["total"] == 5
-    assert written["warehouse"] == {"available": False, "row_counts": None, "ohlcv": None}
+    assert written["warehouse"] == {
+        "available": False,
+        "reason": "No warehouse",
+        "tables": [],
+        "row_counts": None,
+        "ohlcv": None,
+    }
 
 
 def test_scorecard_of_a_warehouse(spark, markets, klines):
@@ -80,6 +86,7 @@ def test_scorecard_of_a_warehouse(spark, markets, klines):
         ("stg_klines", 3),
     ]
     assert (row.warehouse.ohlcv.symbols, str(row.warehouse.ohlcv.max_day)) == (1, "2025-07-22")
+    assert row.warehouse.tables == sorted(relations) and row.warehouse.reason is None
     assert row.caveats == []
     emptied = {"mart_daily_ohlcv": relations["mart_daily_ohlcv"].limit(0)}
     assert len(scorecard.scorecard(probes, emptied).first().caveats) == 1
