@@ -29,7 +29,7 @@ from candlewick.operators.series import overlapping_blocks, sorted_rows
 from candlewick.sources.storage import stored
 
 ORDER = (1, 1, 1)
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 2048
 TOGETHER = 128  # blocks that a task reads in lockstep
 
 
