@@ -43,7 +43,9 @@ def _stretches(docs: DataFrame, min_words: int) -> DataFrame:
     in the order of documents and lines, null ids last. Rows that repeat doc_id and text are one document.
     """
     lines = stored(_lines(docs), "lines")
+    # Written first, so that the join below can split a line that very many documents share.
     twice = lines.groupBy("h", "g").agg(F.count("*").alias("n")).filter("n > 1").select("h", "g")
+    twice = stored(twice, "repeated-lines")
     inside = Window.partitionBy(*DOC).orderBy("seq")
     found = (
         lines.join(twice, ["h", "g"])
