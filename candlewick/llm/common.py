@@ -125,6 +125,13 @@ def batch_word_hashes(
             yield low + i, hashes[part], (starts[part] - begin[i], ends[part] - begin[i])
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at once."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def bytes_of(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow string column as UTF-8; null counts as empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

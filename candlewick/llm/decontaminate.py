@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import ALNUM, batch_word_hashes, shingle_hashes, without
+from candlewick.llm.common import ALNUM, batch_word_hashes, shingle_hashes, sliced, without
 from candlewick.sources.storage import stored
 
 FILTER_BITS = 1 << 24  # of the filter of the benchmark's shingles: 2 MB, however many there are
@@ -31,7 +31,7 @@ def _items(benchmark: DataFrame, shingle: int) -> DataFrame:
     """(item_id, ih, ipos, k, n_item, gram, h): every shingle of every item; short items are one shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids, names = batch.column("item_id").to_pylist(), batch.column("ih").to_pylist()
             texts = _folded(batch.column("text"))
             for at, hashes, (starts, ends) in batch_word_hashes(texts, ALNUM):
@@ -75,7 +75,7 @@ def _seeds(docs: DataFrame, bits: np.ndarray, lengths: list[int]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids, names = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
             texts = _folded(batch.column("text"))
             out: dict[str, list] = {c: [] for c in ("doc_id", "th", "dpos", "k", "gram")}

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import mix
+from candlewick.llm.common import mix, sliced
 from candlewick.sources.storage import stored
 
 BUCKETS = 1 << 16  # trigrams are hashed to this many
@@ -136,7 +136,7 @@ def train(
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros((count, BUCKETS), dtype=np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             pairs = zip(batch.column("l").to_pylist(), batch.column("text").to_pylist(), strict=True)
             for l, text in pairs:  # noqa: E741
                 for part in _grams(text):
@@ -169,7 +169,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     renamed = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             lang, score, every = [], [], []
             for text in batch.column("text").to_pylist():
                 found = proportions(shared.value, *gram_counts(text)) if text else {}

@@ -15,7 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import ALNUM, batch_word_hashes, bytes_of, shingle_hashes, spans, split_by
+from candlewick.llm.common import (
+    ALNUM,
+    batch_word_hashes,
+    bytes_of,
+    shingle_hashes,
+    sliced,
+    spans,
+    split_by,
+)
 from candlewick.sources.storage import stored
 
 K = 3  # words in a k-gram: as many as the shortest phrase has
@@ -63,7 +71,7 @@ def _grams(docs: DataFrame) -> DataFrame:
     """(doc_id, th, n_words, hashes): the mark, then all k-gram hashes of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t.lower() for t in bytes_of(batch.column("text"))]  # bytes: A-Z only
             counts, lists, low = [], [], 0
 
@@ -107,7 +115,7 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "th", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         columns = (batch.column(c).to_pylist() for c in ("doc_id", "th", "found"))
         for doc_id, th, found, text in zip(*columns, bytes_of(batch.column("text")), strict=True):

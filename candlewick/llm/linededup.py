@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import meets, numbered, split_by
+from candlewick.llm.common import meets, numbered, sliced, split_by
 from candlewick.sources.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -97,7 +97,7 @@ def _starts(stretches: DataFrame, min_words: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for sid, h, g, words in zip(
                 *(batch.column(c).to_pylist() for c in ("sid", "h", "g", "words")), strict=True
             ):
@@ -218,7 +218,7 @@ def _edited(rows: DataFrame) -> DataFrame:
     fields = ", ".join(f"{s} {types[c]}" for c, s in zip(names, short, strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, counts = [], []
             runs = batch.column("_runs").to_pylist()
             for text, spans in zip(batch.column("text").to_pylist(), runs, strict=True):

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import split_by
+from candlewick.llm.common import sliced, split_by
 from candlewick.sources.storage import fresh_path, stored
 
 # Fixed values of the formats.
@@ -178,7 +178,7 @@ def write_archives(
         kind = zstandard.ZstdCompressionDict(dictionary)
         writer = zstandard.ZstdCompressor(level=3, dict_data=kind, write_checksum=True)
         out, size, count, number, done = None, 0, 0, 0, []
-        for batch in batches:
+        for batch in sliced(batches):
             for page_id, url, payload, digest, refers_to in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
                 if out is None:
                     name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{number}.warc.zst"
