@@ -16,9 +16,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import numbered
+from candlewick.llm.common import meets, numbered, sliced, split_by
 from candlewick.sources.storage import stored
 
+KEY = ["page_id", "url", "hh"]
 CHROME, OPEN, BARE, ARTICLE = range(4)  # what the markup says of a line
 MATRIX_BITS = 1 << 29  # of the alignment held at once; longer pairs are halved
 
@@ -234,32 +235,31 @@ def main_text(texts: list[str], kinds: list[int], shared: list[list[int]]) -> st
     return "\n".join(texts[i] for i in sorted(kept))
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """(rid, page_id, url, host, path, texts, kinds, hashes); texts of page parts are left out."""
+def _undecided(kinds: list[int]) -> bool:
+    """Whether the text of a page depends on what its neighbours share with it."""
+    return BARE in kinds or (OPEN in kinds and ARTICLE not in kinds)
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """(page_id, url, hh, undecided, hashes of all lines, host, path) of every different page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, kinds, hashes = [], [], []
+        for batch in sliced(batches):
+            undecided, hashes = [], []
             for source in batch.column("html").to_pylist():
                 lines = page_lines(source or "")
-                texts.append([t if k != CHROME else "" for t, k in lines])
-                kinds.append([k for _, k in lines])
+                undecided.append(_undecided([k for _, k in lines]))
                 hashes.append([xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in lines])
-            new = [
-                pa.array(texts, pa.list_(pa.string())),
-                pa.array(kinds, pa.list_(pa.int8())),
-                pa.array(hashes, pa.list_(pa.int64())),
-            ]
+            new = [pa.array(undecided, pa.bool_()), pa.array(hashes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), *new],
-                names=["page_id", "url", "texts", "kinds", "hashes"],
+                [batch.column("page_id"), batch.column("url"), batch.column("hh"), *new],
+                names=["page_id", "url", "hh", "undecided", "hashes"],
             )
 
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html").mapInArrow(
-        run, "page_id long, url string, texts array<string>, kinds array<tinyint>, hashes array<long>"
-    )
     site = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
-    return rows.select(
+    return rows.mapInArrow(
+        run, "page_id long, url string, hh long, undecided boolean, hashes array<long>"
+    ).select(
         F.monotonically_increasing_id().alias("rid"),
         "*",
         F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), site, 1)).alias("host"),
@@ -267,18 +267,16 @@ def _parsed(pages: DataFrame) -> DataFrame:
     )
 
 
-def _shared(parsed: DataFrame) -> DataFrame:
+def _shared(hashed: DataFrame) -> DataFrame:
     """(rid, shared): places of the lines that each neighbour in the order of host and path has too."""
-    places = numbered(
-        parsed.filter("host <> ''").select("rid", "host", "path", "page_id"),
-        ["host", "path", "page_id", "rid"], "at", "url-order",
-    )
-    places = stored(places.select("rid", "host", "at"), "url-places")
+    once = hashed.filter("host <> ''").groupBy("host", "path", *KEY).agg(F.min("rid").alias("rid"))
+    order = ["host", "path", *KEY]
+    places = stored(numbered(once, order, "at", "url-order").select("rid", "host", "at"), "url-places")
     after = places.select(
         F.col("rid").alias("rid_b"), F.col("host").alias("host_b"), (F.col("at") - 1).alias("at_b")
     )
     pairs = places.join(after, (F.col("at") == F.col("at_b")) & (F.col("host") == F.col("host_b")))
-    lines = parsed.select("rid", "hashes")
+    lines = hashed.select("rid", "hashes")
     given = (
         pairs.select("rid", "rid_b")
         .join(lines, "rid")
@@ -299,24 +297,47 @@ def _shared(parsed: DataFrame) -> DataFrame:
     return aligned.groupBy("rid").agg(F.collect_list("shared").alias("shared"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) a row of `pages` (page_id, url, html, any other columns).
-
-    A page is compared with those before and after it in the order of URL path, page_id among its host's;
-    pages without a host (null or odd URLs) and single pages are judged by their markup alone. Null and
-    empty html and pages without article text give empty texts. Repeated rows are pages of their own, and so
-    each other's neighbours. No rows give no rows.
-    """
-    parsed = stored(_parsed(pages), "pages")
-    both = parsed.join(_shared(parsed), "rid", "left").select("page_id", "url", "texts", "kinds", "shared")
+def _texts(rows: DataFrame) -> DataFrame:
+    """(page_id, url, text) from (page_id, url, html, shared)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("texts", "kinds", "shared"))
-            text = [main_text(t, k, s or []) for t, k, s in zip(*columns, strict=True)]
+        for batch in sliced(batches):
+            texts = []
+            for source, shared in zip(
+                batch.column("html").to_pylist(), batch.column("shared").to_pylist(), strict=True
+            ):
+                lines = page_lines(source or "")
+                texts.append(main_text([t for t, _ in lines], [k for _, k in lines], shared or []))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())],
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "text"],
             )
 
-    return both.mapInArrow(run, "page_id long, url string, text string")
+    return rows.select("page_id", "url", "html", "shared").mapInArrow(
+        run, "page_id long, url string, text string"
+    )
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """(page_id, url, text) a row of `pages` (page_id, url, html, any other columns).
+
+    A page is compared with those before and after it in the order of URL path and page_id among its
+    host's; pages without a host (null or odd URLs) and single pages are judged by their markup alone. Null
+    and empty html and pages without article text give empty texts. Rows that repeat all three columns
+    are one page and get the same text. No rows give no rows.
+
+    Pages are aligned by the hashes of their lines. Only pages whose markup leaves lines undecided meet
+    the result again; the html of the others is never shuffled.
+    """
+    rows = pages.select(
+        F.col("page_id").cast("long"), F.col("url").cast("string"), "html", F.xxhash64("html").alias("hh")
+    )
+    hashed = stored(_hashed(rows), "page-lines")
+    shared = hashed.filter("undecided").join(_shared(hashed), "rid", "left")
+    shared = stored(shared.select(*KEY, "shared").dropDuplicates(KEY), "page-shared")
+    maybe, rest = split_by(rows, shared, *KEY)
+    _, on = meets(shared, *KEY)
+    other = shared.select(*[F.col(c).alias(f"_k_{c}") for c in KEY], "shared")
+    none = F.lit(None).cast("array<array<int>>").alias("shared")
+    undecided = maybe.join(other, on, "left")
+    return _texts(undecided).unionByName(_texts(rest.select("*", none)))
