@@ -20,6 +20,7 @@ from candlewick.llm.common import mix as spread
 from candlewick.sources.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+SHARDS = 16  # placed by a task
 ROWS = 2000  # documents packed in a row; a source is cut into so many groups that none has many more
 MOST_SOURCES = 100_000  # the table of sources and targets is held by the driver
 
@@ -177,9 +178,11 @@ def _slots(spark, sources: pd.DataFrame, shard_slots: int, seed: int) -> DataFra
 
     through = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     started = drawn.withColumn("start", F.coalesce(F.sum("n").over(through), F.lit(0)))
-    return started.select("shard", "s", "n", "before", "start").mapInPandas(
-        place, "shard long, position long, s int, block long"
+    # A row stands for thousands of slots, so a few rows are work enough for a task.
+    dealt = started.select("shard", "s", "n", "before", "start").repartition(
+        max(1, -(-shards // SHARDS)), "shard"
     )
+    return dealt.mapInPandas(place, "shard long, position long, s int, block long")
 
 
 def mix(
@@ -236,7 +239,8 @@ def mix(
         )
     )
     slots = _slots(spark, sources, shard_slots, seed)
-    return Mix(sources, rows, slots, slots.join(pieces, ["s", "block"]))
+    # The planner knows the size of the draws, not of the slots, and must not broadcast these.
+    return Mix(sources, rows, slots, slots.join(pieces.hint("merge"), ["s", "block"]))
 
 
 def taken(result: Mix) -> DataFrame:
