@@ -334,7 +334,8 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     hashed = stored(_hashed(rows), "page-lines")
     shared = hashed.filter("undecided").join(_shared(hashed), "rid", "left")
-    shared = stored(shared.select(*KEY, "shared").dropDuplicates(KEY), "page-shared")
+    # Of rows that repeat a page one was aligned; its result is the one that is not null.
+    shared = stored(shared.groupBy(*KEY).agg(F.max("shared").alias("shared")), "page-shared")
     maybe, rest = split_by(rows, shared, *KEY)
     _, on = meets(shared, *KEY)
     other = shared.select(*[F.col(c).alias(f"_k_{c}") for c in KEY], "shared")

@@ -81,3 +81,11 @@ def test_differencing(spark):
         ("7", None, "no url"), ("8", "odd", ""), ("9", "http://d.org/", ""), ("None", "http://e.org", "text"),
     ], key=str)
     assert html.extract(frame.limit(0)).count() == 0
+
+
+def test_repeated_rows_keep_the_differencing(spark):
+    plain = "<div>Welcome to our site</div><div>story {}</div><div>Call us today</div>"
+    rows = [(i, f"https://a.org/{i}", page(plain.format(i), False), "t", 1) for i in range(40)]
+    frame = spark.createDataFrame(rows * 5, SCHEMA).repartition(7)
+    got = [(r.page_id, r.text) for r in html.extract(frame).collect()]
+    assert sorted(got) == sorted([(i, f"story {i}") for i in range(40)] * 5)
