@@ -221,18 +221,19 @@ def _traced(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
 
 
 def main_text(texts: list[str], kinds: list[int], shared: list[list[int]]) -> str:
-    """The lines of the article; `shared` has for each neighbour the places of the lines in common.
+    """The lines of the article; `shared` has for each neighbour the lines in common.
 
-    Prose inside an article element stays. Other lines there stay unless shared. Without an article
-    element all lines outside page parts stay unless shared. A neighbour that has all lines of a page is a
-    copy of it and tells nothing.
+    A line is known by its place among those outside page parts. Prose inside an article element stays.
+    Other lines there stay unless shared. Without an article element all lines outside page parts stay
+    unless shared.
     """
-    inside = any(k in (ARTICLE, BARE) for k in kinds)
-    own = [i for i, k in enumerate(kinds) if k == (BARE if inside else OPEN)]
-    every = {i for i, k in enumerate(kinds) if k != CHROME}
-    gone = set().union(*(s for s in map(set, shared) if not every <= s))
-    kept = {i for i in own if i not in gone} | {i for i, k in enumerate(kinds) if k == ARTICLE}
-    return "\n".join(texts[i] for i in sorted(kept))
+    lines = [(t, k) for t, k in zip(texts, kinds, strict=True) if k != CHROME]
+    inside = any(k in (ARTICLE, BARE) for _, k in lines)
+    open_kind = BARE if inside else OPEN
+    gone = set().union(*shared)
+    return "\n".join(
+        t for i, (t, k) in enumerate(lines) if k == ARTICLE or (k == open_kind and i not in gone)
+    )
 
 
 def _undecided(kinds: list[int]) -> bool:
@@ -241,24 +242,33 @@ def _undecided(kinds: list[int]) -> bool:
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
-    """(page_id, url, hh, undecided, hashes of all lines, host, path) of every different page."""
+    """(rid, page_id, url, hh, undecided, hashes, body, host, path) of every row.
+
+    hashes are those of the lines outside page parts, body is one hash of them all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            undecided, hashes = [], []
+            undecided, hashes, body = [], [], []
             for source in batch.column("html").to_pylist():
                 lines = page_lines(source or "")
                 undecided.append(_undecided([k for _, k in lines]))
-                hashes.append([xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in lines])
-            new = [pa.array(undecided, pa.bool_()), pa.array(hashes, pa.list_(pa.int64()))]
+                each = [xxhash.xxh64_intdigest(t) - (1 << 63) for t, k in lines if k != CHROME]
+                hashes.append(each)
+                body.append(xxhash.xxh64_intdigest(repr(each)) - (1 << 63))
+            new = [
+                pa.array(undecided, pa.bool_()),
+                pa.array(hashes, pa.list_(pa.int64())),
+                pa.array(body, pa.int64()),
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("hh"), *new],
-                names=["page_id", "url", "hh", "undecided", "hashes"],
+                names=["page_id", "url", "hh", "undecided", "hashes", "body"],
             )
 
     site = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
     return rows.mapInArrow(
-        run, "page_id long, url string, hh long, undecided boolean, hashes array<long>"
+        run, "page_id long, url string, hh long, undecided boolean, hashes array<long>, body long"
     ).select(
         F.monotonically_increasing_id().alias("rid"),
         "*",
@@ -268,17 +278,26 @@ def _hashed(rows: DataFrame) -> DataFrame:
 
 
 def _shared(hashed: DataFrame) -> DataFrame:
-    """(rid, shared): places of the lines that each neighbour in the order of host and path has too."""
-    once = hashed.filter("host <> ''").groupBy("host", "path", *KEY).agg(F.min("rid").alias("rid"))
+    """(host, path, body, shared): places of the lines that each neighbour in the order of host and path has too.
+
+    Copies under one path are one page there. A neighbour under another path that is a copy tells nothing.
+    """
+    least = F.min(F.struct(*KEY, "rid"))
+    once = hashed.filter("host <> ''").groupBy("host", "path", "body").agg(least.alias("least"))
+    once = once.select("host", "path", "body", "least.*")
     order = ["host", "path", *KEY]
-    places = stored(numbered(once, order, "at", "url-order").select("rid", "host", "at"), "url-places")
+    places = stored(numbered(once, order, "at", "url-order").drop(*KEY), "url-places")
     after = places.select(
-        F.col("rid").alias("rid_b"), F.col("host").alias("host_b"), (F.col("at") - 1).alias("at_b")
+        F.col("rid").alias("rid_b"),
+        F.col("host").alias("host_b"),
+        F.col("body").alias("body_b"),
+        (F.col("at") - 1).alias("at_b"),
     )
     pairs = places.join(after, (F.col("at") == F.col("at_b")) & (F.col("host") == F.col("host_b")))
     lines = hashed.select("rid", "hashes")
     given = (
-        pairs.select("rid", "rid_b")
+        pairs.filter("body <> body_b")
+        .select("rid", "rid_b")
         .join(lines, "rid")
         .join(lines.select(F.col("rid").alias("rid_b"), F.col("hashes").alias("hashes_b")), "rid_b")
     )
@@ -294,7 +313,8 @@ def _shared(hashed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=["rid", "shared"])
 
     aligned = given.mapInArrow(run, "rid long, shared array<int>")
-    return aligned.groupBy("rid").agg(F.collect_list("shared").alias("shared"))
+    aligned = aligned.groupBy("rid").agg(F.collect_list("shared").alias("shared"))
+    return places.join(aligned, "rid").select("host", "path", "body", "shared")
 
 
 def _texts(rows: DataFrame) -> DataFrame:
@@ -324,7 +344,9 @@ def extract(pages: DataFrame) -> DataFrame:
     A page is compared with those before and after it in the order of URL path and page_id among its
     host's; pages without a host (null or odd URLs) and single pages are judged by their markup alone. Null
     and empty html and pages without article text give empty texts. Rows that repeat all three columns
-    are one page and get the same text. No rows give no rows.
+    are one page and get the same text, and so do pages of one host and path (URLs that differ in their
+    query or fragment) with the same lines outside page parts. A page that has nothing but what a larger
+    neighbour has gives an empty text, unless its markup says article. No rows give no rows.
 
     Pages are aligned by the hashes of their lines. Only pages whose markup leaves lines undecided meet
     the result again; the html of the others is never shuffled.
@@ -333,9 +355,9 @@ def extract(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long"), F.col("url").cast("string"), "html", F.xxhash64("html").alias("hh")
     )
     hashed = stored(_hashed(rows), "page-lines")
-    shared = hashed.filter("undecided").join(_shared(hashed), "rid", "left")
-    # Of rows that repeat a page one was aligned; its result is the one that is not null.
-    shared = stored(shared.groupBy(*KEY).agg(F.max("shared").alias("shared")), "page-shared")
+    asked = hashed.filter("undecided").select(*KEY, "host", "path", "body").dropDuplicates(KEY)
+    shared = asked.join(_shared(hashed), ["host", "path", "body"], "left")
+    shared = stored(shared.select(*KEY, "shared"), "page-shared")
     maybe, rest = split_by(rows, shared, *KEY)
     _, on = meets(shared, *KEY)
     other = shared.select(*[F.col(c).alias(f"_k_{c}") for c in KEY], "shared")

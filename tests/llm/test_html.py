@@ -89,3 +89,22 @@ def test_repeated_rows_keep_the_differencing(spark):
     frame = spark.createDataFrame(rows * 5, SCHEMA).repartition(7)
     got = [(r.page_id, r.text) for r in html.extract(frame).collect()]
     assert sorted(got) == sorted([(i, f"story {i}") for i in range(40)] * 5)
+
+
+def test_copies_under_one_path_are_one_page(spark):
+    plain = "<div>Welcome to our site</div><div>{}</div><div>Call us today</div>"
+    rows = [(0, "https://a.org/1", page(plain.format("first"), False), "t", 1)]
+    rows += [(i, f"https://a.org/2?v={i}", page(plain.format("second"), False), "t", 1) for i in range(1, 6)]
+    rows += [(6, "https://a.org/3", page(plain.format("third"), False), "t", 1)]
+    # Other markup and another menu, but the same lines outside page parts.
+    rows += [(7, "https://a.org/2#x", page(plain.format("second"), False).replace("menu", "list"), "t", 1)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: "first", **{i: "second" for i in (1, 2, 3, 4, 5, 7)}, 6: "third"}
+
+
+def test_page_of_boilerplate_only_is_empty(spark):
+    frame, story = "<div>Welcome to our site</div>{}<div>Call us today</div>", "<div>a story</div>"
+    rows = [(1, "https://a.org/1", page(frame.format(""), False), "t", 1),
+            (2, "https://a.org/2", page(frame.format(story), False), "t", 1)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: "", 2: "a story"}
