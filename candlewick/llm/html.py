@@ -1,8 +1,9 @@
 """Main text of HTML pages by differencing against the nearest URL.
 
 Pages are put in the order of host and URL path, and each is compared with its neighbours there: the longest
-common subsequence of their text lines is what the site repeats. Shared lines go, unless the page's own
-markup says that they belong to the article; lines that the markup says to be something else go as well.
+common subsequence of their text lines is what the site repeats. Shared lines go; where the page's own
+markup says that they belong to the article, only if most pages of the host have them there. Lines that the
+markup says to be something else go as well.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from candlewick.sources.storage import stored
 KEY = ["page_id", "url", "hh"]
 CHROME, OPEN, BARE, ARTICLE = range(4)  # what the markup says of a line
 MATRIX_BITS = 1 << 29  # of the alignment held at once; longer pairs are halved
+COMMON = 3  # different pages of a host, and more than half of them, that make prose in articles boilerplate
+SALTS = 16  # parts of a host's lines
 
 # Names of HTML and of common page parts.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -220,20 +223,18 @@ def _traced(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     return left[::-1], right[::-1]
 
 
-def main_text(texts: list[str], kinds: list[int], shared: list[list[int]]) -> str:
+def main_text(texts: list[str], kinds: list[int], shared: list[list[int]], common: list[int]) -> str:
     """The lines of the article; `shared` has for each neighbour the lines in common.
 
-    A line is known by its place among those outside page parts. Prose inside an article element stays.
+    A line is known by its place among those outside page parts. Prose inside an article element stays
+    unless it is among `common`, lines shared with a neighbour that most pages of the host have in articles.
     Other lines there stay unless shared. Without an article element all lines outside page parts stay
     unless shared.
     """
     lines = [(t, k) for t, k in zip(texts, kinds, strict=True) if k != CHROME]
     inside = any(k in (ARTICLE, BARE) for _, k in lines)
-    open_kind = BARE if inside else OPEN
-    gone = set().union(*shared)
-    return "\n".join(
-        t for i, (t, k) in enumerate(lines) if k == ARTICLE or (k == open_kind and i not in gone)
-    )
+    gone = {ARTICLE: set(common), BARE if inside else OPEN: set().union(*shared)}
+    return "\n".join(t for i, (t, k) in enumerate(lines) if k in gone and i not in gone[k])
 
 
 def _undecided(kinds: list[int]) -> bool:
@@ -242,33 +243,38 @@ def _undecided(kinds: list[int]) -> bool:
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
-    """(rid, page_id, url, hh, undecided, hashes, body, host, path) of every row.
+    """(rid, page_id, url, hh, undecided, hashes, prose, body, host, path) of every row.
 
-    hashes are those of the lines outside page parts, body is one hash of them all.
+    hashes are those of the lines outside page parts, prose the different ones of prose in articles, body is
+    one hash of all lines outside page parts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            undecided, hashes, body = [], [], []
+            undecided, hashes, prose, body = [], [], [], []
             for source in batch.column("html").to_pylist():
                 lines = page_lines(source or "")
                 undecided.append(_undecided([k for _, k in lines]))
-                each = [xxhash.xxh64_intdigest(t) - (1 << 63) for t, k in lines if k != CHROME]
+                known = [(xxhash.xxh64_intdigest(t) - (1 << 63), k) for t, k in lines if k != CHROME]
+                each = [h for h, _ in known]
                 hashes.append(each)
+                prose.append(sorted({h for h, k in known if k == ARTICLE}))
                 body.append(xxhash.xxh64_intdigest(repr(each)) - (1 << 63))
             new = [
                 pa.array(undecided, pa.bool_()),
                 pa.array(hashes, pa.list_(pa.int64())),
+                pa.array(prose, pa.list_(pa.int64())),
                 pa.array(body, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("hh"), *new],
-                names=["page_id", "url", "hh", "undecided", "hashes", "body"],
+                names=["page_id", "url", "hh", "undecided", "hashes", "prose", "body"],
             )
 
     site = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
     return rows.mapInArrow(
-        run, "page_id long, url string, hh long, undecided boolean, hashes array<long>, body long"
+        run,
+        "page_id long, url string, hh long, undecided boolean, hashes array<long>, prose array<long>, body long",
     ).select(
         F.monotonically_increasing_id().alias("rid"),
         "*",
@@ -277,10 +283,41 @@ def _hashed(rows: DataFrame) -> DataFrame:
     )
 
 
+def _repeated(hashed: DataFrame) -> DataFrame:
+    """(host, line): prose in the articles of most different pages of a host."""
+    bodies = hashed.filter("host <> ''").groupBy("host", "body").agg(F.min("rid").alias("rid"))
+    lines = bodies.join(hashed.select("rid", "prose"), "rid").select("host", F.explode("prose").alias("line"))
+    often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
+    pages = bodies.groupBy("host").agg(F.count("*").alias("n_pages"))
+    return often.join(pages, "host").filter("2 * n > n_pages").select("host", "line")
+
+
+def _common(places: DataFrame, aligned: DataFrame, hashed: DataFrame) -> DataFrame:
+    """(rid, common): places of the lines shared with a neighbour that most pages of the host have in articles.
+
+    A line of a large host is a hot key, so the pages are dealt over salts and the host's few lines copied.
+    """
+    repeated = _repeated(hashed).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    either = aligned.select("rid", F.array_distinct(F.flatten("shared")).alias("either"))
+    found = (
+        either.join(hashed.filter(F.size("prose") > 0).select("rid", "hashes", "prose"), "rid")
+        .join(places.select("rid", "host"), "rid")
+        .withColumn("place", F.explode("either"))
+        .withColumn("line", F.expr("hashes[place]"))
+        .filter("array_contains(prose, line)")
+        .select("rid", "host", "line", "place", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int").alias("salt"))
+    )
+    return found.join(repeated, ["host", "line", "salt"]).groupBy("rid").agg(
+        F.sort_array(F.collect_list("place")).alias("common")
+    )
+
+
 def _shared(hashed: DataFrame) -> DataFrame:
-    """(host, path, body, shared): places of the lines that each neighbour in the order of host and path has too.
+    """(host, path, body, shared, common): places of the lines that neighbours in the order of host and path have.
 
-    Copies under one path are one page there. A neighbour under another path that is a copy tells nothing.
+    shared is an array for each neighbour, common is null or has those shared that are boilerplate even in an
+    article. Copies under one path are one page there. A neighbour under another path that is a copy tells
+    nothing.
     """
     least = F.min(F.struct(*KEY, "rid"))
     once = hashed.filter("host <> ''").groupBy("host", "path", "body").agg(least.alias("least"))
@@ -313,27 +350,29 @@ def _shared(hashed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=["rid", "shared"])
 
     aligned = given.mapInArrow(run, "rid long, shared array<int>")
-    aligned = aligned.groupBy("rid").agg(F.collect_list("shared").alias("shared"))
-    return places.join(aligned, "rid").select("host", "path", "body", "shared")
+    aligned = stored(aligned.groupBy("rid").agg(F.collect_list("shared").alias("shared")), "page-aligned")
+    common = _common(places, aligned, hashed)
+    return (
+        places.join(aligned, "rid").join(common, "rid", "left").select("host", "path", "body", "shared", "common")
+    )
 
 
 def _texts(rows: DataFrame) -> DataFrame:
-    """(page_id, url, text) from (page_id, url, html, shared)."""
+    """(page_id, url, text) from (page_id, url, html, shared, common)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = []
-            for source, shared in zip(
-                batch.column("html").to_pylist(), batch.column("shared").to_pylist(), strict=True
-            ):
+            columns = (batch.column(c).to_pylist() for c in ("html", "shared", "common"))
+            for source, shared, common in zip(*columns, strict=True):
                 lines = page_lines(source or "")
-                texts.append(main_text([t for t, _ in lines], [k for _, k in lines], shared or []))
+                texts.append(main_text([t for t, _ in lines], [k for _, k in lines], shared or [], common or []))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "text"],
             )
 
-    return rows.select("page_id", "url", "html", "shared").mapInArrow(
+    return rows.select("page_id", "url", "html", "shared", "common").mapInArrow(
         run, "page_id long, url string, text string"
     )
 
@@ -346,21 +385,26 @@ def extract(pages: DataFrame) -> DataFrame:
     and empty html and pages without article text give empty texts. Rows that repeat all three columns
     are one page and get the same text, and so do pages of one host and path (URLs that differ in their
     query or fragment) with the same lines outside page parts. A page that has nothing but what a larger
-    neighbour has gives an empty text, unless its markup says article. No rows give no rows.
+    neighbour has gives an empty text, unless its markup says article. Prose in an article goes if a neighbour
+    and more than half of the host's different pages, three at least, have it in theirs. No rows give no rows.
 
-    Pages are aligned by the hashes of their lines. Only pages whose markup leaves lines undecided meet
-    the result again; the html of the others is never shuffled.
+    Pages are aligned by the hashes of their lines. Only pages whose markup leaves lines undecided or whose
+    articles have such prose meet the result again; the html of the others is never shuffled.
     """
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), "html", F.xxhash64("html").alias("hh")
     )
     hashed = stored(_hashed(rows), "page-lines")
-    asked = hashed.filter("undecided").select(*KEY, "host", "path", "body").dropDuplicates(KEY)
+    asked = hashed.select(*KEY, "host", "path", "body", "undecided").dropDuplicates(KEY)
     shared = asked.join(_shared(hashed), ["host", "path", "body"], "left")
-    shared = stored(shared.select(*KEY, "shared"), "page-shared")
+    shared = shared.filter("undecided OR common IS NOT NULL").select(*KEY, "shared", "common")
+    shared = stored(shared, "page-shared")
     maybe, rest = split_by(rows, shared, *KEY)
     _, on = meets(shared, *KEY)
-    other = shared.select(*[F.col(c).alias(f"_k_{c}") for c in KEY], "shared")
-    none = F.lit(None).cast("array<array<int>>").alias("shared")
+    other = shared.select(*[F.col(c).alias(f"_k_{c}") for c in KEY], "shared", "common")
+    none = [
+        F.lit(None).cast("array<array<int>>").alias("shared"),
+        F.lit(None).cast("array<int>").alias("common"),
+    ]
     undecided = maybe.join(other, on, "left")
-    return _texts(undecided).unionByName(_texts(rest.select("*", none)))
+    return _texts(undecided).unionByName(_texts(rest.select("*", *none)))

@@ -108,3 +108,19 @@ def test_page_of_boilerplate_only_is_empty(spark):
             (2, "https://a.org/2", page(frame.format(story), False), "t", 1)]
     got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {1: "", 2: "a story"}
+
+
+def test_boilerplate_inside_articles(spark):
+    ask, note = "<p>Subscribe to our letter</p>", "<li>We use cookies</li>"
+    passage = "<p>a passage that two neighbours share</p>"
+    rows = [(i, f"https://a.org/{i:02}", page(f"{note}<p>story {i}</p>{passage if 3 < i < 6 else ''}{ask}"), "t", 1)
+            for i in range(12)]
+    # An article with many copies does not make its own lines boilerplate.
+    rows += [(20 + i, f"https://b.org/{i}", page("<p>copied</p>"), "t", 1) for i in range(6)]
+    rows += [(30 + i, f"https://b.org/z{i}", page(f"<p>own {i}</p>"), "t", 1) for i in range(3)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    shared = "\na passage that two neighbours share"
+    assert got == {
+        **{i: f"story {i}{shared if 3 < i < 6 else ''}" for i in range(12)},
+        **{20 + i: "copied" for i in range(6)}, **{30 + i: f"own {i}" for i in range(3)},
+    }
