@@ -39,7 +39,17 @@ OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 ADDRESS = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.[0-9])"
 PHONE = r"(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
 PERSONAL = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
-CARD = r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]|\.[0-9])"
+# Card numbers in one piece or in the usual groups. To groups of four, those of an expiry date, a check number or a
+# leading number may belong or not, which the check digit tells.
+FOURS = "|".join(
+    rf"[0-9]{{4}}(?:{s}[0-9]{{4}}){{3}}(?:{s}[0-9]{{4}}(?!{s}?[0-9]{{4}}))?(?:{s}[0-9]{{3}})?" for s in " -"
+)
+_GROUPS = "|".join(rf"[0-9]{{4}}{s}[0-9]{{6}}{s}[0-9]{{4,5}}" for s in " -")
+_AFTER = r"(?!\w|\.[0-9]|-(?![0-9]{1,4}(?![\w-])))"
+_USUAL = rf"(?:[0-9]{{13,19}}|{FOURS}|{_GROUPS}){_AFTER}"
+#: Other groups only where no usual ones begin within.
+_OTHER = rf"(?!(?:[0-9][ -]?){{1,12}}(?<=[ -]){_USUAL})[0-9](?:[ -]?[0-9]){{12,18}}(?![\w-]|\.[0-9])"
+CARD = rf"(?<![\w.-])(?:{_USUAL}|{_OTHER})"
 SECRET = (
     r"(?<![\w])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![\w])"
 )
@@ -71,15 +81,31 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 
+def _card(entity: Column) -> Column:
+    """(at, size) of the card number among the digits of an entity; null without a right check digit."""
+    digits = _digits(entity)
+    n, fours = F.length(digits), _whole(entity, FOURS)
+    spans = [(0, n, n <= 19), (0, F.lit(16), fours & (n > 16)), (4, F.lit(16), fours & (n >= 20)),
+             (4, F.lit(19), fours & (n == 23))]
+    return F.coalesce(
+        *[
+            F.when(
+                fits & (_luhn(F.substr(digits, F.lit(at + 1), size)) == 0),
+                F.struct(F.lit(at).alias("at"), size.alias("size")),
+            )
+            for at, size, fits in spans
+        ]
+    )
+
+
 def _kind(entity: Column) -> Column:
     """Type of a detected entity; null for numbers that only look like a card."""
-    digits = _digits(entity)
     return (
         F.when(entity.contains("@"), "email")
         .when(_whole(entity, PERSONAL), "personal")
         .when(_whole(entity, PHONE), "phone")
         .when(_whole(entity, ADDRESS), "address")
-        .when(_whole(entity, CARD) & (_luhn(digits) == 0), "card")
+        .when(_whole(entity, CARD) & _card(entity).isNotNull(), "card")
         .when(_whole(entity, CARD), F.lit(None))
         .when(_whole(entity, SECRET), "secret")
         .otherwise("name")
@@ -107,8 +133,11 @@ def _parts(kind: Column, entity: Column) -> Column:
         ),
     )
     plus = F.when(entity.startswith("+"), "+").otherwise("")
-    number = F.when(kind == "phone", F.concat(plus, _digits(entity))).when(
-        kind.isin("card", "personal"), _digits(entity)
+    card = _card(entity)
+    number = (
+        F.when(kind == "phone", F.concat(plus, _digits(entity)))
+        .when(kind == "card", F.substr(_digits(entity), card["at"] + 1, card["size"]))
+        .when(kind == "personal", _digits(entity))
     )
     return (
         F.when(
@@ -282,13 +311,17 @@ def _replacements(entities: DataFrame, key: str) -> DataFrame:
     )
     entity, s, kind = F.col("entity"), F.col("s"), F.col("kind")
     words = F.split(entity, " ")
+    digits, card = _digits(entity), _card(entity)
     name = F.concat_ws(
         " ", words[0], F.zip_with(F.slice(words, 2, F.size(words)), s, lambda w, x: _cased(w, x))
     )
     text = (
         F.when(kind == "email", _cased(entity, F.concat_ws("@", s)))
         .when(kind == "name", name)
-        .when(kind.isin("phone", "card", "personal"), _filled(entity, _digits(s[0])))
+        .when(kind.isin("phone", "personal"), _filled(entity, _digits(s[0])))
+        .when(kind == "card", _filled(entity, F.concat(
+            F.substr(digits, F.lit(1), card["at"]), s[0], F.substr(digits, card["at"] + card["size"] + 1)
+        )))
         .when(kind == "secret", F.when(F.upper(entity) == entity, F.upper(s[0])).otherwise(s[0]))
         .otherwise(s[0])
     )

@@ -99,3 +99,21 @@ def test_native(spark):
     plan = pii.pseudonymize(docs, "k")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert pii.pseudonymize(docs, "k").filter(F.col("n_entities") > 0).count() == 1
+
+
+def test_cards_beside_other_numbers(spark):
+    card, other = "4111 1111 1111 1111", "4222 2222 2222 2222 224"
+    plain, amex = card.replace(" ", ""), "3782 822463 10005"
+    forms = {
+        f"card {plain} 12/27": plain, f"{card} 123 cvv": card, f"no 7 {plain} ok": plain, f"in 2024 {card} 12/27": card,
+        f"{card} 1227 123": card, f"{card.replace(' ', '-')}-123": card.replace(" ", "-"), f"123 {card}": card,
+        f"{amex} 1234": amex, f"12 {amex}": amex, f"{other}": other, "4111 111 111 111 111": "4111 111 111 111 111",
+    }
+    got = run(spark, [*forms, f"{card} {plain}", f"{card} {card}"])
+    for i, (text, number) in enumerate(forms.items()):
+        before, after = text.split(number)
+        new = got[i][0][len(before) : len(text) - len(after)]
+        assert got[i][0] == before + new + after and got[i][1:] == (1, "card"), text
+        assert new != number and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", number)
+        assert luhn(re.sub("[^0-9]", "", new)), text
+    assert [got[len(forms) + i][1:] for i in (0, 1)] == [(2, "card"), (2, "card")]
