@@ -37,7 +37,6 @@ SURNAME_ENDINGS = {"latin": "man son dal ner", "cyrillic": "енко чук ич
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 ADDRESS = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.[0-9])"
-PHONE = r"(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
 PERSONAL = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 # Card numbers in one piece or in the usual groups. To groups of four, those of an expiry date, a check number or a
 # leading number may belong or not, which the check digit tells.
@@ -50,6 +49,10 @@ _USUAL = rf"(?:[0-9]{{13,19}}|{FOURS}|{_GROUPS}){_AFTER}"
 #: Other groups only where no usual ones begin within.
 _OTHER = rf"(?!(?:[0-9][ -]?){{1,12}}(?<=[ -]){_USUAL})[0-9](?:[ -]?[0-9]){{12,18}}(?![\w-]|\.[0-9])"
 CARD = rf"(?<![\w.-])(?:{_USUAL}|{_OTHER})"
+_NORTH = r"(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
+_STEP = rf"(?:(?:[ ./-]|[ ./-]?\(|\)[ ./-]?)(?!{_USUAL}))?[0-9]"
+#: Ten digits in groups of 3, 3 and 4, or a country code and 7 to 15 digits with it, in one piece or in any groups.
+PHONE = rf"{_NORTH}|(?<![\w+.-])\+[1-9](?:[0-9]{{6,14}}|(?:{_STEP}){{6,14}})(?![\w-])"
 SECRET = (
     r"(?<![\w])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![\w])"
 )
@@ -59,7 +62,7 @@ NAME = (
 )
 PATTERN = "|".join((EMAIL, PERSONAL, PHONE, ADDRESS, CARD, SECRET, NAME))
 #: Holds for every text with an entity, and is fast.
-HINT = rf"[@0-9]|[0-9A-Fa-f]{{32}}|sk-|ghp_|{'|'.join(MALE + FEMALE + NEITHER)}"
+HINT = rf"[@0-9]|[0-9A-Fa-f]{{32}}|AKIA|sk-|ghp_|{'|'.join(MALE + FEMALE + NEITHER)}"
 
 
 def _whole(text: Column, pattern: str) -> Column:
@@ -288,11 +291,15 @@ def _filled(entity: Column, digits: Column) -> Column:
     chars = F.split(entity, "")
     place = F.aggregate(
         chars,
-        F.struct(F.lit("").alias("t"), F.lit(0).alias("n")),
+        F.struct(F.lit("").alias("t"), F.lit(0).alias("n"), digits.alias("d")),  # once a row, not a character
         lambda a, c: F.when(
             c.rlike("[0-9]"),
-            F.struct(F.concat(a["t"], F.substr(digits, a["n"] + 1, F.lit(1))).alias("t"), (a["n"] + 1).alias("n")),
-        ).otherwise(F.struct(F.concat(a["t"], c).alias("t"), a["n"].alias("n"))),
+            F.struct(
+                F.concat(a["t"], F.substr(a["d"], a["n"] + 1, F.lit(1))).alias("t"),
+                (a["n"] + 1).alias("n"),
+                a["d"].alias("d"),
+            ),
+        ).otherwise(F.struct(F.concat(a["t"], c).alias("t"), a["n"].alias("n"), a["d"].alias("d"))),
     )
     return place["t"]
 
