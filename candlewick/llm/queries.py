@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, html, langid, licenses, linededup, mixing, pii, simhash, topk, warc
+from candlewick.llm import decontaminate, filteraudit, html, langid, licenses, linededup, mixing, pii, simhash, topk, warc
 
 #: Key of the surrogates in the test query; a real one is kept secret.
 TEST_KEY = "test"
@@ -80,6 +80,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "deleted_lines")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of the documents of each language, in every order."""
+    return filteraudit.filter_audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_html": op9_html,
     "op10_line_dedup": op10_line_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: What SQL can express of the operators; the others have brute-force tests.
@@ -125,4 +131,54 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op13_filter_audit": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+        ), first AS (
+            SELECT text, min(doc_id) AS first FROM t GROUP BY text
+        ), marks AS (
+            SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+            FROM labels GROUP BY doc_id
+        ), w AS (
+            SELECT t.*, regexp_extract_all(t.text, '[^\x20\x09-\x0D]+') AS words, first.first FROM t JOIN first USING (text)
+        ), m AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask
+            FROM w LEFT JOIN marks USING (doc_id)
+        ), c AS (
+            SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask
+        ), f AS (
+            SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)
+        ), o AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+            FROM f a, f b, f c, f d, f e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+        ), s AS (
+            SELECT filter_order, CAST(step AS INTEGER) AS step, bit,
+                   (SELECT coalesce(sum(e.bit), 0) FROM f e
+                    WHERE instr(filter_order, e.letter) < s.step) AS earlier
+            FROM o, unnest([1, 2, 3, 4, 5]) AS s(step), f
+            WHERE f.letter = substr(filter_order, s.step, 1)
+        ), r AS (
+            SELECT part, filter_order, step, bit,
+                   CAST(sum(CASE WHEN mask & (bit | CAST(earlier AS INTEGER)) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+                   CAST(sum(CASE WHEN mask & bit <> 0 AND mask & CAST(earlier AS INTEGER) = 0 THEN n ELSE 0 END)
+                        AS BIGINT) AS removed,
+                   CAST(sum(CASE WHEN mask & bit <> 0 AND mask & CAST(earlier AS INTEGER) <> 0 THEN n ELSE 0 END)
+                        AS BIGINT) AS redundant,
+                   CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                   CAST(sum(CASE WHEN mask & bit <> 0 AND mask & CAST(earlier AS INTEGER) = 0 THEN good ELSE 0 END)
+                        AS BIGINT) AS good_lost,
+                   CAST(sum(CASE WHEN mask & bit <> 0 AND mask & CAST(earlier AS INTEGER) = 0 THEN toxic ELSE 0 END)
+                        AS BIGINT) AS toxic_lost
+            FROM c, s GROUP BY part, filter_order, step, bit
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM r
+    """,
 }

@@ -23,7 +23,7 @@ def texts():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("documents", "embeddings", "labels", "pages"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     cursor = connection.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
