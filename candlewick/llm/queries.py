@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, filteraudit, html, langid, licenses, linededup, mixing, pii, simhash, topk, warc
+from candlewick.llm import (
+    decontaminate,
+    divergence,
+    filteraudit,
+    html,
+    imatch,
+    langid,
+    licenses,
+    linededup,
+    mixing,
+    pii,
+    simhash,
+    topk,
+    warc,
+)
 
 #: Key of the surrogates in the test query; a real one is kept secret.
 TEST_KEY = "test"
@@ -80,6 +94,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "deleted_lines")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return imatch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, and by which terms."""
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove of the documents of each language, in every order."""
     return filteraudit.filter_audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
@@ -96,6 +120,8 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_html": op9_html,
     "op10_line_dedup": op10_line_dedup,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_divergence": op12_divergence,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -131,6 +157,44 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op12_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), w AS (
+            SELECT lang, source, id, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+        ), t AS (
+            SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+        ), l AS (
+            SELECT g.lang, count(term) AS v, coalesce(sum(total), 0) AS n
+            FROM (SELECT DISTINCT lang FROM d) g LEFT JOIN t USING (lang) GROUP BY g.lang
+        ), k AS (
+            SELECT lang, source, term, count(*) AS n FROM w JOIN t USING (lang, term) GROUP BY lang, source, term
+        ), g AS (
+            SELECT g.lang, g.source, coalesce(sum(k.n), 0) AS n
+            FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN k USING (lang, source) GROUP BY g.lang, g.source
+        ), p AS (
+            SELECT g.lang, g.source, t.term, coalesce(k.n, 0) AS n,
+                   CAST(1 + 1000000000 * CAST(coalesce(k.n, 0) + 2 AS HUGEINT) // (g.n + 2 * l.v) AS BIGINT) AS p,
+                   CAST(1 + 1000000000 * CAST(t.total + 2 AS HUGEINT) // (l.n + 2 * l.v) AS BIGINT) AS q
+            FROM g JOIN l USING (lang) JOIN t USING (lang) LEFT JOIN k USING (lang, source, term)
+        ), s AS (
+            SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source
+        ), r AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+        ), o AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM r
+        )
+        SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 10
+    """,
     "op13_filter_audit": r"""
         WITH t AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents

@@ -119,3 +119,9 @@ def test_line_dedup(spark, texts):
         assert [x.strip() for x in r.text.split("\n") if x.strip()] == want[r.doc_id]
         if not r.deleted_lines:
             assert r.text == texts[r.doc_id]
+
+
+def test_fingerprints(spark, texts):
+    from test_imatch import brute, result
+
+    assert result(QUERIES["op11_fingerprints"](spark, SF_DIR)) == brute(sorted(texts.items()), 4, 10)
