@@ -3,7 +3,7 @@
 The files of the table pass as micro-batches of a stream that ends when all are read. Four filters look
 at a document alone; the fifth fails every document whose text has a smaller id elsewhere, in this batch
 or in any other. The state of the stream therefore keeps, for every text, the smallest id so far and what
-that document counts for. When a smaller id arrives, the earlier document is retracted from the counter of
+that document counts for, a few texts to a key. When a smaller id arrives, the earlier document is retracted from the counter of
 its old mask and counted under its new one. A mask has one bit for each filter that a document fails;
 everything the audit reports follows from how many documents of a part have which mask.
 
@@ -42,10 +42,18 @@ TEXTS = 200_000
 #: Bytes of files in a micro-batch, for each core of the cluster.
 BYTES_PER_CORE = 16 << 20
 
+#: Texts that share a key of the state, on average. A call costs more than a row; far fewer texts than this arrive
+#: at a key in one batch of a large table, so what is written per batch stays in proportion to the batch.
+TEXTS_PER_KEY = 64
+
 CELL = "part string, mask int, good boolean, toxic boolean, n long"
 #: `fate`: 0 holds the smallest id so far, 1 has lost to a smaller id, 2 has no id.
 CLAIM = f"digest binary, fate int, id long, {CELL}"
-HELD = "id long, parts array<string>, goods array<boolean>, toxics array<boolean>, counts array<long>"
+#: For each text of a key its smallest id and the documents that have it, a place for each kind of them.
+HELD = (
+    "digests array<binary>, ids array<long>, parts array<string>, goods array<boolean>, toxics array<boolean>, "
+    "counts array<long>"
+)
 
 
 def own_mask(text: Column) -> Column:
@@ -138,37 +146,39 @@ def claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What the rows of one text change in the counters; the state is its smallest id and whom that stands for."""
+    """What the rows of a few texts change in the counters; the state has each text's smallest id and its holders."""
+    holder: dict[bytes, int] = {}
+    held: dict[bytes, dict[tuple, int]] = defaultdict(dict)
     if state.exists:
-        holder, *columns = state.get
-        held = {(p, g, t): n for p, g, t, n in zip(*columns, strict=True)}
-    else:
-        holder, held = None, {}
+        for digest, id, *cell, n in zip(*state.get, strict=True):
+            digest = bytes(digest)
+            holder[digest] = id
+            held[digest][tuple(cell)] = n
     change: dict[tuple, int] = defaultdict(int)
-    before = holder, dict(held)
-    mask = 0
+    moved = False
     for frame in frames:
-        columns = [frame[c].tolist() for c in ("fate", "id", "part", "mask", "good", "toxic", "n")]
-        for fate, id, part, mask, good, toxic, n in zip(*columns, strict=True):
+        columns = [frame[c].tolist() for c in ("digest", "fate", "id", "part", "mask", "good", "toxic", "n")]
+        for digest, fate, id, part, mask, good, toxic, n in zip(*columns, strict=True):
             cell = (part, good, toxic)
             if fate == 2:
                 change[mask, cell] += n
-            elif fate == 1 or (holder is not None and id > holder):
+                continue
+            smallest = holder.get(digest)
+            if fate == 1 or (smallest is not None and id > smallest):
                 change[mask | COPY, cell] += n
-            else:
-                id = int(id)
-                if holder is not None and id < holder:
-                    for old, count in held.items():
-                        change[mask, old] -= count
-                        change[mask | COPY, old] += count
-                    held = {}
-                holder = id
-                held[cell] = held.get(cell, 0) + n
-                change[mask, cell] += n
-    if holder is not None and (holder, held) != before:
-        parts, goods, toxics = zip(*held, strict=True)
-        state.update((holder, list(parts), list(goods), list(toxics), list(held.values())))
-    rows = [(part, m, good, toxic, n) for (m, (part, good, toxic)), n in change.items() if n]
+                continue
+            if smallest is not None and id < smallest:
+                for old, count in held.pop(digest).items():
+                    change[mask, old] -= count
+                    change[mask | COPY, old] += count
+            moved = True
+            holder[digest] = int(id)
+            held[digest][cell] = held[digest].get(cell, 0) + n
+            change[mask, cell] += n
+    if moved:
+        rows = [(d, holder[d], *cell, n) for d, cells in held.items() for cell, n in cells.items()]
+        state.update(tuple(map(list, zip(*rows, strict=True))))
+    rows = [(part, mask, good, toxic, n) for (mask, (part, good, toxic)), n in change.items() if n]
     yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
 
@@ -184,7 +194,8 @@ def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """Documents of each part, mask and pair of labels, from the file or all files of the folder `path`."""
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(path)
+    schema, keys = table.schema, table.count() // TEXTS_PER_KEY + 1
     known = stored(flags(labels), "audit-labels")
     sink, progress = fresh_path(spark, "audit-changes"), fresh_path(spark, "audit-progress")
     root = path.rstrip("/")
@@ -203,7 +214,8 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batch_bytes: int
     )
     changes = (
         met.mapInArrow(claims, CLAIM)
-        .groupBy("digest")
+        .withColumn("key", F.pmod(F.xxhash64("digest"), F.lit(keys)))
+        .groupBy("key")
         .applyInPandasWithState(retract, CELL, HELD, "append", GroupStateTimeout.NoTimeout)
         .mapInArrow(tally, CELL)
     )
