@@ -1,16 +1,19 @@
 """Main text of HTML pages by differencing against the nearest URL.
 
 Pages are put in the order of host and URL path, and each is compared with its neighbours there: the longest
-common subsequence of their text lines is what the site repeats. Shared lines go; where the page's own
-markup says that they belong to the article, only if most pages of the host have them there. Lines that the
-markup says to be something else go as well.
+common subsequence of their text lines, those of menus and footers included, is what the site repeats. Shared
+lines go; where the page's own markup says that they belong to the article, only if most pages of the host have
+them there. Markup settles what no neighbour tells: lines that it says to be something else go as well, also
+parts of lines. `removed_lines` counts what either of the two takes away.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -21,7 +24,7 @@ from candlewick.llm.common import meets, numbered, sliced, split_by
 from candlewick.sources.storage import stored
 
 KEY = ["page_id", "url", "hh"]
-CHROME, OPEN, BARE, ARTICLE = range(4)  # what the markup says of a line
+CHROME, OPEN, BARE, ARTICLE, SUSPECT = range(5)  # what the markup says of a line
 MATRIX_BITS = 1 << 29  # of the alignment held at once; longer pairs are halved
 COMMON = 3  # different pages of a host, and more than half of them, that make prose in articles boilerplate
 SALTS = 16  # parts of a host's lines
@@ -43,7 +46,14 @@ PARTS = set(
     "nav navbar navigation menu sidebar footer ad ads advert adverts advertisement advertising adsense banner "
     "sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal newsletter subscribe "
     "subscription share sharing social comment comments disqus respond reply replies related recommended breadcrumb "
-    "breadcrumbs pagination pager widget copyright toolbar login signup search skip masthead".split()
+    "breadcrumbs pagination pager widget copyright toolbar login signup search skip masthead reviews".split()
+)
+#: Words that leave a name with one of the above what it is ("share-button"); with others it may be anything
+#: ("notice-period").
+BESIDE = set(
+    "button buttons box bar block container wrapper wrap link links icon icons list posts articles section slot unit "
+    "area form reader readers user visitor site page post article entry content main top bottom left right inline "
+    "sticky fixed mobile desktop global primary secondary".split()
 )
 HEADERS = {"header", "topbar", "masthead"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -64,63 +74,142 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 
 
+@dataclass(frozen=True)
+class _State:
+    """What the open elements say of the text inside them."""
+
+    chrome: bool = False
+    article: bool = False
+    suspect: bool = False  # a name that may be a page part's, inside an article
+    prose: bool = False
+
+    def kind(self) -> int:
+        if self.chrome:
+            return CHROME
+        if not self.article:
+            return OPEN
+        return SUSPECT if self.suspect else ARTICLE if self.prose else BARE
+
+
 class _Page:
-    """Text lines of a page, each with what the markup says of it."""
+    """Text lines of a page, each with what the markup says of it.
+
+    Every element has the state of its text with it, and the open elements of a name, the scopes and the blocks
+    are found by their places, so the work for a tag does not grow with the depth of nesting.
+    """
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, bool, bool]] = []  # name, chrome, article
+        self.stack: list[tuple[str, _State, _State]] = []  # name, state inside, state of the line
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.blocks: list[int] = []
         self.lines: list[tuple[str, int]] = []
-        self.buffer: list[str] = []
+        self.buffer: list[tuple[str, bool]] = []  # text, page part
+        self.line: _State | None = None  # of the first text of the line that is kept
+
+    def now(self) -> tuple[_State, _State]:
+        return self.stack[-1][1:] if self.stack else (_State(), _State())
+
+    def text(self, text: str) -> None:
+        inside, line = self.now()
+        self.buffer.append((text, inside.chrome))
+        if not inside.chrome and self.line is None and text.strip():
+            self.line = line
 
     def flush(self) -> None:
-        line = " ".join("".join(self.buffer).split())
-        self.buffer.clear()
+        chrome = self.line is None
+        line = " ".join("".join(t for t, c in self.buffer if c == chrome).split())
         if line:
-            self.lines.append((line, self.kind()))
-
-    def kind(self) -> int:
-        _, chrome, article = self.stack[-1] if self.stack else ("", False, False)
-        if chrome:
-            return CHROME
-        prose = any(name in PROSE for name, _, _ in self.stack)
-        return (ARTICLE if prose else BARE) if article else OPEN
+            self.lines.append((line, CHROME if chrome else self.line.kind()))
+        self.buffer.clear()
+        self.line = None
+
+    def push(self, name: str, inside: _State) -> None:
+        at = len(self.stack)
+        # An inline element changes what of a line is kept, not what kind of line it is.
+        line = inside if name in BLOCKS else self.now()[1]
+        self.stack.append((name, inside, line))
+        self.places.setdefault(name, []).append(at)
+        if name in SCOPES:
+            self.scopes.append(at)
+        if name in BLOCKS:
+            self.blocks.append(at)
 
     def pop(self, size: int) -> None:
-        if any(name in BLOCKS for name, _, _ in self.stack[size:]):
+        if self.blocks and self.blocks[-1] >= size:
             self.flush()
-        del self.stack[size:]
+        while len(self.stack) > size:
+            self.places[self.stack.pop()[0]].pop()
+        for places in (self.scopes, self.blocks):
+            while places and places[-1] >= size:
+                places.pop()
 
-    def ends(self, names: set[str]) -> None:
+    def innermost(self, names: Iterable[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def ends(self, names: Iterable[str]) -> None:
         """Close the innermost of `names`, if it is open inside the innermost scope."""
-        for at in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[at][0]
-            if name in names:
-                return self.pop(at)
-            if name in SCOPES:
-                return None
+        at = self.innermost(names)
+        if at >= 0 and at >= (self.scopes[-1] if self.scopes else 0):
+            self.pop(at)
+
+    def end(self, name: str) -> None:
+        """An end tag; one of an inline element closes nothing outside its block."""
+        if name in BLOCKS:
+            self.flush()
+            at = self.innermost([name])
+            if at >= 0:
+                self.pop(at)
+        else:
+            self.ends([name])
 
     def begin(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
             self.flush()
-            self.ends({"p"})
+            self.ends(["p"])
         if name in CLOSES:
             self.ends(CLOSES[name])
-        _, chrome, article = self.stack[-1] if self.stack else ("", False, False)
+        outer = self.now()[0]
         found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
-        words = set(re.findall("[a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}"))
         own = name in ("article", "main") or found.get("role") in ("main", "article")
-        part = words & PARTS and not words & CONTENT - {"text", "body"}
+        part, suspect, header = _names(name, found, outer.article, own)
         chrome = (
-            chrome
+            outer.chrome
             or name in NEVER
-            or (name not in ("html", "body", "main") and bool(part))
-            or (not article and not own and (name == "header" or bool(words & HEADERS)))
+            or part
+            or (not outer.article and not own and (name == "header" or header))
             or found.get("role") in ROLES
             or "hidden" in found
             or found.get("aria-hidden") == "true"
             or "display:none" in found.get("style", "").replace(" ", "")
         )
-        self.stack.append((name, chrome, (article or own) and not chrome))
+        article = (outer.article or own) and not chrome
+        self.push(name, _State(chrome, article, outer.suspect or suspect, outer.prose or name in PROSE))
+
+
+def _names(name: str, found: dict[str, str], article: bool, own: bool) -> tuple[bool, bool, bool]:
+    """(page part, perhaps a page part, header) by the class and id of an element.
+
+    A name is a page part's if all its words say so. If only one of them does, that is enough for a container outside
+    the article; inside, and for paragraphs and the like, neighbours must confirm it. So must the id of a paragraph,
+    which may be no more than an anchor.
+    """
+    tokens = found.get("class", "").split() + ([] if name in PROSE else found.get("id", "").split())
+    words = [set(re.findall("[a-z]+", t)) for t in tokens]
+    sure = [bool(w & PARTS) and w <= PARTS | BESIDE for w in words]
+    every = set().union(*words) | set(re.findall("[a-z]+", found.get("id", "")))
+    rest = set().union(*(w for w, s in zip(words, sure, strict=True) if not s))
+    content = bool(rest & CONTENT - {"text", "body"})
+    header = bool(every & HEADERS)
+    if name in ("html", "body", "main"):
+        return False, False, header
+    if any(sure) and not (content and not article) and not (own and every & CONTENT):
+        return True, False, header
+    maybe = bool(every & PARTS) and not content
+    container = name in BLOCKS and name not in PROSE
+    if maybe and not article and container and not (own and every & CONTENT):
+        return True, False, header
+    return False, maybe and article and name in BLOCKS, header
 
 
 def page_lines(source: str) -> list[tuple[str, int]]:
@@ -133,26 +222,19 @@ def page_lines(source: str) -> list[tuple[str, int]]:
         at = token.end()
         name = (token["name"] or "").lower()
         if token["text"] is not None:
-            page.buffer.append(html.unescape(token["text"]))
+            page.text(html.unescape(token["text"]))
         elif token["data"] is not None:
-            page.buffer.append(token["data"])
+            page.text(token["data"])
         elif name and token["end"]:
-            if name in BLOCKS:
-                page.flush()
-            for depth in range(len(page.stack) - 1, -1, -1):
-                if page.stack[depth][0] == name:
-                    page.pop(depth)
-                    break
-                if name not in BLOCKS and page.stack[depth][0] in SCOPES:
-                    break  # an inline end tag closes nothing outside its block
+            page.end(name)
         elif name == "br":
-            page.buffer.append(" ")
+            page.text(" ")
         elif name == "hr":
             page.flush()
         elif name in RAW:
             close = re.compile(f"</{re.escape(name)}", re.I).search(source, at)
             at = close.start() if close else len(source)
-            page.stack.append((name, True, False))
+            page.push(name, _State(chrome=True))
         elif name and name not in VOID and not (token["attributes"] or "").endswith("/") or name in BLOCKS:
             page.begin(name, token["attributes"] or "")
     page.flush()
@@ -228,53 +310,58 @@ def main_text(texts: list[str], kinds: list[int], shared: list[list[int]], commo
 
     A line is known by its place among those outside page parts. Prose inside an article element stays
     unless it is among `common`, lines shared with a neighbour that most pages of the host have in articles.
-    Other lines there stay unless shared. Without an article element all lines outside page parts stay
-    unless shared.
+    Other lines there, and those under a name that may be a page part's, stay unless shared. Without an article
+    element all lines outside page parts stay unless shared.
     """
     lines = [(t, k) for t, k in zip(texts, kinds, strict=True) if k != CHROME]
-    inside = any(k in (ARTICLE, BARE) for _, k in lines)
-    gone = {ARTICLE: set(common), BARE if inside else OPEN: set().union(*shared)}
+    inside = any(k != OPEN for _, k in lines)
+    either = set().union(*shared)
+    gone = {ARTICLE: set(common), **dict.fromkeys((BARE, SUSPECT) if inside else (OPEN,), either)}
     return "\n".join(t for i, (t, k) in enumerate(lines) if k in gone and i not in gone[k])
 
 
 def _undecided(kinds: list[int]) -> bool:
     """Whether the text of a page depends on what its neighbours share with it."""
-    return BARE in kinds or (OPEN in kinds and ARTICLE not in kinds)
+    return BARE in kinds or SUSPECT in kinds or (OPEN in kinds and ARTICLE not in kinds)
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
-    """(rid, page_id, url, hh, undecided, hashes, prose, body, host, path) of every row.
+    """(rid, page_id, url, hh, undecided, hashes, kinds, prose, body, host, path) of every row.
 
-    hashes are those of the lines outside page parts, prose the different ones of prose in articles, body is
-    one hash of all lines outside page parts.
+    hashes and kinds are those of all lines, prose the different hashes of prose in articles, body is one hash of
+    all lines outside page parts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            undecided, hashes, prose, body = [], [], [], []
+            undecided, hashes, kinds, prose, body = [], [], [], [], []
             for source in batch.column("html").to_pylist():
                 lines = page_lines(source or "")
-                undecided.append(_undecided([k for _, k in lines]))
-                known = [(xxhash.xxh64_intdigest(t) - (1 << 63), k) for t, k in lines if k != CHROME]
-                each = [h for h, _ in known]
+                each = [xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in lines]
+                of = [k for _, k in lines]
+                undecided.append(_undecided(of))
                 hashes.append(each)
-                prose.append(sorted({h for h, k in known if k == ARTICLE}))
-                body.append(xxhash.xxh64_intdigest(repr(each)) - (1 << 63))
+                kinds.append(of)
+                prose.append(sorted({h for h, k in zip(each, of, strict=True) if k == ARTICLE}))
+                own = [h for h, k in zip(each, of, strict=True) if k != CHROME]
+                body.append(xxhash.xxh64_intdigest(repr(own)) - (1 << 63))
             new = [
                 pa.array(undecided, pa.bool_()),
                 pa.array(hashes, pa.list_(pa.int64())),
+                pa.array(kinds, pa.list_(pa.int8())),
                 pa.array(prose, pa.list_(pa.int64())),
                 pa.array(body, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("hh"), *new],
-                names=["page_id", "url", "hh", "undecided", "hashes", "prose", "body"],
+                names=["page_id", "url", "hh", "undecided", "hashes", "kinds", "prose", "body"],
             )
 
     site = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
     return rows.mapInArrow(
         run,
-        "page_id long, url string, hh long, undecided boolean, hashes array<long>, prose array<long>, body long",
+        "page_id long, url string, hh long, undecided boolean, hashes array<long>, kinds array<byte>, "
+        "prose array<long>, body long",
     ).select(
         F.monotonically_increasing_id().alias("rid"),
         "*",
@@ -299,8 +386,9 @@ def _common(places: DataFrame, aligned: DataFrame, hashed: DataFrame) -> DataFra
     """
     repeated = _repeated(hashed).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     either = aligned.select("rid", F.array_distinct(F.flatten("shared")).alias("either"))
+    own = F.filter(F.arrays_zip("hashes", "kinds"), lambda line: line["kinds"] != CHROME)
     found = (
-        either.join(hashed.filter(F.size("prose") > 0).select("rid", "hashes", "prose"), "rid")
+        either.join(hashed.filter(F.size("prose") > 0).select("rid", own["hashes"].alias("hashes"), "prose"), "rid")
         .join(places.select("rid", "host"), "rid")
         .withColumn("place", F.explode("either"))
         .withColumn("line", F.expr("hashes[place]"))
@@ -313,10 +401,10 @@ def _common(places: DataFrame, aligned: DataFrame, hashed: DataFrame) -> DataFra
 
 
 def _shared(hashed: DataFrame) -> DataFrame:
-    """(host, path, body, shared, common): places of the lines that neighbours in the order of host and path have.
+    """(host, path, body, shared, parts, common): places of the lines that neighbours in the order of host and path have.
 
-    shared is an array for each neighbour, common is null or has those shared that are boilerplate even in an
-    article. Copies under one path are one page there. A neighbour under another path that is a copy tells
+    shared is an array for each neighbour, of places outside page parts; parts has the places within them, counted
+    apart. common is null or has those shared that are boilerplate even in an article. Copies under one path are one page there. A neighbour under another path that is a copy tells
     nothing.
     """
     least = F.min(F.struct(*KEY, "rid"))
@@ -331,32 +419,47 @@ def _shared(hashed: DataFrame) -> DataFrame:
         (F.col("at") - 1).alias("at_b"),
     )
     pairs = places.join(after, (F.col("at") == F.col("at_b")) & (F.col("host") == F.col("host_b")))
-    lines = hashed.select("rid", "hashes")
+    lines = hashed.select("rid", "hashes", "kinds")
     given = (
         pairs.filter("body <> body_b")
         .select("rid", "rid_b")
         .join(lines, "rid")
-        .join(lines.select(F.col("rid").alias("rid_b"), F.col("hashes").alias("hashes_b")), "rid_b")
+        .join(lines.toDF("rid_b", "hashes_b", "kinds_b"), "rid_b")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, found = [], []
-            columns = (batch.column(c).to_pylist() for c in ("rid", "rid_b", "hashes", "hashes_b"))
-            for rid, rid_b, a, b in zip(*columns, strict=True):
-                rids += [rid, rid_b]
-                found += common_lines(a, b)
-            arrays = [pa.array(rids, pa.int64()), pa.array(found, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["rid", "shared"])
-
-    aligned = given.mapInArrow(run, "rid long, shared array<int>")
-    aligned = stored(aligned.groupBy("rid").agg(F.collect_list("shared").alias("shared")), "page-aligned")
+            rids, own, parts = [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("rid", "rid_b", "hashes", "hashes_b", "kinds", "kinds_b"))
+            for rid, rid_b, a, b, kinds, kinds_b in zip(*columns, strict=True):
+                for r, places, k in zip((rid, rid_b), common_lines(a, b), (kinds, kinds_b), strict=True):
+                    rids.append(r)
+                    for found, wanted in ((own, False), (parts, True)):
+                        found.append(_places_among(places, [x == CHROME for x in k], wanted))
+            numbers = pa.list_(pa.int32())
+            arrays = [pa.array(rids, pa.int64()), pa.array(own, numbers), pa.array(parts, numbers)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["rid", "shared", "parts"])
+
+    aligned = given.mapInArrow(run, "rid long, shared array<int>, parts array<int>")
+    aligned = aligned.groupBy("rid").agg(  # two neighbours at most
+        F.collect_list("shared").alias("shared"),
+        F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"),
+    )
+    aligned = stored(aligned, "page-aligned")
     common = _common(places, aligned, hashed)
     return (
-        places.join(aligned, "rid").join(common, "rid", "left").select("host", "path", "body", "shared", "common")
+        places.join(aligned, "rid")
+        .join(common, "rid", "left")
+        .select("host", "path", "body", "shared", "parts", "common")
     )
 
 
+def _places_among(places: list[int], chrome: list[bool], wanted: bool) -> list[int]:
+    """Places of lines among those that are (not) page parts, from places among all lines."""
+    number = list(accumulate((c == wanted for c in chrome), initial=0))
+    return [number[i] for i in places if chrome[i] == wanted]
+
+
 def _texts(rows: DataFrame) -> DataFrame:
     """(page_id, url, text) from (page_id, url, html, shared, common)."""
 
@@ -389,15 +492,12 @@ def extract(pages: DataFrame) -> DataFrame:
     and more than half of the host's different pages, three at least, have it in theirs. No rows give no rows.
 
     Pages are aligned by the hashes of their lines. Only pages whose markup leaves lines undecided or whose
-    articles have such prose meet the result again; the html of the others is never shuffled.
+    articles have such prose meet the result again; the html of the others is never shuffled. On a page that no
+    neighbour can be compared with, comments and notices without a telling name or element stay.
     """
-    rows = pages.select(
-        F.col("page_id").cast("long"), F.col("url").cast("string"), "html", F.xxhash64("html").alias("hh")
-    )
-    hashed = stored(_hashed(rows), "page-lines")
-    asked = hashed.select(*KEY, "host", "path", "body", "undecided").dropDuplicates(KEY)
-    shared = asked.join(_shared(hashed), ["host", "path", "body"], "left")
-    shared = shared.filter("undecided OR common IS NOT NULL").select(*KEY, "shared", "common")
+    rows = _rows(pages)
+    found = _compared(stored(_hashed(rows), "page-lines"))
+    shared = found.filter("undecided OR common IS NOT NULL").select(*KEY, "shared", "common")
     shared = stored(shared, "page-shared")
     maybe, rest = split_by(rows, shared, *KEY)
     _, on = meets(shared, *KEY)
@@ -408,3 +508,44 @@ def extract(pages: DataFrame) -> DataFrame:
     ]
     undecided = maybe.join(other, on, "left")
     return _texts(undecided).unionByName(_texts(rest.select("*", *none)))
+
+
+def _rows(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        F.col("page_id").cast("long"), F.col("url").cast("string"), "html", F.xxhash64("html").alias("hh")
+    )
+
+
+def _compared(hashed: DataFrame) -> DataFrame:
+    """Every page once, with what its neighbours share with it (null without neighbours)."""
+    asked = hashed.select(*KEY, "host", "path", "body", "undecided", "kinds").dropDuplicates(KEY)
+    return asked.join(_shared(hashed), ["host", "path", "body"], "left")
+
+
+def removed_lines(pages: DataFrame) -> DataFrame:
+    """(page_id, url, lines, by_neighbours, by_markup) of every different page: who removes how many lines.
+
+    A line that a neighbour shares counts as removed by the neighbours, also if the markup would have removed it.
+    """
+    found = _compared(stored(_hashed(_rows(pages)), "page-lines"))
+    own = F.filter("kinds", lambda k: k != CHROME)
+    chrome = F.size("kinds") - F.size("own")
+    inside = F.exists("own", lambda k: k != OPEN)
+    none = F.array().cast("array<int>")
+    either = F.coalesce(F.array_distinct(F.flatten("shared")), none)
+    parts = F.size(F.coalesce("parts", none))
+    common = F.size(F.filter(F.coalesce("common", none), lambda i: F.col("own")[i] == ARTICLE))
+    others = F.size(F.filter("either", lambda i: F.col("own")[i] != ARTICLE))
+    open_lines = F.size(F.filter("own", lambda k: k == OPEN))
+    open_shared = F.size(F.filter("either", lambda i: F.col("own")[i] == OPEN))
+    return (
+        found.withColumn("own", own)
+        .withColumn("either", either)
+        .select(
+            "page_id",
+            "url",
+            F.size("kinds").alias("lines"),
+            (parts + common + others).alias("by_neighbours"),
+            (chrome - parts + F.when(inside, open_lines - open_shared).otherwise(0)).alias("by_markup"),
+        )
+    )

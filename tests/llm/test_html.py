@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -53,6 +54,51 @@ def test_odd_markup():
     assert len(texts(html.page_lines("<p>x y</p>" * 20_000))) == 20_000
 
 
+def in_article(body):
+    return texts(html.page_lines(f"<main><p>first</p>{body}</main>"))[1:]
+
+
+def test_page_parts_inside_a_line():
+    line = "<p>Buy <button>Click me</button> now <span style='display:none'>hidden</span></p>"
+    assert in_article(line) == ["Buy now"]
+    assert in_article("<p>a <span class='advert'>AD TEXT</span>b</p>") == ["a b"]
+    assert in_article("<p>a<select><option>x<option>y</select> b <label>c</label></p>") == ["a b"]
+    assert in_article("<p><a class='share-button'>Share</a></p>") == []
+    assert in_article("<p>x <a class='button'>y</a> <i>z</i></p>") == ["x y z"]
+
+
+def test_names_that_are_no_proof():
+    for kept in (
+        "<p class='notice-period'>a</p>",
+        "<section class='related-work'><p>a</p></section>",
+        "<p id='search'>a</p>",
+        "<ul class='menu-items'><li>a</ul>",
+        "<h2 id='comments'>a</h2>",
+    ):
+        assert in_article(kept) == ["a"]
+    for gone in (
+        "<div class='reader-reviews'><p>Great post!</p></div>",
+        "<div class='post-comments'><p>a</p></div>",
+        "<div id='cookie-notice'>a</div>",
+        "<p class='notice'>a</p>",
+        "<section id=comments><p>a</p></section>",
+    ):
+        assert in_article(gone) == []
+    layout = "<body><div class='content sidebar-right'><article class='post sidebar-left'><p>a</p></article></div>"
+    assert texts(html.page_lines(layout)) == ["a"]
+
+
+@pytest.mark.parametrize(
+    "source",
+    ["<div>x" * 16_000, "<b>x" * 16_000 + "</i>" * 16_000, "<div>" * 16_000 + "x</section>" * 16_000,
+     "<i><div>" + "<b>" * 16_000 + "</i>x" * 16_000, "<ul><li>x" * 16_000, "<p><span>x" * 16_000],
+)
+def test_deep_nesting_takes_linear_time(source):
+    start = time.process_time()
+    html.page_lines(source)
+    assert time.process_time() - start < 1.5
+
+
 def page(body, article=True):
     body = f"<article>{body}</article>" if article else body
     return f"<html><body><nav>menu</nav>{body}<footer>foot</footer></body></html>"
@@ -124,3 +170,19 @@ def test_boilerplate_inside_articles(spark):
         **{i: f"story {i}{shared if 3 < i < 6 else ''}" for i in range(12)},
         **{20 + i: "copied" for i in range(6)}, **{30 + i: f"own {i}" for i in range(3)},
     }
+
+
+def test_names_inside_articles_need_a_neighbour(spark):
+    """A name that may be a page part's decides nothing alone, but lets a neighbour decide."""
+    offer = "<section class='related-work'><p>Read our guides</p></section>"
+    rows = [(i, f"https://a.org/{i}", page(f"<p>story {i}</p>{offer}"), "t", 1) for i in range(2)]
+    rows += [(9, "https://b.org/", page(f"<p>story 9</p>{offer}"), "t", 1)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: "story 0", 1: "story 1", 9: "story 9\nRead our guides"}
+
+
+def test_who_removes_lines(spark):
+    rows = [(i, f"https://a.org/{i}", page(f"<p>story {i}</p><div>Follow us</div>"), "t", 1) for i in range(3)]
+    rows += [(8, "https://b.org/1", page("<p>alone</p>") + "<p>below</p>", "t", 1), (9, None, None, "t", 1)]
+    got = {r.page_id: (r.lines, r.by_neighbours, r.by_markup) for r in html.removed_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {**dict.fromkeys(range(3), (4, 3, 0)), 8: (4, 0, 3), 9: (0, 0, 0)}
