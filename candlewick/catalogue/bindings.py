@@ -135,9 +135,9 @@ def _bars(trades: DataFrame) -> DataFrame:
     )
 
 
-def sound(bars: DataFrame) -> DataFrame:
-    """Bars without trades at price 0, which the contract rejects."""
-    return bars.filter("low > 0")
+def whole_prices(bars: DataFrame) -> DataFrame:
+    """Bars with prices cut to whole units; a trade below 1 makes a low of 0, which the contract rejects."""
+    return bars.withColumns({name: F.floor(F.col(name)).cast("double") for name in ("open", "high", "low", "close")})
 
 
 def candles(bars: DataFrame) -> DataFrame:

@@ -26,7 +26,9 @@ def _event_bars(symbol: str) -> str:
 
 EVENT_BARS = _event_bars("event_type")
 USER_BARS = _event_bars("user_id")
-SOUND_USER_BARS = f"SELECT * FROM ({USER_BARS}) WHERE low > 0"
+WHOLE_USER_BARS = f"""
+SELECT * REPLACE (floor(open) AS open, floor(high) AS high, floor(low) AS low, floor(close) AS close)
+FROM ({USER_BARS})"""
 SUPPLIER_BARS = _bars(
     "l_suppkey",
     "l_shipdate",
@@ -574,8 +576,8 @@ ORACLES: dict[str, str] = {
     ),
     "ingest_all_symbols": _with(
         f"""SELECT symbol, count(*) AS rows FROM bars
-WHERE open_time_ms + {DAY_MS} - 1 <= 1705708800000 AND low > 0 GROUP BY symbol""",
-        bars=EVENT_BARS,
+WHERE open_time_ms + {DAY_MS} - 1 <= 978307200000 GROUP BY symbol""",
+        bars=SUPPLIER_BARS,
     ),
     "ingest_all_markets": _with(
         """SELECT coin_id || '@' || strftime(snapshot_date, '%Y-%m') AS coin_id, current_price, market_cap,
@@ -712,6 +714,11 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
         bars=USER_BARS,
         batches=BATCHES,
     ),
+    "contract_klines_zero_prices": _with(
+        _violations("klines", "candles", KLINE_RULES, "symbol, open_time_ms"),
+        bars=WHOLE_USER_BARS,
+        candles=f"SELECT {KLINE_COLUMNS} FROM bars",
+    ),
     "contract_rejects": _with(
         """SELECT c_custkey, coin_id, array_to_string(failed, '|') AS failed,
   failed[1] AS first_failed FROM rejected WHERE len(failed) > 0""",
@@ -855,10 +862,10 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
     "contract_probes": _with(
         "SELECT *, CASE WHEN detail = 'validated' THEN '' ELSE detail END AS broken FROM probes",
         markets=MARKETS,
-        bars=SOUND_USER_BARS,
+        bars=SUPPLIER_BARS,
         probes=PROBES,
     ),
-    "probe_summary": _with(SUMMARY, markets=MARKETS, bars=SOUND_USER_BARS, probes=PROBES),
+    "probe_summary": _with(SUMMARY, markets=MARKETS, bars=SUPPLIER_BARS, probes=PROBES),
     "warehouse_freshness": _with(
         """SELECT count(DISTINCT symbol) AS symbols, max(trade_date) AS max_day,
   min(trade_date) AS min_day FROM bars""",
@@ -874,7 +881,7 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
   (SELECT min(trade_date) FROM event_bars) AS min_day,
   CAST(CASE WHEN failed > 0 THEN 1 ELSE 0 END AS BIGINT) AS caveats
 FROM summary""",
-        bars=SOUND_USER_BARS,
+        bars=SUPPLIER_BARS,
         event_bars=EVENT_BARS,
         probes=PROBES,
         summary=SUMMARY,

@@ -55,6 +55,7 @@ QUERIES: dict[str, Query] = {}
 PAGE_SYMBOL = "click"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 AS_OF_MS = 1_705_708_800_000  # 2024-01-20 00:00 UTC
+SHIPPED_AS_OF_MS = 978_307_200_000  # 2001-01-01 00:00 UTC, within the ship days
 INGESTED = dt.date(2024, 2, 1)
 FRESH_FROM = dt.date(2024, 1, 15)
 PREVIOUS_UNTIL = dt.date(2024, 1, 20)
@@ -138,8 +139,8 @@ def closed_candle_filter(spark, sf_dir):
 
 @query("ingest_all_symbols")
 def ingest_all_symbols(spark, sf_dir):
-    landed = b.candle_payloads(b.sound(b.event_bars(spark, sf_dir)))
-    return ingest_klines(landed, fresh_path(spark, "raw"), AS_OF_MS, INGESTED)
+    landed = b.candle_payloads(b.supplier_bars(spark, sf_dir))
+    return ingest_klines(landed, fresh_path(spark, "raw"), SHIPPED_AS_OF_MS, INGESTED)
 
 
 @query("ingest_all_markets")
@@ -458,6 +459,11 @@ def contract_klines_batches(spark, sf_dir):
     return contracts.violations(batches, contracts.KLINES, batch=["ingested_date"])
 
 
+@query("contract_klines_zero_prices")
+def contract_klines_zero_prices(spark, sf_dir):
+    return contracts.violations(b.candles(b.whole_prices(b.user_bars(spark, sf_dir))), contracts.KLINES)
+
+
 @query("contract_rejects")
 def contract_rejects(spark, sf_dir):
     broken = contracts.rejects(b.customer_markets(spark, sf_dir), contracts.MARKETS)
@@ -543,7 +549,7 @@ def test_unique(spark, sf_dir):
 def _probes(spark, sf_dir) -> DataFrame:
     # Five probes read each input, so both are written once.
     markets = stored(b.market_snapshots(spark, sf_dir), "markets")
-    klines = stored(b.candles(b.sound(b.user_bars(spark, sf_dir))), "klines")
+    klines = stored(b.candles(b.supplier_bars(spark, sf_dir)), "klines")
     return scorecard.contract_probes(markets, klines, markets_batch=["ingested_date"])
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,13 +121,8 @@ def violations(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) ->
         )
     if set(contract.unique) <= set(df.columns):
         key = ",".join(contract.unique)
-        parts.append(
-            df.groupBy(*batch, *contract.unique)
-            .agg(F.count("*").alias("n"))
-            .filter(F.col("n") > 1)
-            .selectExpr("coalesce(sum(n), 0) AS n")
-            .selectExpr(f"inline(array({_entry('unique', key, 'n')}))")
-        )
+        entry = f"inline(array({_entry('unique', key, 'n')}))"
+        parts.append(_repeated_rows(df, [*batch, *contract.unique]).selectExpr(entry))
     found = reduce(DataFrame.unionByName, parts)
     return found.select(F.lit(contract.dataset).alias("dataset"), "rule", "column", "n")
 
@@ -182,6 +177,36 @@ def require(df: DataFrame, contract: Contract, batch: Sequence[str] = ()) -> Dat
     return df.selectExpr(*typed, *batch)
 
 
+def stage_checked(df: DataFrame, contract: Contract, label: str, batch: Sequence[str] = ()) -> DataFrame:
+    """Write the frame once and return what was written, or raise for the whole batch.
+
+    The row rules are counted while the rows are written, so whatever makes the frame runs once; only the key
+    columns of what was written are read again. Nothing but the stage is written before the verdict. Columns and
+    types that break the contract raise before any job.
+    """
+    structure = _structure(df, contract, batch)
+    if structure:
+        raise ContractError(f"{contract.dataset}: " + "; ".join(f"{name}({column}): 1" for name, column in structure))
+    rules = _row_rules(df, contract)
+    counted = Observation()
+    watched = df.observe(counted, *[F.expr(f"count_if({r.broken})").alias(f"n{i}") for i, r in enumerate(rules)])
+    typed = [f"{_typed(df, field)} AS `{field.name}`" for field in contract.fields]
+    table = stored(watched.selectExpr(*typed, *batch), label)
+    found = [(r.name, r.column, counted.get[f"n{i}"]) for i, r in enumerate(rules)]
+    repeated = _repeated_rows(table, [*batch, *contract.unique]).first().n
+    found.append(("unique", ",".join(contract.unique), repeated))
+    broken = [f"{name}({column}): {n}" for name, column, n in found if n]
+    if broken:
+        raise ContractError(f"{contract.dataset}: " + "; ".join(broken))
+    return table
+
+
+def _repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(n): how many rows share their key with another row."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    return counts.selectExpr("coalesce(sum(n), 0) AS n")
+
+
 def _entry(rule: str, column: str, n: str) -> str:
     return f"struct('{rule}' AS rule, '{column}' AS column, CAST({n} AS BIGINT) AS n)"
 

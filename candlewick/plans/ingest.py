@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.operators.contracts import KLINES, MARKETS, Contract, require
+from candlewick.operators.contracts import KLINES, MARKETS, Contract, stage_checked
 from candlewick.sources.payloads import closed_candles, parse_klines, parse_markets
 from candlewick.sources.raw import write_raw
-from candlewick.sources.storage import stored
 
 KLINES_DATASET = "klines"
 MARKETS_DATASET = "markets"
@@ -37,11 +36,11 @@ def ingest_klines(
 ) -> DataFrame:
     """Parse, drop open candles, check and land all symbols at once; (symbol, rows) landed.
 
-    The contract gates the whole batch: nothing is written if any rule breaks. Parsed rows are
-    stored first, so the gate and the write do not both parse the JSON.
+    The contract gates the whole batch: nothing lands if any rule breaks. The payloads are parsed once, into
+    a stage that counts broken rules as it is written; what lands is read from there.
     """
-    candles = stored(closed_candles(parse_klines(payloads, interval), as_of_ms), "klines")
-    checked = require(candles, KLINES)
+    candles = closed_candles(parse_klines(payloads, interval), as_of_ms)
+    checked = stage_checked(candles, KLINES, "klines")
     write_raw(checked, root, KLINES_DATASET, ingested_date, unit="symbol")
     return checked.groupBy("symbol").agg(F.count("*").alias("rows"))
 
@@ -54,7 +53,6 @@ def ingest_markets(
     vs_currency: str = "usd",
 ) -> DataFrame:
     """The same for one market snapshot; one (rows) row."""
-    coins = stored(parse_markets(payloads, snapshot_date, vs_currency), "markets")
-    checked = require(coins, MARKETS, batch=())
+    checked = stage_checked(parse_markets(payloads, snapshot_date, vs_currency), MARKETS, "markets")
     write_raw(checked, root, MARKETS_DATASET, ingested_date)
     return checked.agg(F.count("*").alias("rows"))

@@ -3,14 +3,18 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.operators import checks
 from candlewick.operators.contracts import (
     KLINES,
     MARKETS,
+    Contract,
     ContractError,
+    Field,
     rejects,
     require,
+    stage_checked,
     violations,
 )
 from candlewick.sources.payloads import parse_klines, parse_markets
@@ -145,3 +149,40 @@ def test_data_tests(spark):
     results = checks.column_tests(df, "m", ["key", "value"], ["value"]).collect()
     assert [row.failures for row in results] == [0, 1, 2]
     assert checks.result_of("m", "unique", "key", checks.unique(df, ["key"])).first().failures == 1
+
+
+def test_staged_batch_is_judged_like_the_frame(spark):
+    rows = [("a", "x", None, -1.0), ("a", "y", "n", 2.0), ("b", "z", "n", float("nan"))]
+    frame = spark.createDataFrame(rows, "coin_id string, symbol string, name string, price double")
+    contract = Contract(
+        "coins",
+        (
+            Field("coin_id", T.StringType()),
+            Field("symbol", T.StringType()),
+            Field("name", T.StringType()),
+            Field("price", T.DoubleType(), above=0),
+        ),
+        unique=("coin_id",),
+    )
+    found = "; ".join(f"{r.rule}({r.column}): {r.n}" for r in violations(frame, contract).collect() if r.n)
+    with pytest.raises(ContractError) as error:
+        stage_checked(frame, contract, "coins")
+    assert str(error.value) == f"coins: {found}"
+    good = frame.filter("symbol = 'y'")
+    assert stage_checked(good, contract, "coins").collect() == good.collect()
+    assert stage_checked(good.limit(0), contract, "coins").count() == 0
+    with pytest.raises(ContractError, match="missing_column"):
+        stage_checked(frame.drop("price"), contract, "coins")
+
+
+def test_staging_runs_its_input_once(spark):
+    ran = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        ran.add(1)
+        return x
+
+    contract = Contract("numbers", (Field("id", T.LongType(), above=-1),), unique=("id",))
+    assert stage_checked(spark.range(50).select(counted("id").alias("id")), contract, "numbers").count() == 50
+    assert ran.value == 50

@@ -89,3 +89,16 @@ def test_ingest_markets(spark, tmp_path, market_payload):
     assert landed.first()["rows"] == 2
     markets = load_raw(spark, str(tmp_path), RAW_SCHEMAS)["markets"]
     assert {row.snapshot_date for row in markets.collect()} == {dt.datetime(2025, 7, 21)}
+
+
+def test_a_price_of_zero_lands_nothing(spark, tmp_path, candle_payload):
+    bad = [list(candle) for candle in candle_payload]
+    bad[0][3] = "0.0"
+    with pytest.raises(ContractError, match=r"greater_than\(low\): 1$"):
+        ingest_klines(payloads(spark, ("A", candle_payload), ("B", bad)), str(tmp_path), 2_000_000_000_000, DAY)
+    assert files(tmp_path) == []
+
+
+def test_no_candles_land_no_partition(spark, tmp_path):
+    landed = ingest_klines(payloads(spark, ("A", [])), str(tmp_path), 2_000_000_000_000, DAY)
+    assert landed.collect() == [] and files(tmp_path) == []
