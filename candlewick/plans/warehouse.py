@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from candlewick.operators.checks import all_results, column_tests, result_of, unique
 from candlewick.plans.ingest import KLINES_DATASET, MARKETS_DATASET
 from candlewick.plans.models import market_overview, mart_daily_ohlcv, stg_klines, stg_markets
-from candlewick.sources.snapshot import publish
+from candlewick.sources.snapshot import publish, read_mart
 
 
 @dataclass(frozen=True)
@@ -50,9 +50,9 @@ def build_warehouse(
         marts["mart_market_overview"] = market_overview(staged["stg_markets"])
     relations = dict(staged)
     if marts:
-        for row in publish(marts, path).collect():
-            mart = marts[row.mart]
-            relations[row.mart] = mart.sparkSession.read.schema(mart.schema).parquet(row.path)
+        publish(marts, path)
+        spark = next(iter(marts.values())).sparkSession
+        relations |= {mart: read_mart(spark, path, mart) for mart in marts}
     for name, relation in relations.items():
         relation.createOrReplaceTempView(name)
     return relations

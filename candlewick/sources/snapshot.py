@@ -1,4 +1,9 @@
-"""Versioned snapshots of the marts with accumulated history."""
+"""Versioned snapshots of the marts with accumulated history.
+
+A version lists, for each mart, its data files with the least and greatest value of every key column. Files never
+change. They hold ranges of one slice (a month of days, say), so a fresh batch meets few of them: an export
+rewrites these and carries the names of all others over, and a reader of one symbol opens only files that may hold it.
+"""
 
 from __future__ import annotations
 
@@ -7,81 +12,186 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators.keyed import merge_fresh_wins
-from candlewick.sources.storage import stored
+from candlewick.sources.storage import fresh_path
 
 # Natural key of each mart (fixed values).
 MART_KEYS = {
     "mart_daily_ohlcv": ("symbol", "trade_date"),
     "mart_market_overview": ("snapshot_date",),
 }
-MANIFEST = "version bigint, mart string, path string, rows bigint"
+#: What a file may hold of a mart: rows of one value of the expression. Marts without one have one slice.
+MART_SLICES = {
+    "mart_daily_ohlcv": "trunc(trade_date, 'MM')",
+    "mart_market_overview": "trunc(snapshot_date, 'YEAR')",
+}
+MANIFEST = "version bigint, mart string, files string, rows bigint"
+#: Rows of a file; bounds what an export rewrites for one fresh row.
+FILE_ROWS = 1 << 20
+SLICE = "_slice"
 
 
 def export_snapshot(
     marts: Mapping[str, DataFrame],
     root: str,
     keys: Mapping[str, Sequence[str]] = MART_KEYS,
+    slices: Mapping[str, str] = MART_SLICES,
+    file_rows: int = FILE_ROWS,
 ) -> DataFrame:
     """Merge each mart with the current snapshot and publish the result as a new version.
 
-    Marts that are not exported stay as they are in the new version. Returns (mart, rows).
+    Only files of the current version whose key ranges meet those of the fresh rows are read and replaced; all
+    others belong to the new version as they are. Marts that are not exported stay too. Returns (mart, rows).
     """
     spark = next(iter(marts.values())).sparkSession
-    previous = {row.mart: row.path for row in _current(spark, root)}
-    merged = dict(marts)
+    current = {row.mart: row for row in _current(spark, root)}
+    lists = {}
     for mart, fresh in marts.items():
-        if mart in previous:
-            fresh = stored(fresh, "fresh")  # read for its rows and for its keys
-            old = spark.read.schema(fresh.schema).parquet(previous[mart])
-            merged[mart] = merge_fresh_wins(fresh, old, keys[mart])
-    return publish(merged, root, keys, carry=True).select("mart", "rows")
+        natural, part = keys[mart], slices.get(mart)
+        if mart not in current:
+            lists[mart] = _written(fresh, f"{root}/marts/{mart}", natural, part, file_rows)
+            continue
+        # Laid out like the mart, so that each of its files has a narrow range of its own.
+        staged = fresh_path(spark, "fresh")
+        boxes = _written(fresh, staged, natural, part, file_rows)
+        old = spark.read.parquet(current[mart].files)
+        touched = [row.path for row in _meeting(old, boxes, natural).collect()]
+        paths = [row.path for row in boxes.select("path").collect()]
+        rows = _read(spark, paths, fresh)
+        if touched:
+            rows = merge_fresh_wins(rows, _read(spark, touched, fresh), natural)
+        new = _written(rows, f"{root}/marts/{mart}", natural, part, file_rows)
+        lists[mart] = old.filter(~F.col("path").isin(touched)).unionByName(new)
+    return _commit(spark, root, lists, current).select("mart", "rows")
 
 
 def publish(
     marts: Mapping[str, DataFrame],
     root: str,
     keys: Mapping[str, Sequence[str]] = MART_KEYS,
+    slices: Mapping[str, str] = MART_SLICES,
     *,
     carry: bool = False,
+    file_rows: int = FILE_ROWS,
 ) -> DataFrame:
     """Write the marts as a new version; returns its manifest rows for them.
 
     Files of older versions are only read. Readers follow the manifest, whose commit is the last step,
-    so they see the old version or the whole new one. Rows are sorted by key within files, which lets
-    a reader of one symbol skip row groups. With `carry`, other marts of the last version stay.
+    so they see the old version or the whole new one. With `carry`, other marts of the last version stay.
     """
     spark = next(iter(marts.values())).sparkSession
-    current = _current(spark, root)
-    version = max((row.version for row in current), default=0) + 1
-    kept = [row for row in current if carry and row.mart not in marts]
-    carried = [(version, row.mart, row.path, row.rows) for row in kept]
-    entries = [spark.createDataFrame(carried, MANIFEST)] if carried else []
-    for mart, df in marts.items():
-        path = f"{root}/marts/{mart}/{uuid.uuid4().hex}"
-        df.sortWithinPartitions(*keys[mart]).write.parquet(path)
-        written = spark.read.schema(df.schema).parquet(path)
-        entries.append(
-            written.agg(F.count("*").alias("rows")).select(
-                F.lit(version).cast("bigint").alias("version"),
-                F.lit(mart).alias("mart"),
-                F.lit(path).alias("path"),
-                "rows",
-            )
-        )
-    manifest = reduce(DataFrame.unionByName, entries).coalesce(1)
-    # One folder a version: of two exports at once, one finds its folder taken and fails.
-    manifest.write.mode("error").json(f"{root}/manifest/{version:09d}")
-    published = spark.read.schema(MANIFEST).json(f"{root}/manifest/{version:09d}")
-    return published.filter(F.col("mart").isin(list(marts)))
+    current = {row.mart: row for row in _current(spark, root)}
+    lists = {
+        mart: _written(df, f"{root}/marts/{mart}", keys[mart], slices.get(mart), file_rows) for mart, df in marts.items()
+    }
+    return _commit(spark, root, lists, current, carry)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The marts of the newest published version."""
-    return {row.mart: spark.read.parquet(row.path) for row in _current(spark, root)}
+    return {row.mart: _opened(spark, row, None) for row in _current(spark, root)}
+
+
+def read_mart(spark: SparkSession, root: str, mart: str, **equal: object) -> DataFrame:
+    """One mart of the newest version; with `column=value` of its key, only those rows, from files that may hold them."""
+    for row in _current(spark, root):
+        if row.mart == mart:
+            where = [F.lit(value).between(F.col(f"low_{name}"), F.col(f"high_{name}")) for name, value in equal.items()]
+            found = _opened(spark, row, where)
+            return reduce(lambda df, item: df.filter(F.col(item[0]) == F.lit(item[1])), equal.items(), found)
+    raise KeyError(mart)
+
+
+def files_of(spark: SparkSession, root: str, mart: str) -> DataFrame:
+    """(path, rows, low and high of each key column) of every file of a mart in the newest version."""
+    return spark.read.parquet(next(row.files for row in _current(spark, root) if row.mart == mart))
+
+
+def _opened(spark: SparkSession, row, where: Sequence[Column] | None) -> DataFrame:
+    files = spark.read.parquet(row.files)
+    chosen = reduce(DataFrame.filter, where or [], files)
+    paths = [r.path for r in chosen.select("path").collect()]
+    if not paths:  # no file may hold such rows: any one tells the columns
+        return spark.read.parquet(files.first().path).limit(0)
+    return spark.read.parquet(*paths)
+
+
+def _read(spark: SparkSession, paths: Sequence[str], like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(*paths)
+
+
+def _written(df: DataFrame, folder: str, keys: Sequence[str], part: str | None, file_rows: int) -> DataFrame:
+    """Write rows in files of one slice each, sorted by key; returns the list of files with their ranges.
+
+    Without rows there is one empty file, which tells the columns.
+    """
+    spark, path = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
+    order = [SLICE, *keys]
+    (
+        df.withColumn(SLICE, F.expr(part or "'all'").cast("string"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.option("maxRecordsPerFile", file_rows)
+        .partitionBy(SLICE)
+        .parquet(f"{path}/data")
+    )
+    ranges = [
+        pick(name).alias(f"{side}_{name}") for name in keys for side, pick in (("low", F.min), ("high", F.max))
+    ]
+    schema = df.select("*", F.lit("").alias(SLICE)).schema
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lists = (
+        spark.read.schema(schema)
+        .parquet(f"{path}/data")
+        .groupBy(file.alias("path"), SLICE)
+        .agg(F.count("*").alias("rows"), *ranges)
+    )
+    lists.coalesce(1).write.parquet(f"{path}/files")
+    listed = spark.read.schema(lists.schema).parquet(f"{path}/files")
+    if listed.isEmpty():
+        df.limit(0).coalesce(1).write.parquet(f"{path}/empty")
+        names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/empty")
+        nothing = names.select(F.col("path"), F.lit("").alias(SLICE), F.lit(0).cast("long").alias("rows"))
+        bounds = [F.lit(None).cast(lists.schema[f.name].dataType).alias(f.name) for f in lists.schema[3:]]
+        nothing.select("*", *bounds).write.mode("append").parquet(f"{path}/files")
+        listed = spark.read.schema(lists.schema).parquet(f"{path}/files")
+    return listed
+
+
+def _meeting(old: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(path) of old files whose range of every key column meets that of a fresh file of the same slice.
+
+    Rows with a NULL in their key are never replaced, so ranges without them suffice.
+    """
+    other = fresh.select(
+        F.col(SLICE).alias("_of"), *[F.col(f"{s}_{k}").alias(f"_{s}_{k}") for k in keys for s in ("low", "high")]
+    )
+    on = F.col(SLICE).eqNullSafe(F.col("_of"))
+    for key in keys:
+        on = on & (F.col(f"low_{key}") <= F.col(f"_high_{key}")) & (F.col(f"high_{key}") >= F.col(f"_low_{key}"))
+    return old.join(other, on, "left_semi").select("path")
+
+
+def _commit(
+    spark: SparkSession, root: str, lists: Mapping[str, DataFrame], current: Mapping, carry: bool = True
+) -> DataFrame:
+    """Write the lists of files, then the manifest of the new version; its rows for the given marts."""
+    version = max((row.version for row in current.values()), default=0) + 1
+    entries = []
+    for mart, listed in lists.items():
+        path = f"{root}/files/{mart}/{uuid.uuid4().hex}"
+        listed.coalesce(1).write.parquet(path)
+        rows = spark.read.schema(listed.schema).parquet(path).agg(F.sum("rows").alias("n")).first().n
+        entries.append((version, mart, path, rows))
+    if carry:
+        entries += [(version, row.mart, row.files, row.rows) for row in current.values() if row.mart not in lists]
+    # One folder a version: of two exports at once, one finds its folder taken and fails.
+    folder = f"{root}/manifest/{version:09d}"
+    spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("error").json(folder)
+    return spark.read.schema(MANIFEST).json(folder).filter(F.col("mart").isin(list(lists)))
 
 
 def _current(spark: SparkSession, root: str) -> list:
@@ -93,4 +203,4 @@ def _current(spark: SparkSession, root: str) -> list:
             raise
         return []
     last = manifest.agg(F.max("version").alias("version"))
-    return manifest.join(last, "version").select("mart", "version", "path", "rows").collect()
+    return manifest.join(last, "version").select("mart", "version", "files", "rows").collect()

@@ -1,7 +1,9 @@
 import datetime as dt
+import random
 import statistics
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from candlewick.operators.keyed import (
@@ -12,7 +14,7 @@ from candlewick.operators.keyed import (
     top_n_per_key,
 )
 from candlewick.plans import models
-from candlewick.sources.snapshot import export_snapshot, read_snapshot
+from candlewick.sources.snapshot import export_snapshot, files_of, publish, read_mart, read_snapshot
 
 DAY = 86_400_000
 START = 1_752_969_600_000  # 2025-07-20
@@ -168,6 +170,61 @@ def test_snapshot_accumulates_and_old_files_stay(spark, tmp_path):
     assert sorted(row.close for row in open_reader.collect()) == [1.0, 2.0]
 
 
+MART = "mart_daily_ohlcv"
+
+
+def history(spark, months=6, symbols=40):
+    """A row a symbol and day, on the first ten days of each month."""
+    days = [dt.date(2025, m, d) for m in range(1, months + 1) for d in range(1, 11)]
+    return keyed(spark, [(f"s{i:02}", day, float(i)) for i in range(symbols) for day in days])
+
+
+def paths(spark, root):
+    return {r.path: r["rows"] for r in files_of(spark, root, MART).collect()}
+
+
+def test_a_fresh_day_rewrites_few_files(spark, tmp_path):
+    root, old = str(tmp_path / "a+b c%20"), history(spark)
+    export_snapshot({MART: old}, root, file_rows=50)
+    before = paths(spark, root)
+    assert len(before) >= 6 * 400 // 50
+    fresh = keyed(spark, [(f"s{i:02}", dt.date(2025, 6, d), -1.0) for i in range(3) for d in (10, 11)])
+    export_snapshot({MART: fresh}, root, file_rows=50)
+    after = paths(spark, root)
+    replaced = before.keys() - after.keys()
+    assert 1 <= len(replaced) <= 4 and all("2025-06-01" in p for p in replaced)
+    assert sum(after.values()) == 6 * 400 + 3
+    want = merge_fresh_wins(fresh, old, ["symbol", "trade_date"])
+    assert sorted(read_mart(spark, root, MART).collect()) == sorted(want.collect())
+
+
+def test_many_exports_equal_plain_merges(spark, tmp_path):
+    root, draw = str(tmp_path), random.Random(1)
+    want = {}
+    for turn in range(5):
+        rows = {
+            (draw.choice(["A", "B", "C", None]), draw.choice([None, dt.date(2024, 12, 30), dt.date(2025, 2, 3)]))
+            for _ in range(draw.randrange(9))
+        }
+        fresh = [(s, d, float(turn)) for s, d in rows]
+        export_snapshot({MART: keyed(spark, fresh)}, root, file_rows=2)
+        keys = {(s, d) for s, d in rows if s and d}
+        want = {k: v for k, v in want.items() if (k[0], k[1]) not in keys} | {(s, d, v): v for s, d, v in fresh}
+        got = read_snapshot(spark, root)[MART].collect()
+        assert sorted(map(str, got)) == sorted(str(Row(symbol=s, trade_date=d, close=v)) for s, d, v in want)
+
+
+def test_pages_open_only_files_of_their_symbol(spark, tmp_path):
+    root, old = str(tmp_path), history(spark)
+    publish({MART: old}, root, file_rows=50)
+    page = read_mart(spark, root, MART, symbol="s07")
+    assert len(page.inputFiles()) <= 12 < len(read_mart(spark, root, MART).inputFiles())
+    assert sorted(page.collect()) == sorted(old.filter("symbol = 's07'").collect())
+    assert read_mart(spark, root, MART, symbol="unknown").collect() == []
+    with pytest.raises(KeyError):
+        read_mart(spark, root, "unknown")
+
+
 def test_daily_is_held_against_the_interval(spark):
     raw = spark.createDataFrame([("A", "1h", dt.date(2025, 1, 1))], "symbol string, interval string, trade_date date")
     columns = ("open", "high", "low", "close", "volume", "quote_volume", "trade_count")
