@@ -40,11 +40,11 @@ COPY = 16
 #: Texts a task holds before it hands them on; only bounds memory.
 TEXTS = 200_000
 #: Bytes of files in a micro-batch, for each core of the cluster.
-BYTES_PER_CORE = 16 << 20
+BYTES_PER_CORE = 64 << 20
 
 #: Texts that share a key of the state, on average. A call costs more than a row; far fewer texts than this arrive
 #: at a key in one batch of a large table, so what is written per batch stays in proportion to the batch.
-TEXTS_PER_KEY = 64
+TEXTS_PER_KEY = 128
 
 CELL = "part string, mask int, good boolean, toxic boolean, n long"
 #: `fate`: 0 holds the smallest id so far, 1 has lost to a smaller id, 2 has no id.
