@@ -386,8 +386,11 @@ def _describe(name: str) -> str:
     return f"count({name}) AS {name}_count, {stats}"
 
 
+DESCRIBED = f"SELECT symbol, {_describe('daily_return')}, {_describe('volatility_30d')} FROM mart GROUP BY symbol"
+
+
 def _page(columns: str, where: str = "") -> str:
-    return _mart(f"SELECT trade_date, {columns} FROM mart WHERE symbol = 'click' {where}")
+    return _mart(f"SELECT trade_date, {columns} FROM mart WHERE symbol = '7' {where}", USER_BARS)
 
 
 def _last(name: str) -> str:
@@ -642,10 +645,11 @@ UNION ALL SELECT symbol, trade_date, round(close + 1.0::DOUBLE, 4), volume FROM
 WHERE trade_date <= DATE '2024-01-20'""",
         bars=USER_BARS,
     ),
-    "price_history": _mart("SELECT trade_date, symbol, close FROM mart"),
+    "price_history": _mart("SELECT trade_date, symbol, close FROM mart", USER_BARS),
     "volatility_series": _mart(
         """SELECT trade_date, symbol, round(volatility_30d, 8) AS volatility_30d
-FROM mart WHERE volatility_30d IS NOT NULL"""
+FROM mart WHERE volatility_30d IS NOT NULL""",
+        USER_BARS,
     ),
     "symbol_history": _page(
         """open, high, low, close, round(daily_return, 8) AS daily_return,
@@ -655,7 +659,8 @@ FROM mart WHERE volatility_30d IS NOT NULL"""
     "symbol_latest": _mart(
         """SELECT close, round(daily_return, 8) AS daily_return,
   round(volatility_30d, 8) AS volatility_30d, quote_volume
-FROM mart WHERE symbol = 'click' ORDER BY trade_date DESC LIMIT 1"""
+FROM mart WHERE symbol = '7' ORDER BY trade_date DESC LIMIT 1""",
+        USER_BARS,
     ),
     "symbol_price_series": _page("close"),
     "symbol_vol_series": _page(
@@ -679,10 +684,8 @@ FROM mart WHERE symbol = 'click' ORDER BY trade_date DESC LIMIT 1"""
 FROM mart GROUP BY symbol""",
         USER_BARS,
     ),
-    "describe_by_symbol": _mart(
-        f"SELECT symbol, {_describe('daily_return')}, {_describe('volatility_30d')} "
-        "FROM mart GROUP BY symbol"
-    ),
+    "describe_by_symbol": _mart(DESCRIBED),
+    "describe_by_symbol_users": _mart(DESCRIBED, USER_BARS),
     "close_pivot": _mart(
         "SELECT trade_date, "
         + ", ".join(

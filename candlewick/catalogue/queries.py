@@ -30,7 +30,7 @@ from candlewick.operators.forecast import (
     series_lengths,
 )
 from candlewick.operators.iforest import grow_trees, tree_samples
-from candlewick.operators.quantile import exact_quantile
+from candlewick.operators.quantile import exact_quantiles
 from candlewick.operators.keyed import (
     append_series,
     last_n_per_key,
@@ -52,7 +52,7 @@ from candlewick.sources.storage import fresh_path, stored
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-PAGE_SYMBOL = "click"
+PAGE_SYMBOL = "7"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 AS_OF_MS = 1_705_708_800_000  # 2024-01-20 00:00 UTC
 SHIPPED_AS_OF_MS = 978_307_200_000  # 2001-01-01 00:00 UTC, within the ship days
@@ -63,9 +63,9 @@ OVERVIEW_FRESH_FROM = dt.date(1998, 1, 1)
 OVERVIEW_PREVIOUS_UNTIL = dt.date(1998, 6, 1)
 DOMINANT = "0"
 HOLDOUT = 10
-# Small enough for borders between blocks, and for narrowing passes, in the test tables.
+# Small enough for borders between blocks and between files in the test tables.
 SMALL_BLOCK = 512
-SMALL_KEEP = 1000
+SMALL_FILE = 256
 
 MART_DIGITS = {
     "daily_return": 8,
@@ -199,8 +199,8 @@ def export_snapshot(spark, sf_dir):
     days = overview(spark, sf_dir)
     old = days.filter(F.col("snapshot_date") <= F.lit(OVERVIEW_PREVIOUS_UNTIL))
     new = days.filter(F.col("snapshot_date") >= F.lit(OVERVIEW_FRESH_FROM))
-    snapshot.export_snapshot({"mart_daily_ohlcv": previous, "mart_market_overview": old}, root)
-    snapshot.export_snapshot({"mart_daily_ohlcv": fresh, "mart_market_overview": new}, root)
+    snapshot.export_snapshot({"mart_daily_ohlcv": previous, "mart_market_overview": old}, root, file_rows=SMALL_FILE)
+    snapshot.export_snapshot({"mart_daily_ohlcv": fresh, "mart_market_overview": new}, root, file_rows=SMALL_FILE)
     merged = snapshot.read_snapshot(spark, root)["mart_daily_ohlcv"]
     return rounded(merged, {**MART_DIGITS, "close": 4})
 
@@ -331,14 +331,21 @@ def append_bars(spark, sf_dir):
 # --- dashboard and notebook
 
 
+def _served(spark, sf_dir, **equal) -> DataFrame:
+    """The user mart as pages read it: from the files of a published snapshot that may hold their rows."""
+    root = fresh_path(spark, "pages")
+    snapshot.publish({"mart_daily_ohlcv": user_mart(spark, sf_dir)}, root, file_rows=SMALL_FILE)
+    return snapshot.read_mart(spark, root, "mart_daily_ohlcv", **equal)
+
+
 @query("price_history")
 def price_history(spark, sf_dir):
-    return serve.series(event_mart(spark, sf_dir), "close")
+    return serve.series(_served(spark, sf_dir), "close")
 
 
 @query("volatility_series")
 def volatility_series(spark, sf_dir):
-    rows = serve.series(event_mart(spark, sf_dir), "volatility_30d", drop_null=True)
+    rows = serve.series(_served(spark, sf_dir), "volatility_30d", drop_null=True)
     return rounded(rows, {"volatility_30d": 8})
 
 
@@ -354,39 +361,39 @@ def symbol_history(spark, sf_dir):
         "volatility_30d",
         "quote_volume",
     )
-    rows = serve.symbol_view(event_mart(spark, sf_dir), PAGE_SYMBOL, columns)
+    rows = serve.symbol_view(_served(spark, sf_dir, symbol=PAGE_SYMBOL), PAGE_SYMBOL, columns)
     return rounded(rows, {"daily_return": 8, "volatility_7d": 8, "volatility_30d": 8})
 
 
 @query("symbol_latest")
 def symbol_latest(spark, sf_dir):
     columns = ("close", "daily_return", "volatility_30d", "quote_volume")
-    row = serve.latest_row(event_mart(spark, sf_dir), "trade_date", columns, PAGE_SYMBOL)
+    row = serve.latest_row(_served(spark, sf_dir, symbol=PAGE_SYMBOL), "trade_date", columns, PAGE_SYMBOL)
     return rounded(row, {"daily_return": 8, "volatility_30d": 8})
 
 
 @query("symbol_price_series")
 def symbol_price_series(spark, sf_dir):
-    return serve.symbol_view(event_mart(spark, sf_dir), PAGE_SYMBOL, ["close"])
+    return serve.symbol_view(_served(spark, sf_dir, symbol=PAGE_SYMBOL), PAGE_SYMBOL, ["close"])
 
 
 @query("symbol_vol_series")
 def symbol_vol_series(spark, sf_dir):
     columns = ["volatility_7d", "volatility_30d"]
-    rows = serve.symbol_view(event_mart(spark, sf_dir), PAGE_SYMBOL, columns, columns)
+    rows = serve.symbol_view(_served(spark, sf_dir, symbol=PAGE_SYMBOL), PAGE_SYMBOL, columns, columns)
     return rounded(rows, {"volatility_7d": 8, "volatility_30d": 8})
 
 
 @query("symbol_returns")
 def symbol_returns(spark, sf_dir):
     columns = ["daily_return"]
-    rows = serve.symbol_view(event_mart(spark, sf_dir), PAGE_SYMBOL, columns, columns)
+    rows = serve.symbol_view(_served(spark, sf_dir, symbol=PAGE_SYMBOL), PAGE_SYMBOL, columns, columns)
     return rounded(rows, {"daily_return": 8})
 
 
 @query("symbol_volumes")
 def symbol_volumes(spark, sf_dir):
-    return serve.symbol_view(event_mart(spark, sf_dir), PAGE_SYMBOL, ["quote_volume"])
+    return serve.symbol_view(_served(spark, sf_dir, symbol=PAGE_SYMBOL), PAGE_SYMBOL, ["quote_volume"])
 
 
 @query("ordered_marts")
@@ -410,15 +417,23 @@ def latest_by_symbol(spark, sf_dir):
     return rounded(serve.latest_by_symbol(user_mart(spark, sf_dir)), digits)
 
 
-@query("describe_by_symbol")
-def describe_by_symbol(spark, sf_dir):
-    columns = ("daily_return", "volatility_30d")
-    stats = serve.describe_by(event_mart(spark, sf_dir), "symbol", columns)
+def _described(mart: DataFrame) -> DataFrame:
+    stats = serve.describe_by(mart, "symbol", ("daily_return", "volatility_30d"))
     return rounded(
         stats, {name: 8 for name in stats.columns if name != "symbol" and "_count" not in name}
     )
 
 
+@query("describe_by_symbol")
+def describe_by_symbol(spark, sf_dir):
+    return _described(event_mart(spark, sf_dir))
+
+
+@query("describe_by_symbol_users")
+def describe_by_user(spark, sf_dir):
+    return _described(user_mart(spark, sf_dir))
+
+
 @query("close_pivot")
 def close_pivot(spark, sf_dir):
     mart = event_mart(spark, sf_dir)
@@ -606,12 +621,13 @@ def qc_scorecard(spark, sf_dir):
 # --- features and research
 
 
+QUANTILES = (0.0, 0.05, 0.5, 0.999)
+
+
 @query("exact_quantiles")
-def exact_quantiles(spark, sf_dir):
-    prices = stored(b.table(spark, sf_dir, "lineitem").select("l_extendedprice"), "prices")
-    found = [
-        (q, exact_quantile(prices, "l_extendedprice", q, SMALL_KEEP)) for q in (0.0, 0.05, 0.5, 0.999)
-    ]
+def prices_by_quantile(spark, sf_dir):
+    prices = exact_quantiles(b.table(spark, sf_dir, "lineitem"), "l_extendedprice", QUANTILES)
+    found = list(zip(QUANTILES, prices, strict=True))
     return rounded(spark.createDataFrame(found, "q double, price double"), {"price": 6})
 
 

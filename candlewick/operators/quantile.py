@@ -1,87 +1,92 @@
-"""Exact quantiles of a whole column without sorting it in one task."""
+"""Exact quantiles of a whole column by radix selection, without sorting it."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows the borders of a pass are guessed from; all of them meet in one small aggregate.
-SAMPLE = 250_000
-# percentile_approx is at most n / ACCURACY ranks off.
-ACCURACY = 10_000
-# Below and above every value; NaN sorts last.
-LOWEST, HIGHEST = float("-inf"), float("nan")
-WIDEST = 0.2
-# Values that may be sorted in one task.
-KEEP = 250_000
+from candlewick.sources.storage import stored
 
+#: Bits that one pass looks at; 64 in all.
+DIGIT = 16
+LARGEST = (1 << 63) - 1
 
-def exact_quantile(df: DataFrame, column: str, q: float, keep: int = KEEP) -> float | None:
-    """Linearly interpolated quantile of the non-null values of `column`; None if there are none.
 
-    `df` is read several times, so pass a stored frame.
-    """
-    value = F.col(column)
-    rows = df.filter(value.isNotNull()).select(value.alias("value"))
+def _ordered_bits(value: Column) -> Column:
+    """A long that orders like the double: NaN last, both zeros equal."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + 0.0).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(LARGEST))).otherwise(bits)
+
+
+def _double(bits: Column) -> Column:
+    plain = F.when(bits < 0, bits.bitwiseXOR(F.lit(LARGEST))).otherwise(bits)
+    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), plain).cast("double")
+
+
+def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float]) -> list[float | None]:
+    """Linearly interpolated quantiles of the non-null values of `column`; None if there are none."""
+    value = F.col(column).cast("double")
+    rows = stored(df.filter(value.isNotNull()).select(_ordered_bits(value).alias("bits")), "ordered-bits")
     size = rows.count()
     if size == 0:
-        return None
-    rank = (size - 1) * q
-    first = math.floor(rank)
-    second = min(first + 1, size - 1)
-    found = _order_statistics(rows, size, {first, second}, keep)
-    return found[first] + (rank - first) * (found[second] - found[first])
-
-
-def _order_statistics(
-    rows: DataFrame, size: int, ranks: set[int], keep: int
-) -> dict[int, float]:
-    """Values at neighbouring 0-based ranks.
-
-    Each pass guesses two borders around the ranks from a sample, then counts all rows below,
-    on and strictly between them. A rank on a border is settled, however many ties it has;
-    otherwise the search goes on among the rows strictly between, about a hundredth of
-    those before. The counts alone decide, so the answer is exact whatever was sampled: a
-    guess that misses only widens the next one. The driver holds a few scalars, and no task
-    receives more than the sample or `keep` rows.
+        return [None] * len(qs)
+    places = [(size - 1) * q for q in qs]
+    ranks = {r for p in places for r in (math.floor(p), min(math.floor(p) + 1, size - 1))}
+    found = order_statistics(rows, ranks)
+    out = []
+    for place in places:
+        low = math.floor(place)
+        first, second = found[low], found[min(low + 1, size - 1)]
+        out.append(first if place == low or first == second else first + (place - low) * (second - first))
+    return out
+
+
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    return exact_quantiles(df, column, [q])[0]
+
+
+def order_statistics(rows: DataFrame, ranks: set[int]) -> dict[int, float]:
+    """Values at 0-based ranks among the ordered `bits`, however many and however many ties they have.
+
+    Every pass counts the rows by their next DIGIT bits among those that share all bits so far with a rank, which
+    are at most 2^DIGIT counts for each different prefix, and keeps the digit whose rows hold the rank. The passes
+    are the same four for any number of ranks and rows; the driver holds the ranks and their prefixes.
     """
-    found: dict[int, float] = {}
-    # Six standard errors of a sampled rank, plus the sketch's own error.
-    usual = min(WIDEST, 3 / SAMPLE**0.5 + 2 / ACCURACY)
-    skipped, margin, turn = 0, usual, 0
-    while ranks:
-        turn += 1
-        if size <= keep:
-            values = rows.agg(F.sort_array(F.collect_list("value")).alias("values"))
-            picks = [F.col("values")[rank - skipped] for rank in sorted(ranks)]
-            found.update(zip(sorted(ranks), values.select(*picks).first(), strict=True))
-            break
-        low_q = (min(ranks) - skipped) / size - margin
-        high_q = (max(ranks) - skipped) / size + margin
-        sketch = F.percentile_approx("value", [max(low_q, 0.0), min(high_q, 1.0)], ACCURACY)
-        sample = rows.sample(min(1.0, SAMPLE / size), seed=turn)
-        borders = sample.agg(sketch.alias("borders")).first().borders or (LOWEST, HIGHEST)
-        low = borders[0] if low_q > 0 else LOWEST
-        high = borders[1] if high_q < 1 else HIGHEST
-        value = F.col("value")
-        between = (value > low) & (value < high)
-        counts = rows.agg(
-            F.count_if(value < low).alias("below"),
-            F.count_if(value == low).alias("on_low"),
-            F.count_if(between).alias("between"),
-            F.count_if((value == high) & (value > low)).alias("on_high"),
-        ).first()
-        start = skipped + counts.below
-        inner = start + counts.on_low
-        outer = inner + counts.between
-        if min(ranks) < start or max(ranks) >= outer + counts.on_high:
-            margin = min(10 * margin, WIDEST)
-            continue
-        margin = usual
-        found.update({rank: low for rank in ranks if rank < inner})
-        found.update({rank: high for rank in ranks if rank >= outer})
-        ranks = {rank for rank in ranks if inner <= rank < outer}
-        rows, size, skipped = rows.filter(between), counts.between, inner
-    return found
+    # prefix so far -> ranks within the rows of that prefix, by the rank asked for
+    inside: dict[int | None, dict[int, int]] = {None: {r: r for r in ranks}}
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        bits = F.col("bits")
+        prefix = F.shiftright(bits, shift + DIGIT) if shift + DIGIT < 64 else F.lit(None).cast("long")
+        some = rows if None in inside else rows.filter(prefix.isin(list(inside)))
+        before = F.coalesce(
+            F.sum("n").over(Window.partitionBy("prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        )
+        counts = (
+            some.groupBy(prefix.alias("prefix"), F.shiftright(bits, shift).alias("digit"))
+            .agg(F.count("*").alias("n"))
+            .withColumn("before", before)
+        )
+        holds = [
+            F.col("prefix").eqNullSafe(F.lit(p)) & (F.col("before") <= r) & (F.col("before") + F.col("n") > r)
+            for p, asked in inside.items()
+            for r in set(asked.values())
+        ]
+        hits = counts.filter(reduce(or_, holds)).collect()
+        inside = {
+            row.digit: {
+                asked: r - row.before
+                for asked, r in inside[row.prefix].items()
+                if row.before <= r < row.before + row.n
+            }
+            for row in hits
+        }
+    spark = rows.sparkSession
+    values = spark.createDataFrame([(b,) for b in inside], "bits long").select("bits", _double(F.col("bits")).alias("v"))
+    by_bits = dict(map(tuple, values.collect()))
+    return {asked: by_bits[b] for b, of in inside.items() for asked in of}

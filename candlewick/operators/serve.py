@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators.series import sorted_rows
+
 
 def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.orderBy(*[F.asc_nulls_last(key) for key in keys])
@@ -70,43 +72,44 @@ QUARTILES = (25, 50, 75)
 def describe_by(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles per key and column, NULLs skipped.
 
-    The quartiles are exact: the values of a key are sorted, which may spill, and the two around each
-    quartile are picked by their place, so no task holds a key's values. All columns share one
-    shuffle.
+    The quartiles are exact. The values of all columns are sorted together, by key and column, in ranges that split
+    a key of any size between tasks; a quartile is then two row numbers, picked by join.
     """
-    ranked = df.select(key, *columns)
-    for name in columns:
-        known = Window.partitionBy(key)
-        ranked = ranked.withColumns(
-            {
-                f"_place_{name}": F.row_number().over(known.orderBy(F.asc_nulls_last(name))) - 1,
-                f"_count_{name}": F.count(name).over(known),
-            }
-        )
-    aggregates, output = [], [F.col(key)]
-    for name in columns:
-        value, place = F.col(name), F.col(f"_place_{name}")
-        last = F.col(f"_count_{name}") - 1
-        aggregates += [
-            F.count(name).alias(f"{name}_count"),
-            F.avg(name).alias(f"{name}_mean"),
-            F.stddev_samp(name).alias(f"{name}_std"),
-            F.min(name).alias(f"{name}_min"),
-            F.max(name).alias(f"{name}_max"),
-        ]
-        output += [F.col(f"{name}_{part}") for part in ("count", "mean", "std", "min")]
-        for q in QUARTILES:
-            low, high = F.floor(last * q / 100), F.ceil(last * q / 100)
-            aggregates += [
-                F.max(F.when(place == low, value)).alias(f"_low_{name}_{q}"),
-                F.max(F.when(place == high, value)).alias(f"_high_{name}_{q}"),
-            ]
-            share = (F.col(f"{name}_count") - 1) * q / 100
-            step = F.col(f"_high_{name}_{q}") - F.col(f"_low_{name}_{q}")
-            quartile = F.col(f"_low_{name}_{q}") + (share - F.floor(share)) * step
-            output.append(quartile.alias(f"{name}_p{q}"))
-        output.append(F.col(f"{name}_max"))
-    return ranked.groupBy(key).agg(*aggregates).select(*output)
+    entries = F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in columns])
+    long = df.select(F.col(key).alias("key"), F.inline(entries))
+    # A key without values has a row all the same.
+    rows = sorted_rows(long, ["key", "name"], ["value"])
+    value = F.col("value")
+    stats = rows.groupBy("key", "name").agg(
+        F.min("_row").alias("first"),
+        F.count_if(value.isNull()).alias("nulls"),
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    places = [(q, pick((F.col("count") - 1) * q / 100)) for q in QUARTILES for pick in (F.floor, F.ceil)]
+    wanted = stats.filter("count > 0").select(
+        "key",
+        "name",
+        F.posexplode(F.array(*[F.col("first") + F.col("nulls") + place for _, place in places])).alias("slot", "_row"),
+    )
+    picked = (
+        wanted.join(rows.select("_row", "value"), "_row")
+        .groupBy("key", "name")
+        .agg(*[F.max(F.when(F.col("slot") == i, value)).alias(f"v{i}") for i in range(len(places))])
+    )
+    other = picked.withColumnsRenamed({"key": "_key", "name": "_name"})
+    found = stats.join(other, F.col("key").eqNullSafe(F.col("_key")) & (F.col("name") == F.col("_name")), "left")
+    for i, q in enumerate(QUARTILES):
+        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        share = (F.col("count") - 1) * q / 100
+        found = found.withColumn(f"p{q}", low + (share - F.floor(share)) * (high - low))
+    parts = ("count", "mean", "std", "min", *[f"p{q}" for q in QUARTILES], "max")
+    return found.groupBy(F.col("key").alias(key)).agg(
+        *[F.max(F.when(F.col("name") == c, F.col(part))).alias(f"{c}_{part}") for c in columns for part in parts]
+    )
 
 
 def pivot_mean(

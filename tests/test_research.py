@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions import arma
-from candlewick.operators import iforest, quantile
+from candlewick.operators import iforest
 from candlewick.operators.arima import arima_forecast
 from candlewick.operators.events import event_study, event_windows, rejected_events
 from candlewick.operators.features import (
@@ -19,7 +19,7 @@ from candlewick.operators.forecast import (
     naive_forecast,
     short_series,
 )
-from candlewick.operators.quantile import exact_quantile
+from candlewick.operators.quantile import exact_quantile, exact_quantiles
 from candlewick.plans import research
 
 DAY = 86_400_000
@@ -169,20 +169,28 @@ def test_forest_scores_an_outlier_lowest(spark):
 # --- quantiles
 
 
-@pytest.mark.parametrize("sample", [250_000, 4_000])
-@pytest.mark.parametrize("q", [0.0, 0.05, 1.0])
-@pytest.mark.parametrize("kind", ["spread", "ties", "two", "heavy"])
-def test_quantile_is_exact(spark, monkeypatch, q, kind, sample):
-    monkeypatch.setattr(quantile, "SAMPLE", sample)
+@pytest.mark.parametrize("kind", ["spread", "ties", "two", "heavy", "signs"])
+def test_quantiles_are_exact(spark, kind):
     rng = np.random.default_rng(3)
     values = {
         "spread": rng.normal(size=20_000),
         "ties": rng.integers(0, 5, 20_000).astype(float),
         "two": np.repeat([0.0, 1.0], 10_000),
         "heavy": np.exp(rng.normal(0, 30, 20_000)),
+        "signs": np.array([-0.0, 0.0, -1e308, 1e308, -5e-324, 5e-324] * 3),
     }[kind]
     df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(4)
-    assert exact_quantile(df, "v", q, keep=50) == pytest.approx(np.quantile(values, q), rel=1e-12)
+    qs = [0.0, 0.003, 0.25, 0.5, 0.77, 0.999, 1.0] if kind != "signs" else [0.0, 0.3, 0.5, 1.0]
+    want = np.quantile(values, qs, method="linear")
+    got = exact_quantiles(df, "v", qs)
+    assert got == pytest.approx(want.tolist(), rel=1e-12)
+
+
+def test_nan_is_the_largest_value(spark):
+    values = [float("nan"), -1.0, None, float("inf"), float("-inf"), 2.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    *finite, high = exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.75, 1.0])
+    assert finite == [float("-inf"), -1.0, 2.0, float("inf")] and np.isnan(high)
 
 
 def test_quantile_of_nothing(spark):

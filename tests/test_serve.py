@@ -87,3 +87,20 @@ def test_quartiles_of_uneven_groups(spark):
         for q in (25, 50, 75):
             want = np.percentile(values, q) if values else None
             assert r[f"v_p{q}"] == (want if want is None else pytest.approx(want))
+
+
+def test_quartiles_of_a_key_with_a_third_of_the_rows(spark):
+    """Every key's values are spread over tasks; nothing is windowed by key."""
+    from pyspark.sql import functions as F
+
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 100)).alias("k"),
+        (F.col("id") * 7919 % n).cast("double").alias("v"),
+    )
+    described = serve.describe_by(df, "k", ["v"])
+    plan = described._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(_part" in plan and "windowspecdefinition(key" not in plan
+    hot = described.filter("k = 'hot'").first()
+    want = df.filter("k = 'hot'").agg(F.percentile("v", F.array(*map(F.lit, (0.25, 0.5, 0.75))))).first()[0]
+    assert [hot.v_p25, hot.v_p50, hot.v_p75] == want
