@@ -90,6 +90,24 @@ def read_blocks(
     return sums, errors
 
 
+def folded(parts: list[tuple[np.ndarray, np.ndarray]], mean: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and last errors of neighbouring blocks as those of one block.
+
+    The errors after a block are linear in the readings before it, so the next block's sums can be written in the
+    readings of the first.
+    """
+    sums, errors = parts[0]
+    for next_sums, next_errors in parts[1:]:
+        through = np.zeros(sums.shape)
+        through[:, 0, 0] = 1.0
+        through[:, :, 1 : 1 + errors.shape[-1]] = errors
+        if mean:
+            through[:, -1, -1] = 1.0
+        sums = sums + through @ next_sums @ through.transpose(0, 2, 1)
+        errors = through @ next_errors
+    return sums, errors
+
+
 def roll(
     parts: list[tuple[np.ndarray, np.ndarray]],
     before: tuple[int, float],

@@ -19,6 +19,7 @@ from candlewick.functions.arma import (
     SPACINGS,
     carried,
     first_points,
+    folded,
     neighbours,
     read_blocks,
     roll,
@@ -31,6 +32,7 @@ from candlewick.sources.storage import stored
 ORDER = (1, 1, 1)
 BLOCK_ROWS = 2048
 TOGETHER = 128  # blocks that a task reads in lockstep
+FOLD = 64  # blocks that one row holds the sums of
 
 
 def arima_forecast(
@@ -68,8 +70,10 @@ def arima_forecast(
         ),
         "search",
     )
+    # Blocks of the longest series decide how often neighbours are folded into one.
+    longest = blocks.groupBy(*KEY).agg((F.max("_block") - F.min("_block") + 1).alias("n")).agg(F.max("n")).first()[0]
     for spacing in (*SPACINGS[1:], 0):
-        read = _read(blocks, state, p, d, q, block_rows)
+        read = _gathered(_read(blocks, state, p, d, q, block_rows), longest or 0, p, d, q)
         state = stored(_composed(read, state, holdout, order, spacing), "search")
     step = F.posexplode(F.arrays_zip("actual", "pred", "failed", "converged")).alias("step", "found")
     return state.select(*KEY, step).select(
@@ -83,6 +87,9 @@ def arima_forecast(
     )
 
 
+PART = "block long, sums binary, errors binary, n long, total double"
+
+
 def _candidates(points, size: int) -> np.ndarray:
     if points is None:
         return first_points(size)
@@ -90,7 +97,7 @@ def _candidates(points, size: int) -> np.ndarray:
 
 
 def _read(blocks: DataFrame, state: DataFrame, p: int, d: int, q: int, block_rows: int) -> DataFrame:
-    """(symbol, parts): what each block of a series says of its candidates."""
+    """A row a block: what it says of the candidates of its series."""
     symbol = blocks.schema[KEY[0]].dataType.simpleString()
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,11 +141,42 @@ def _read(blocks: DataFrame, state: DataFrame, p: int, d: int, q: int, block_row
         )
 
     given = blocks.withColumnRenamed("_block", "place").join(state.select(*KEY, "points"), KEY)
-    schema = f"{KEY[0]} {symbol}, block long, sums binary, errors binary, n long, total double"
-    part = F.struct("block", "sums", "errors", "n", "total")
-    read_rows = given.mapInPandas(read, schema)
-    # A block of thousands of rows comes back as a few kilobytes.
-    return read_rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    return given.mapInPandas(read, f"{KEY[0]} {symbol}, {PART}")
+
+
+def _gathered(read: DataFrame, longest: int, p: int, d: int, q: int) -> DataFrame:
+    """(symbol, parts): at most FOLD parts of every series in order.
+
+    What FOLD neighbouring blocks say composes to what one block of their length would, so a series of any number
+    of blocks comes down to one row in a few rounds, and no row holds more than FOLD parts of a few kilobytes.
+    """
+    symbol = read.schema[KEY[0]].dataType.simpleString()
+    readings = 1 + q + (d == 0)
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for row in frame.itertuples():
+                sums, errors = folded(_arrays(row.parts, readings, q), d == 0)
+                n, total = sum(x["n"] for x in row.parts), sum(x["total"] for x in row.parts)
+                rows.append((getattr(row, KEY[0]), row.block, sums.tobytes(), errors.tobytes(), n, total))
+            yield pd.DataFrame(rows, columns=[KEY[0], "block", "sums", "errors", "n", "total"])
+
+    part = F.array_sort(F.collect_list(F.struct("block", "sums", "errors", "n", "total"))).alias("parts")
+    while longest > FOLD:
+        groups = read.groupBy(*KEY, F.floor(F.col("block") / FOLD).alias("group")).agg(part)
+        read = groups.withColumnRenamed("group", "block").mapInPandas(fold, f"{KEY[0]} {symbol}, {PART}")
+        longest = longest // FOLD + 2  # a series may begin and end within a group
+    return read.groupBy(*KEY).agg(part)
+
+
+def _arrays(parts, readings: int, q: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sums and errors of each part, by candidate."""
+    found = []
+    for x in parts:
+        sums = np.frombuffer(x["sums"]).reshape(-1, readings, readings)
+        found.append((sums, np.frombuffer(x["errors"]).reshape(len(sums), readings, q)))
+    return found
 
 
 def _composed(
@@ -158,13 +196,7 @@ def _composed(
 
     def one(row) -> tuple:
         points = _candidates(row.points, p + q)
-        parts = [
-            (
-                np.frombuffer(x["sums"]).reshape(len(points), readings, readings),
-                np.frombuffer(x["errors"]).reshape(len(points), readings, q),
-            )
-            for x in row.parts
-        ]
+        parts = _arrays(row.parts, readings, q)
         before = sum(x["n"] for x in row.parts), sum(x["total"] for x in row.parts)
         tail = np.asarray(row.tail, dtype=float)
         with np.errstate(all="ignore"):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions import arma
-from candlewick.operators import iforest
+from candlewick.operators import arima, iforest
 from candlewick.operators.arima import arima_forecast
 from candlewick.operators.events import event_study, event_windows, rejected_events
 from candlewick.operators.features import (
@@ -311,6 +311,20 @@ def test_blocks_change_nothing(spark):
     assert whole.converged.all() and cut.converged.all()
 
 
+@pytest.mark.parametrize("order", [(1, 1, 1), (2, 0, 1), (1, 0, 0), (0, 1, 2)])
+def test_folded_blocks_forecast_alike(spark, monkeypatch, order):
+    """Many rounds of folding, with groups that begin and end within a series."""
+    closes = 100 + np.cumsum(np.random.default_rng(8).normal(size=400))
+    df = spark.createDataFrame(series_frame("A", closes).iloc[:150]).unionByName(
+        spark.createDataFrame(series_frame("B", closes))
+    )
+    whole = arima_forecast(df, 6, order).toPandas().sort_values(["symbol", "step"])
+    monkeypatch.setattr(arima, "FOLD", 3)
+    pieces = arima_forecast(df, 6, order, block_rows=11).toPandas().sort_values(["symbol", "step"])
+    np.testing.assert_allclose(pieces.pred, whole.pred, rtol=1e-7)
+    assert pieces.converged.tolist() == whole.converged.tolist()
+
+
 def test_arima_predicts_better_than_naive_where_moves_persist(spark):
     closes = 100 + np.cumsum(moving(0.7, 0.2, 600, 3))
     rows = arima_forecast(spark.createDataFrame(series_frame("A", closes)), 60).toPandas()
