@@ -105,24 +105,24 @@ def edited(docs: DataFrame) -> DataFrame:
     )
 
 
-def _low_bit(x: Column) -> Column:
-    return x.bitwiseAND(-x)
-
-
 def _chain(terms: Column, chain: int) -> Column:
     """Hash of the sorted terms in the smallest subset of a chain that holds any of them.
 
-    The k-th subset has the terms whose hash under the chain ends in k zero bits.
+    The k-th subset has the terms whose hash under the chain is below MASK >> k.
     """
     hashes = F.transform(terms, lambda t: F.xxhash64(t, F.lit(chain)).bitwiseAND(F.lit(MASK)))
-    start = F.struct(F.lit(-1).cast("long").alias("depth"), F.lit(0).cast("long").alias("hash"))
 
-    def step(a: Column, h: Column) -> Column:
-        deeper = F.struct(_low_bit(h).alias("depth"), F.xxhash64(h).alias("hash"))
-        same = F.struct(a["depth"].alias("depth"), F.xxhash64(a["hash"], h).alias("hash"))
-        return F.when(_low_bit(h) > a["depth"], deeper).when(_low_bit(h) == a["depth"], same).otherwise(a)
+    def smallest(of: Column) -> Column:
+        # The bound is a field here, so it is computed once and not for every term.
+        return F.xxhash64(F.filter(of["hashes"], lambda h: h < of["bound"]))
+
+    return F.transform(F.transform(F.array(hashes), _bounded), smallest)[0]
 
-    return F.aggregate(hashes, start, step, lambda a: a["hash"])
+
+def _bounded(hashes: Column) -> Column:
+    """Hashes with the least power of two above the smallest one."""
+    bits = F.length(F.bin(F.array_min(hashes)))
+    return F.struct(hashes.alias("hashes"), F.call_function("shiftleft", F.lit(1).cast("long"), bits).alias("bound"))
 
 
 def _digits(x: Column, n: int) -> Column:
@@ -158,20 +158,22 @@ def fingerprints(docs: DataFrame, idf_low: int = 4, idf_high: int = 10) -> DataF
         codes(F.col("text")).alias("own"),
         codes(F.col("edited")).alias("new"),
     )
-    # One row for each term of either text, and one, numbered -1, for the document itself.
-    terms = both.select(
+    # One row for each term of either text, and one, numbered -1, for the document itself. All else is computed
+    # before the rows multiply.
+    marked = both.select(
         "key",
-        F.col("about").withField("spare", _otherwise(F.col("own"), F.col("text")))
-        .withField("new_spare", _otherwise(F.col("new"), F.col("edited")))
-        .alias("about"),
-        F.explode(
-            F.concat(
-                F.array(F.lit(-1).cast("long")),
-                F.transform("own", lambda c: c * 2),
-                F.transform("new", lambda c: c * 2 + 1),
-            )
-        ).alias("term"),
-    )
+        F.struct(
+            "about.*",
+            _otherwise(F.col("own"), F.col("text")).alias("spare"),
+            _otherwise(F.col("new"), F.col("edited")).alias("new_spare"),
+        ).alias("about"),
+        F.concat(
+            F.array(F.lit(-1).cast("long")),
+            F.transform("own", lambda c: c * 2),
+            F.transform("new", lambda c: c * 2 + 1),
+        ).alias("terms"),
+    )
+    terms = marked.select("key", "about", F.explode("terms").alias("term"))
     kept = band.unionByName(band.sparkSession.range(1).select(F.lit(-1).cast("long").alias("code")))
     found = (
         terms.withColumn("code", F.shiftright("term", 1))
@@ -189,7 +191,7 @@ def fingerprints(docs: DataFrame, idf_low: int = 4, idf_high: int = 10) -> DataF
         )
         return F.when(F.size(own) > 0, F.sort_array(own)).otherwise(F.array(F.col(spare)))
 
-    marked = stored(
+    prints = stored(
         found.select("about.*", "terms")
         .withColumn("own", sorted_terms(0, "spare"))
         .withColumn("new", sorted_terms(1, "new_spare"))
@@ -200,9 +202,9 @@ def fingerprints(docs: DataFrame, idf_low: int = 4, idf_high: int = 10) -> DataF
         ),
         "fingerprints",
     )
-    following = marked.select(F.col("index").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
+    following = prints.select(F.col("index").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
     return (
-        marked.join(following, "next")
+        prints.join(following, "next")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select(
             "doc_id",

@@ -3,7 +3,12 @@
 Vectors are cut into ranges of blocks. Every block keeps the largest and smallest value of each term, a
 component taken with its sign; for a query the sum of the better ones bounds each score in the block.
 Blocks are scored through their forward index in the order of their bounds until the next bound falls below
-the query's kth score. Whole ranges are skipped in the same way before any of their vectors is read.
+the query's kth score.
+
+The kth score of a query begins with the range that its own vector lies in. Against it, first groups of ranges and
+then their ranges are bounded, and only what may still hold a better vector is written down. Of these ranges
+each query visits those with the highest bounds first; the others are read only if their bounds reach the kth
+score that it has by then.
 """
 
 from __future__ import annotations
@@ -22,6 +27,9 @@ SCALE = 1024
 RANGE = 4096  # vectors in a range
 BLOCK = 64  # vectors in a block
 QUERIES = 256  # queries handled together
+BOXES = 64  # ranges bounded together
+FIRST = 8  # ranges of a query that are read before the kth score is looked at again
+SALTS = 64  # parts of the query groups, each of which meets every group of ranges
 SIGNS = 16  # leading components whose signs order the vectors
 NONE = -(1 << 63)
 
@@ -145,6 +153,112 @@ def _scored(pairs: DataFrame, queries: DataFrame, ranges: DataFrame, k: int) ->
     return given.mapInArrow(run, "group long, q int, query_id long, vec_id long, score long")
 
 
+def _asked(ranges: DataFrame, every: int) -> DataFrame:
+    """(range, vec_id, v) of the queries, with the range that holds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, data = _unpacked(row["ids"], row["data"])
+                at = np.flatnonzero(ids % every == 0)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "range": pa.array(np.full(len(at), row["range"])),
+                        "vec_id": pa.array(ids[at]),
+                        "v": pa.array(data[at].tolist(), pa.list_(pa.int64())),
+                    }
+                )
+
+    found = ranges.select("range", "ids", "data").mapInArrow(run, "range long, vec_id long, v array<long>")
+    return found.dropDuplicates(["vec_id"])
+
+
+def _grouped(asked: DataFrame) -> DataFrame:
+    """Queries in bundles of neighbours: group, ids, data, homes (the range of each)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for low in range(0, batch.num_rows, QUERIES):
+                part = batch.slice(low, QUERIES)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "group": pa.array([number]),
+                        "ids": pa.array([part.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                        "data": pa.array([_matrix(part.column("v")).astype("<i8").tobytes()], pa.binary()),
+                        "homes": pa.array([part.column("range").to_pylist()], pa.list_(pa.int64())),
+                    }
+                )
+                number += 1
+
+    rows = asked.repartitionByRange("range", "vec_id").sortWithinPartitions("range", "vec_id")
+    return rows.mapInArrow(run, "group long, ids binary, data binary, homes array<long>")
+
+
+def _boxed(ranges: DataFrame) -> DataFrame:
+    """Extreme values of neighbouring ranges together: boxes, ranges, least, most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, BOXES):
+                part = batch.slice(low, BOXES)
+                least, most = _alike(_matrix(part.column("least")), _matrix(part.column("most")))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "ranges": pa.array([part.column("range").to_pylist()], pa.list_(pa.int64())),
+                        "least": pa.array([least.astype("<i8").tobytes()], pa.binary()),
+                        "most": pa.array([most.astype("<i8").tobytes()], pa.binary()),
+                    }
+                )
+
+    rows = ranges.select("range", "least", "most").repartitionByRange("range").sortWithinPartitions("range")
+    return rows.mapInArrow(run, "ranges array<long>, least binary, most binary")
+
+
+def _hopeful(groups: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(group, range, q, bound) of queries and ranges, not their own, whose bound reaches the query's floor.
+
+    Every group of queries meets the summary of every group of ranges; nothing is written of what falls short.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, data = _unpacked(row["ids"], row["data"])
+                numbers = np.array(row["ranges"], dtype=np.int64)
+                least, most = (np.frombuffer(row[c], dtype="<i8").reshape(len(numbers), -1) for c in ("least", "most"))
+                wide, least = _alike(data, least)
+                most = _alike(data, most)[1]
+                floors, homes = np.array(row["floors"], dtype=np.int64), np.array(row["homes"], dtype=np.int64)
+                outer = bounds(wide, least.min(axis=0, keepdims=True), most.max(axis=0, keepdims=True))[:, 0]
+                alive = np.flatnonzero(outer >= floors)
+                limit = bounds(wide[alive], least, most)
+                q, r = np.nonzero((limit >= floors[alive][:, None]) & (numbers[None, :] != homes[alive][:, None]))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "group": pa.array(np.full(len(q), row["group"])),
+                        "range": pa.array(numbers[r]),
+                        "q": pa.array(alive[q].astype(np.int32)),
+                        "bound": pa.array(limit[q, r]),
+                    }
+                )
+
+    salted = groups.withColumn("salt", F.pmod(F.xxhash64("group"), F.lit(SALTS)))
+    meet = salted.join(boxes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "salt").drop("salt")
+    return meet.mapInArrow(run, "group long, range long, q int, bound long")
+
+
+def _floors(found: DataFrame, k: int) -> DataFrame:
+    """(group, q, floor): the kth score so far, where there are k."""
+    by_score = Window.partitionBy("group", "q").orderBy(F.desc("score"))
+    top = found.select("group", "q", "score").withColumn("n", F.row_number().over(by_score)).filter(F.col("n") <= k)
+    return top.groupBy("group", "q").agg(F.when(F.max("n") == k, F.min("score")).otherwise(F.lit(NONE)).alias("floor"))
+
+
+def _wanted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("group", "range").agg(F.collect_list(F.struct("q", "floor")).alias("wanted"))
+
+
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all vectors for each whose vec_id `every` divides.
 
@@ -155,54 +269,29 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     component take no part; empty vectors score 0; the shorter of two vectors is filled up with zeros. Fewer
     candidates give fewer rows, an empty table none.
     """
-    rows = stored(_valid(vectors), "vectors")
+    rows = _valid(vectors)
     # Vectors of like signs become neighbours, which tightens the blocks' bounds; ids split large groups.
     signs = sum((F.when(F.get("v", F.lit(i)) >= 0, 1 << i).otherwise(0) for i in range(SIGNS)), F.lit(0))
     placed = rows.withColumn("code", signs).repartitionByRange("code", "vec_id")
     ranges = stored(_bundles(placed.sortWithinPartitions("code", "vec_id").drop("code"), "range", RANGE), "ranges")
-    asked = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    queries = stored(_bundles(asked, "group", QUERIES), "queries")
-
-    def bound_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, data = _unpacked(row["ids"], row["data"])
-                box = np.array([row["least"], row["most"]], dtype=np.int64)
-                data, box = _alike(data, box)
-                limit = bounds(data, box[:1], box[1:])[:, 0]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "group": pa.array(np.full(len(limit), row["group"])),
-                        "range": pa.array(np.full(len(limit), row["range"])),
-                        "q": pa.array(np.arange(len(limit), dtype=np.int32)),
-                        "bound": pa.array(limit),
-                    }
-                )
-
-    # Each group of queries meets the summary, not the vectors, of every range.
-    groups = queries.select("group", F.pmod(F.xxhash64("group"), F.lit(64)).alias("salt"), "ids", "data")
-    boxes = ranges.select("range", "least", "most", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("salt"))
-    meet = groups.join(boxes, "salt").select("group", "ids", "data", "range", "least", "most")
-    pairs = stored(
-        meet.mapInArrow(bound_all, "group long, range long, q int, bound long"), "bounds"
-    )
-    home = pairs.groupBy("group", "q").agg(F.max(F.struct("bound", "range"))["range"].alias("range"))
-    home = stored(home, "home")
-    wanted = F.collect_list(F.struct("q", F.col("floor").cast("long").alias("floor"))).alias("wanted")
-    near = home.withColumn("floor", F.lit(NONE)).groupBy("group", "range").agg(wanted)
-    first = stored(_scored(near, queries, ranges, k), "first-scores")
-    floors = first.groupBy("group", "q").agg(
-        F.when(F.count("*") == k, F.min("score")).otherwise(F.lit(NONE)).alias("floor")
-    )
-    rest = (
-        pairs.join(home, ["group", "q", "range"], "left_anti")
-        .join(floors, ["group", "q"], "left")
-        .withColumn("floor", F.coalesce("floor", F.lit(NONE)))
-        .filter("bound >= floor")
-        .groupBy("group", "range")
-        .agg(wanted)
-    )
-    found = first.unionByName(_scored(rest, queries, ranges, k))
+    queries = stored(_grouped(_asked(ranges, every)), "queries")
+    home = queries.select("group", F.posexplode("homes").alias("q", "range"))
+    own = _wanted(home.withColumn("floor", F.lit(NONE)))
+    found = stored(_scored(own, queries, ranges, k), "own-scores")
+
+    known = home.join(_floors(found, k), ["group", "q"], "left")
+    in_order = F.array_sort(F.collect_list(F.struct("q", F.coalesce("floor", F.lit(NONE)).alias("floor"))))
+    floors = known.groupBy("group").agg(in_order["floor"].alias("floors"))  # QUERIES at most
+    hopeful = stored(_hopeful(queries.join(floors, "group"), stored(_boxed(ranges), "boxes")), "hopeful")
+    turns = Window.partitionBy("group", "q").orderBy(F.desc("bound"), "range")
+    turned = hopeful.withColumn("turn", F.row_number().over(turns))
+
+    def visit(pairs: DataFrame, so_far: DataFrame) -> DataFrame:
+        now = pairs.join(_floors(so_far, k), ["group", "q"], "left").withColumn("floor", F.coalesce("floor", F.lit(NONE)))
+        return _scored(_wanted(now.filter("bound >= floor")), queries, ranges, k)
+
+    found = found.unionByName(stored(visit(turned.filter(F.col("turn") <= FIRST), found), "first-scores"))
+    found = found.unionByName(visit(turned.filter(F.col("turn") > FIRST), found))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

@@ -36,11 +36,8 @@ def brute_fingerprint(text, band):
     for chain in range(imatch.CHAINS):
         # the chain's seed is an int: four bytes
         hashes = [xxhash.xxh64(struct.pack("<i", chain), seed=h64(t)).intdigest() & imatch.MASK for t in terms]
-        depth = max(h & -h for h in hashes)
-        chosen = [h for h in hashes if h & -h == depth]
-        value = h64(chosen[0])
-        for h in chosen[1:]:
-            value = h64(value, h)
+        bound = 1 << max(1, min(hashes).bit_length())
+        value = h64(*[h for h in hashes if h < bound])
         out += f"{value & 0xFFFF:04x}"
     return out
 
