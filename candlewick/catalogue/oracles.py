@@ -599,6 +599,18 @@ UNION ALL SELECT symbol, open_time_ms, close, trade_count, DATE '2024-01-20' FRO
 WHERE open_time_ms + {DAY_MS} - 1 <= 1705708800000""",
         bars=EVENT_BARS,
     ),
+    "load_raw_increment": _with(
+        f"""SELECT symbol, open_time_ms, close, trade_count, DATE '2024-02-01' AS ingested_date
+FROM bars
+UNION ALL SELECT symbol, open_time_ms, close, trade_count, DATE '2024-01-20' FROM bars
+WHERE open_time_ms + {DAY_MS} - 1 <= 1705708800000""",
+        bars=USER_BARS,
+    ),
+    "snapshot_extent": _with(
+        """SELECT count(*) AS rows, min(symbol) AS low_symbol, max(symbol) AS high_symbol,
+  min(trade_date) AS low_trade_date, max(trade_date) AS high_trade_date FROM bars""",
+        bars=USER_BARS,
+    ),
     "raw_row_counts": _on_markets(
         f"""SELECT 'klines' AS dataset,
   count(*) + count(*) FILTER (open_time_ms + {DAY_MS} - 1 <= 1705708800000) AS n FROM bars
@@ -618,6 +630,12 @@ UNION ALL SELECT 'markets', count(*) FROM markets_twice""",
     "stg_klines": _with(
         """SELECT symbol, '1d' AS interval, CAST(trade_date AS TIMESTAMP) AS open_time, trade_date,
   open, high, low, close, volume, quote_volume, trade_count,
+  CAST(trade_date + 2 AS DATE) AS ingested_date FROM bars""",
+        bars=USER_BARS,
+    ),
+    "stg_klines_late": _with(
+        """SELECT symbol, '1d' AS interval, CAST(trade_date AS TIMESTAMP) AS open_time, trade_date,
+  open, high, low, close, volume, quote_volume, trade_count,
   CAST(trade_date + 2 AS DATE) AS ingested_date FROM bars""",
         bars=USER_BARS,
     ),

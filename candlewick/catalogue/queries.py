@@ -47,6 +47,7 @@ from candlewick.plans.ingest import (
     ingest_markets,
 )
 from candlewick.sources import payloads, raw, reports, snapshot
+from candlewick.sources.bucketed import write_bucketed
 from candlewick.sources.storage import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,7 @@ HOLDOUT = 10
 # Small enough for borders between blocks and between files in the test tables.
 SMALL_BLOCK = 512
 SMALL_FILE = 256
+SMALL_BUCKETS = 8
 
 MART_DIGITS = {
     "daily_return": 8,
@@ -187,6 +189,19 @@ def load_raw(spark, sf_dir):
     return klines.select("symbol", "open_time_ms", "close", "trade_count", "ingested_date")
 
 
+@query("load_raw_increment")
+def load_raw_increment(spark, sf_dir):
+    root, schemas = fresh_path(spark, "raw"), {KLINES_DATASET: RAW_SCHEMAS[KLINES_DATASET]}
+    bars = b.candles(b.user_bars(spark, sf_dir))
+    raw.write_raw(payloads.closed_candles(bars, AS_OF_MS), root, KLINES_DATASET, dt.date(2024, 1, 20))
+    first = raw.load_new(spark, root, schemas, raw.read_marks(spark, root))
+    raw.write_marks(spark, root, raw.high_water(first))
+    raw.write_raw(bars, root, KLINES_DATASET, INGESTED)
+    second = raw.load_new(spark, root, schemas, raw.read_marks(spark, root))
+    both = append_series(first[KLINES_DATASET].filter(F.col("ingested_date") < INGESTED), second[KLINES_DATASET])
+    return both.select("symbol", "open_time_ms", "close", "trade_count", "ingested_date")
+
+
 @query("raw_row_counts")
 def raw_row_counts(spark, sf_dir):
     return raw.row_counts(_loaded(spark, sf_dir))
@@ -215,6 +230,13 @@ def export_snapshot_counts(spark, sf_dir):
     return snapshot.export_snapshot({"mart_market_overview": new}, root)
 
 
+@query("snapshot_extent")
+def snapshot_extent(spark, sf_dir):
+    root = fresh_path(spark, "snapshot")
+    snapshot.publish({"mart_daily_ohlcv": user_mart(spark, sf_dir)}, root, file_rows=SMALL_FILE)
+    return snapshot.extent(spark, root, "mart_daily_ohlcv")
+
+
 @query("report_json")
 def report_json(spark, sf_dir):
     summary = scorecard.freshness(event_mart(spark, sf_dir))
@@ -247,6 +269,15 @@ def stg_klines(spark, sf_dir):
     return staged.withColumn("open_time", F.col("trade_date").cast("timestamp_ntz"))
 
 
+@query("stg_klines_late")
+def stg_klines_late(spark, sf_dir):
+    bars = b.reingested(b.user_bars(spark, sf_dir))
+    in_time = F.datediff("ingested_date", utc_date(F.col("open_time_ms"))) == 1
+    history = write_bucketed(bars.filter(in_time), models.KLINE_KEY, SMALL_BUCKETS)
+    staged = models.clean_klines(models.stg_klines_with_late(history, bars.filter(~in_time)))
+    return staged.withColumn("open_time", F.col("trade_date").cast("timestamp_ntz"))
+
+
 @query("latest_ingestion_wins")
 def latest_ingestion_wins(spark, sf_dir):
     lines = b.table(spark, sf_dir, "lineitem").select(

@@ -22,6 +22,24 @@ def latest_wins(
     return _first_rows(df, keys, [*newest, *tiebreak], 1)
 
 
+def late_wins(history: DataFrame, late: DataFrame, keys: Sequence[str], rank: Sequence[str]) -> DataFrame:
+    """`latest_wins` of history and late rows together, where history has one row per key.
+
+    Of two rows the one with the larger `rank`, compared column by column, wins; NULL is smallest. Keys are not
+    NULL. History that is bucketed by the keys meets the late rows bucket by bucket: only these are shuffled.
+    """
+    best = latest_wins(late.select(*history.columns), keys, [F.desc_nulls_last(name) for name in rank])
+    named = best.select(*keys, F.struct(*best.columns).alias("_late"))
+    old = history.select(*keys, F.struct(*history.columns).alias("_old"))
+
+    def order(row: str) -> Column:
+        return F.struct(*[F.col(row)[name] for name in rank])
+
+    newer = F.col("_old").isNull() | (F.col("_late").isNotNull() & (order("_late") > order("_old")))
+    both = old.join(named, list(keys), "full_outer")
+    return both.select(F.when(newer, F.col("_late")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
+
+
 def last_n_per_key(df: DataFrame, key: str, order: Sequence[Column], n: int) -> DataFrame:
     """The last `n` rows of each key; `order` is ascending time."""
     if n < 1:

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.columns import growth, utc_date
-from candlewick.operators.keyed import latest_wins
+from candlewick.operators.keyed import late_wins, latest_wins
 from candlewick.operators.series import over_series
 
 SHORT_ROWS = 7
 LONG_ROWS = 30
 
 
+KLINE_KEY = ("symbol", "open_time_ms")
 KLINE_VALUES = (
     "close", "open", "high", "low", "volume", "quote_volume", "trade_count", "interval", "open_time",
 )
@@ -35,7 +36,19 @@ def stg_klines(raw: DataFrame, tiebreak: Sequence[Column] | None = None) -> Data
     otherwise; rows that tie even then give the same result.
     """
     ties = _largest(KLINE_VALUES) if tiebreak is None else tiebreak
-    latest = latest_wins(raw, ["symbol", "open_time_ms"], [F.col("ingested_date").desc()], ties)
+    return clean_klines(latest_wins(raw, KLINE_KEY, [F.col("ingested_date").desc()], ties))
+
+
+def stg_klines_with_late(history: DataFrame, late: DataFrame) -> DataFrame:
+    """The raw rows that stg_klines picks after a late ingestion, from those it picked before.
+
+    With a history bucketed by KLINE_KEY only the late rows are shuffled; `clean_klines` makes the model of it.
+    """
+    return late_wins(history, late, KLINE_KEY, ["ingested_date", *KLINE_VALUES])
+
+
+def clean_klines(latest: DataFrame) -> DataFrame:
+    """The staging model from the raw rows that won."""
     return latest.select(
         "symbol",
         "interval",

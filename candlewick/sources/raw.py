@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MARKS = "version bigint, dataset string, day date"
+
 
 def write_raw(
     df: DataFrame,
@@ -56,6 +58,55 @@ def load_raw(
     return tables
 
 
+def load_new(
+    spark: SparkSession,
+    root: str,
+    schemas: Mapping[str, T.StructType | str],
+    marks: Mapping[str, dt.date],
+    again: Sequence[dt.date] = (),
+) -> dict[str, DataFrame]:
+    """What has landed since the marks: partitions of later dates, and those of `again`, days that were re-run.
+
+    The predicate is on the partition column alone, so no other folder is opened. A dataset without a mark is
+    loaded whole.
+    """
+    day = F.col("ingested_date")
+    tables = load_raw(spark, root, schemas)
+    return {
+        name: table.filter((day > F.lit(marks[name])) | day.isin(list(again))) if name in marks else table
+        for name, table in tables.items()
+    }
+
+
+def high_water(tables: Mapping[str, DataFrame], marks: Mapping[str, dt.date] | None = None) -> dict[str, dt.date]:
+    """The last date of each dataset, from its partition column alone; a dataset without rows keeps its mark."""
+    last = {name: table.agg(F.max("ingested_date")).first()[0] for name, table in tables.items()}
+    return {**(marks or {}), **{name: day for name, day in last.items() if day is not None}}
+
+
+def write_marks(spark: SparkSession, root: str, marks: Mapping[str, dt.date]) -> None:
+    """Keep the marks beside the datasets; the newest version counts."""
+    version = max((row.version for row in _marks(spark, root)), default=0) + 1
+    rows = [(version, name, day) for name, day in marks.items()]
+    folder = f"{root}/marks/{version:09d}"
+    spark.createDataFrame(rows, MARKS).coalesce(1).write.mode("error").json(folder)
+
+
+def read_marks(spark: SparkSession, root: str) -> dict[str, dt.date]:
+    rows = _marks(spark, root)
+    newest = max((row.version for row in rows), default=0)
+    return {row.dataset: row.day for row in rows if row.version == newest}
+
+
+def _marks(spark: SparkSession, root: str) -> list:
+    try:
+        return spark.read.schema(MARKS).json(f"{root}/marks/*").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def row_counts(tables: Mapping[str, DataFrame], label: str = "dataset") -> DataFrame:
     """One (name, n) row per table."""
     counts = [

@@ -110,6 +110,13 @@ def files_of(spark: SparkSession, root: str, mart: str) -> DataFrame:
     return spark.read.parquet(next(row.files for row in _current(spark, root) if row.mart == mart))
 
 
+def extent(spark: SparkSession, root: str, mart: str) -> DataFrame:
+    """Rows and least and greatest value of each key column of a mart, from its list of files alone."""
+    files = files_of(spark, root, mart)
+    ends = [(F.min if c.startswith("low_") else F.max)(c).alias(c) for c in files.columns if c[:4] in ("low_", "high")]
+    return files.agg(F.sum("rows").alias("rows"), *ends)
+
+
 def _opened(spark: SparkSession, row, where: Sequence[Column] | None) -> DataFrame:
     files = spark.read.parquet(row.files)
     chosen = reduce(DataFrame.filter, where or [], files)

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from candlewick.operators.keyed import (
     append_series,
     last_n_per_key,
+    late_wins,
     latest_wins,
     merge_fresh_wins,
     top_n_per_key,
 )
 from candlewick.plans import models
+from candlewick.sources.bucketed import write_bucketed
 from candlewick.sources.snapshot import export_snapshot, files_of, publish, read_mart, read_snapshot
 
 DAY = 86_400_000
@@ -225,6 +227,30 @@ def test_pages_open_only_files_of_their_symbol(spark, tmp_path):
         read_mart(spark, root, "unknown")
 
 
+def test_late_rows_meet_bucketed_history(spark):
+    columns = "symbol string, t long, day int, v double"
+    draw = random.Random(2)
+
+    def some(n):
+        rows = [(f"s{draw.randrange(6)}", draw.randrange(5), draw.choice([None, 1, 2]), draw.choice([None, 1.0, 2.0]))
+                for _ in range(n)]
+        return spark.createDataFrame(rows, columns)
+
+    first, late = some(40), some(25)
+    rank = [F.desc_nulls_last("day"), F.desc_nulls_last("v")]
+    history = write_bucketed(latest_wins(first, ["symbol", "t"], rank), ["symbol", "t"], 4)
+    merged = late_wins(history, late, ["symbol", "t"], ["day", "v"])
+    want = latest_wins(first.unionByName(late), ["symbol", "t"], rank)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, want.collect()))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    old = plan.split("FullOuter")[1]
+    # The branch of the history has no exchange; that of the late rows has them all.
+    scan = next(line for line in old.splitlines() if "Bucketed: true" in line)
+    depth = scan.index("FileScan")
+    above = [line for line in old[: old.index(scan)].splitlines() if "Exchange" in line]
+    assert depth and not above
+
+
 def test_daily_is_held_against_the_interval(spark):
     raw = spark.createDataFrame([("A", "1h", dt.date(2025, 1, 1))], "symbol string, interval string, trade_date date")
     columns = ("open", "high", "low", "close", "volume", "quote_volume", "trade_count")

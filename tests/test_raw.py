@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.contracts import ContractError
 from candlewick.plans.ingest import RAW_SCHEMAS, ingest_klines, ingest_markets
-from candlewick.sources.raw import load_raw, row_counts, write_raw
+from candlewick.sources.raw import high_water, load_new, load_raw, read_marks, row_counts, write_marks, write_raw
 
 SCHEMA = "coin_id string, price double, ingested_date date"
 DAY = dt.date(2026, 7, 21)
@@ -102,3 +102,30 @@ def test_a_price_of_zero_lands_nothing(spark, tmp_path, candle_payload):
 def test_no_candles_land_no_partition(spark, tmp_path):
     landed = ingest_klines(payloads(spark, ("A", [])), str(tmp_path), 2_000_000_000_000, DAY)
     assert landed.collect() == [] and files(tmp_path) == []
+
+
+def test_a_second_load_opens_new_folders_only(spark, tmp_path):
+    root, days = str(tmp_path), [dt.date(2026, 7, d) for d in (19, 20, 21)]
+    write_raw(coins(spark, 0.1), root, "markets", days[0])
+    write_raw(coins(spark, 0.2), root, "markets", days[1])
+    assert read_marks(spark, root) == {}
+    first = load_new(spark, root, {"markets": SCHEMA}, {})
+    write_marks(spark, root, high_water(first))
+    assert read_marks(spark, root) == {"markets": days[1]}
+    seen = first["markets"].collect()
+    write_raw(coins(spark, 0.3), root, "markets", days[2])
+    second = load_new(spark, root, {"markets": SCHEMA}, read_marks(spark, root))["markets"]
+    scan = second._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingested_date" in scan
+    assert {row.ingested_date for row in second.collect()} == {days[2]}
+    whole = load_raw(spark, root, {"markets": SCHEMA})["markets"]
+    assert sorted(seen + second.collect()) == sorted(whole.collect())
+    write_raw(coins(spark, 0.4), root, "markets", days[0])  # a day is run again
+    again = load_new(spark, root, {"markets": SCHEMA}, read_marks(spark, root), [days[0]])["markets"]
+    assert {row.ingested_date for row in again.collect()} == {days[0], days[2]}
+
+
+def test_marks_of_datasets_without_rows_stay(spark, tmp_path):
+    nothing = {"markets": spark.createDataFrame([], SCHEMA)}
+    assert high_water(nothing, {"markets": DAY, "klines": DAY}) == {"markets": DAY, "klines": DAY}
+    assert high_water(nothing) == {}
