@@ -814,6 +814,10 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms DESC) <= 7"
         ),
         bars=USER_BARS,
     ),
+    "test_unique_increment": """
+SELECT l_orderkey, l_linenumber, CAST(2 AS BIGINT) AS n FROM lineitem
+WHERE l_orderkey % 10 = 0 GROUP BY l_orderkey, l_linenumber
+HAVING min(date_trunc('month', l_shipdate)) < DATE '2001-01-01'""",
     "test_unique": _on_markets(
         _results(
             [

@@ -66,6 +66,7 @@ DOMINANT = "0"
 HOLDOUT = 10
 # Small enough for borders between blocks and between files in the test tables.
 SMALL_BLOCK = 512
+NEW_MONTH = dt.date(2001, 1, 1)
 SMALL_FILE = 256
 SMALL_BUCKETS = 8
 
@@ -575,6 +576,18 @@ def test_unique_combination(spark, sf_dir):
     )
 
 
+@query("test_unique_increment")
+def test_unique_increment(spark, sf_dir):
+    """Keys of the last ship days against those of all days before, of which every tenth key occurs again."""
+    day, keys = F.to_date("l_shipdate"), ["l_orderkey", "l_linenumber"]
+    lines = b.table(spark, sf_dir, "lineitem").select(*keys, F.trunc(day, "month").alias("month"))
+    firsts = lines.groupBy(*keys).agg(F.min("month").alias("month"))
+    old = stored(firsts.filter(F.col("month") < NEW_MONTH), "old-lines")
+    again = old.filter("l_orderkey % 10 = 0").withColumn("month", F.lit(NEW_MONTH))
+    new = firsts.filter(F.col("month") >= NEW_MONTH).unionByName(again)
+    return checks.unique_since(new, old, checks.key_filters(old, keys, "month"), keys, "month")
+
+
 @query("test_unique")
 def test_unique(spark, sf_dir):
     days = overview(spark, sf_dir)

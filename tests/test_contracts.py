@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,3 +187,20 @@ def test_staging_runs_its_input_once(spark):
     contract = Contract("numbers", (Field("id", T.LongType(), above=-1),), unique=("id",))
     assert stage_checked(spark.range(50).select(counted("id").alias("id")), contract, "numbers").count() == 50
     assert ran.value == 50
+
+
+@pytest.mark.parametrize("bits", [1 << 23, 1 << 16])
+def test_incremental_uniqueness_equals_the_whole(spark, monkeypatch, bits):
+    """A filter that is nearly full only lets more keys through to the comparison."""
+    monkeypatch.setattr(checks, "FILTER_BITS", bits)
+    draw = random.Random(bits)
+    names = ["a", "b", None]
+    keys = {(draw.choice(names), i) for i in range(300)}
+    old = [(k, i, draw.choice([1, 2, 3, None])) for k, i in sorted(keys, key=str)[:200]]
+    new = [(draw.choice(names), draw.randrange(400), 4) for _ in range(80)] + [(None, None, 4)] * 2
+    history, fresh = (spark.createDataFrame(rows, "k string, i int, day int") for rows in (old, new))
+    filters = checks.key_filters(history, ["k", "i"], "day")
+    got = checks.unique_since(fresh, history, filters, ["k", "i"], "day")
+    want = checks.unique(history.unionByName(fresh), ["k", "i"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 5
+    assert checks.unique_since(fresh.limit(0), history, filters, ["k", "i"], "day").count() == 0
