@@ -9,6 +9,7 @@ prefix keeps its lines and the others, the later copies, lose them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from candlewick.sources.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 DOC = ["doc_id", "th"]
+#: Suffixes with the same first lines that one task compares.
+GROUP = 1024
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -89,10 +92,10 @@ def suffix_ranks(ids: DataFrame, longest: int) -> DataFrame:
 
 
 def _starts(stretches: DataFrame, min_words: int) -> DataFrame:
-    """(sid, i, left, head, ahead) of every suffix with `min_words` words in its stretch.
+    """(sid, i, left, lines, head, ahead) of every suffix with `min_words` words in its stretch.
 
-    left: lines to the end of the stretch; head: digest of the fewest lines with so many words; ahead: the
-    ids of those lines and of the next ones, up to `min_words` words more. As each line that begins
+    left: lines to the end of the stretch; lines, head: number and digest of the fewest lines with so many words;
+    ahead: the ids of those lines and of the next ones, up to `min_words` words more. As each line that begins
     `min_words` repeated words is looked at, comparing so far finds every line of every repeated run.
     """
 
@@ -116,13 +119,14 @@ def _starts(stretches: DataFrame, min_words: int) -> DataFrame:
                         "sid": pa.array(np.full(len(some), sid)),
                         "i": pa.array(some.astype(np.int32)),
                         "left": pa.array((n - some).astype(np.int32)),
+                        "lines": pa.array((head[some] - some).astype(np.int32)),
                         "head": pa.array(first, pa.binary()),
                         "ahead": pa.array(ahead, pa.binary()),
                     }
                 )
 
     return stretches.select("sid", "h", "g", "words").mapInArrow(
-        run, "sid long, i int, left int, head binary, ahead binary"
+        run, "sid long, i int, left int, lines int, head binary, ahead binary"
     )
 
 
@@ -180,6 +184,31 @@ def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _split(order: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(matches across the parts of large groups, suffixes in groups of at most GROUP that share a `head`).
+
+    A group of suffixes with the same first lines is an interval of the suffix array. In a large one all but the
+    earliest match it by those lines; the group is then cut into the intervals of one line more, and so on until each
+    is small or has no further line to compare. What a suffix shares with its own part is found there.
+    """
+    matches = order.limit(0).select("sid", "i", F.col("lines").alias("n"))
+    calm, rows, depth = [], order, 0
+    while True:
+        groups = rows.groupBy("head").agg(F.count("*").alias("n"), F.min(F.struct("sid", "i")).alias("first"))
+        large = stored(groups.filter(F.col("n") > GROUP).select("head", "first"), "large-groups")
+        if large.isEmpty():
+            return matches, reduce(DataFrame.unionByName, [*calm, rows])
+        calm.append(rows.join(large.select("head"), "head", "left_anti"))
+        rows = stored(rows.join(large, "head"), "large-group-rows")
+        alike = F.col("lines") + depth
+        later = rows.filter((F.col("sid") != F.col("first.sid")) | (F.col("i") != F.col("first.i")))
+        matches = matches.unionByName(later.select("sid", "i", alike.alias("n")))
+        depth += 1
+        size = 12 * (F.col("lines") + depth)
+        more = rows.drop("first").filter(F.length("ahead") >= size)
+        rows = more.withColumn("head", F.unhex(F.md5(F.substring("ahead", F.lit(1), size))))
+
+
 def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """(doc_id, th, seq, n): n lines from line seq on that are a later copy; th is the text's hash.
 
@@ -202,9 +231,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     whole = starts.join(others, F.col("rank") == F.col("r"))
     whole = whole.filter("sid <> sid_1 OR i <> i_1").select("sid", "i", F.col("left").alias("n"))
     order = starts.join(first.drop("r"), ["sid", "i"])
-    order = order.select("sid", "i", "rank", "head", "ahead").repartition("head")
-    part = order.sortWithinPartitions("head", "rank").mapInArrow(_intervals, "sid long, i int, n int")
-    found = whole.unionByName(part)
+    deep, order = _split(order.select("sid", "i", "rank", "lines", "head", "ahead"))
+    order = order.repartition("head").sortWithinPartitions("head", "rank")
+    part = order.select("sid", "i", "head", "ahead").mapInArrow(_intervals, "sid long, i int, n int")
+    found = whole.unionByName(part).unionByName(deep)
     place = stretches.select("sid", *DOC, "seq")
     return found.join(place, "sid").select(*DOC, (F.col("seq") + F.col("i")).alias("seq"), "n")
 

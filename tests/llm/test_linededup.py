@@ -39,8 +39,9 @@ def random_docs(rng, n, letters):
     return docs
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_equals_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "group"), [(1, 1024), (2, 1), (3, 4)])
+def test_equals_brute_force(spark, monkeypatch, seed, group):
+    monkeypatch.setattr(linededup, "GROUP", group)
     rng = random.Random(seed)
     letters = [" ".join([c] * rng.randint(1, 6)) for c in "abcdefgh"[: 3 + 2 * seed]]
     docs = random_docs(rng, 30, letters)
