@@ -3,7 +3,7 @@
 A term is a run of letters and digits in lower case; it is told from others by `CODES` values of its hash, and
 terms that share a value count as one. The lexicon holds the terms whose inverse document frequency, the
 binary logarithm of documents over documents with the term, lies in a band. Its lower edge drops words
-that say nothing, its upper edge rare ones such as misspellings. Every share of all documents has a place for a
+that say nothing, also those of a language with a few hundredths of the documents, its upper edge rare ones. Every share of all documents has a place for a
 bounded number of terms only, and there are `CODES` at most, so the lexicon stays small enough to be sent to every task.
 
 The terms that a text has of the lexicon are made distinct, sorted and hashed. This is done for the whole lexicon
@@ -147,7 +147,7 @@ def _otherwise(own: Column, text: Column) -> Column:
     return F.when(F.size(own) > 0, F.xxhash64(F.sort_array(own))).otherwise(F.xxhash64(text))
 
 
-def fingerprints(docs: DataFrame, idf_low: int = 4, idf_high: int = 10) -> DataFrame:
+def fingerprints(docs: DataFrame, idf_low: int = 6, idf_high: int = 10) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
     band = lexicon(docs, idf_low, idf_high)
     both = edited(docs).select(

@@ -124,4 +124,4 @@ def test_line_dedup(spark, texts):
 def test_fingerprints(spark, texts):
     from test_imatch import brute, result
 
-    assert result(QUERIES["op11_fingerprints"](spark, SF_DIR)) == brute(sorted(texts.items()), 4, 10)
+    assert result(QUERIES["op11_fingerprints"](spark, SF_DIR)) == brute(sorted(texts.items()), 6, 10)

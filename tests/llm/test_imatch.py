@@ -103,7 +103,7 @@ def test_equals_brute_force(spark, low, high):
 
 def test_one_document_follows_itself(spark):
     docs = [(5, "one two three four")]
-    assert result(imatch.fingerprints(spark.createDataFrame(docs, SCHEMA))) == brute(docs, 4, 10)
+    assert result(imatch.fingerprints(spark.createDataFrame(docs, SCHEMA))) == brute(docs, 6, 10)
 
 
 def test_no_documents(spark):
@@ -115,7 +115,7 @@ def test_likeness_follows_the_shared_part(spark):
     draw = random.Random(9)
     docs = [(i, " ".join(f"t{draw.randrange(3000)}" for _ in range(200))) for i in range(300)]
     docs += [(300 + i, docs[-1][1]) for i in range(3)]
-    rows = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(docs, SCHEMA)).collect()}
+    rows = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(docs, SCHEMA), 3, 10).collect()}
     assert rows[299].near_next == rows[300].near_next == 1.0
     assert rows[299].fingerprint == rows[302].fingerprint
     others = [rows[i] for i in range(299)]
