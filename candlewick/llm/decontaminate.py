@@ -4,11 +4,15 @@ Word shingles of documents that also occur in a benchmark item are seeds. A roll
 may match, an equality join on the shingle settles it. On a pair's seeds, greedy string tiling marks the
 longest common run of words that no other run has taken, again and again; a pair counts when the marked
 words cover enough of the item, in whatever order they stand.
+
+The longest run is found by running Karp-Rabin matching: windows of unmarked seeds of one length are hashed on both
+sides, equal ones are compared and extended, and the length is raised when a match is far longer and halved when there
+is none. The places of a seed in the document and in the item stay apart, so a pair needs memory for their sum, not
+their product.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +25,8 @@ from candlewick.sources.storage import stored
 
 FILTER_BITS = 1 << 24  # of the filter of the benchmark's shingles: 2 MB, however many there are
 FILTER_ROW = 1 << 15
+SEARCH = 20  # seeds in the windows that the search for a pair's longest run begins with
+BASE, PRIME = 1_000_003, (1 << 61) - 1  # of the rolling hash
 
 
 def _folded(column: pa.Array) -> list[bytes]:
@@ -71,78 +77,123 @@ def _filter(items: DataFrame) -> np.ndarray:
 
 
 def _seeds(docs: DataFrame, bits: np.ndarray, lengths: list[int]) -> DataFrame:
-    """(doc_id, th, dpos, k, gram) of every shingle of every document that passes the filter."""
+    """(doc_id, th, k, gram, dpos[]) of the shingles of every document that pass the filter, with their places."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             ids, names = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
             texts = _folded(batch.column("text"))
-            out: dict[str, list] = {c: [] for c in ("doc_id", "th", "dpos", "k", "gram")}
+            places: dict[tuple, list[int]] = {}
             for at, hashes, (starts, ends) in batch_word_hashes(texts, ALNUM):
                 for k in lengths:
                     slot = (shingle_hashes(hashes, k) % np.uint64(FILTER_BITS)).astype(np.int64)
                     for p in np.flatnonzero(shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1):
                         words = [texts[at][s:e] for s, e in zip(starts[p : p + k], ends[p : p + k], strict=True)]
-                        out["doc_id"].append(ids[at])
-                        out["th"].append(names[at])
-                        out["dpos"].append(int(p))
-                        out["k"].append(k)
-                        out["gram"].append(b" ".join(words).decode())
+                        places.setdefault((at, k, b" ".join(words)), []).append(int(p))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": pa.array(out["doc_id"], pa.int64()),
-                    "th": pa.array(out["th"], pa.int64()),
-                    "dpos": pa.array(out["dpos"], pa.int32()),
-                    "k": pa.array(out["k"], pa.int32()),
-                    "gram": pa.array(out["gram"], pa.string()),
+                    "doc_id": pa.array([ids[at] for at, _, _ in places], pa.int64()),
+                    "th": pa.array([names[at] for at, _, _ in places], pa.int64()),
+                    "k": pa.array([k for _, k, _ in places], pa.int32()),
+                    "gram": pa.array([gram.decode() for _, _, gram in places], pa.string()),
+                    "dpos": pa.array(list(places.values()), pa.list_(pa.int32())),
                 }
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    return rows.mapInArrow(run, "doc_id long, th long, dpos int, k int, gram string")
-
-
-def runs(dpos: np.ndarray, ipos: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(length in words, place in document, place in item) of the longest runs of matching seeds."""
-    points = np.unique(np.stack([dpos - ipos, dpos], axis=1), axis=0)
-    diagonal, at = points[:, 0], points[:, 1]
-    fresh = np.concatenate(([True], (np.diff(diagonal) != 0) | (np.diff(at) != 1)))
-    low = np.flatnonzero(fresh)
-    size = np.diff(np.concatenate((low, [len(at)])))
-    return [
-        (int(n) + k - 1, int(d), int(d - g))
-        for n, d, g in zip(size, at[low], diagonal[low], strict=True)
-    ]
-
-
-def tile(found: list[tuple[int, int, int]], n_item: int, k: int) -> list[tuple[int, int, int]]:
-    """Tiles by greedy choice: the longest run first, ties by place; runs lose what others have marked.
-
-    A run that loses words goes back to the queue in pieces of at least k words.
+    return rows.mapInArrow(run, "doc_id long, th long, k int, gram string, dpos array<int>")
+
+
+class _Side:
+    """Seeds of one text in order: their places, numbers and which of them no tile has touched."""
+
+    def __init__(self, places: list[int], seeds: list[int]):
+        order = np.argsort(places, kind="stable")
+        self.at = np.array(places, dtype=np.int64)[order]
+        self.seed = np.array(seeds, dtype=np.int64)[order]
+        self.free = np.ones(len(order), dtype=bool)
+
+    def windows(self, size: int) -> list[tuple[int, int]]:
+        """(hash, index) of every run of `size` neighbouring free seeds, by a rolling hash."""
+        top, out, value, n = pow(BASE, size, PRIME), [], 0, 0
+        at, seed, free = self.at.tolist(), self.seed.tolist(), self.free.tolist()
+        for i, x in enumerate(seed):
+            if not free[i]:
+                value = n = 0
+                continue
+            if n and at[i] != at[i - 1] + 1:
+                value = n = 0
+            value, n = (value * BASE + x + 1) % PRIME, n + 1
+            if n > size:
+                value = (value - top * (seed[i - size] + 1)) % PRIME
+            if n >= size:
+                out.append((value, i - size + 1))
+        return out
+
+    def follows(self, i: int) -> bool:
+        """Whether the seed of index i is free and stands next to the one before."""
+        return i < len(self.at) and bool(self.free[i]) and self.at[i] == self.at[i - 1] + 1
+
+    def is_free(self, i: int, size: int) -> bool:
+        return bool(self.free[i : i + size].all())
+
+    def mark(self, i: int, size: int, k: int) -> None:
+        """Take the words of `size` seeds from index i on; every seed that has one of them goes."""
+        first = self.at[i]
+        low, high = np.searchsorted(self.at, (first - k + 1, first + size + k - 1))
+        self.free[low:high] = False
+
+
+def _longest(doc: _Side, item: _Side, size: int) -> tuple[int, list[tuple[int, int]]]:
+    """(length, pairs of indices) of the longest common runs of free seeds; `size` is where the search begins."""
+    while size:
+        table: dict[int, list[int]] = {}
+        for value, i in item.windows(size):
+            table.setdefault(value, []).append(i)
+        best, found = 0, []
+        for value, d in doc.windows(size):
+            for i in table.get(value, ()):
+                if not np.array_equal(doc.seed[d : d + size], item.seed[i : i + size]):
+                    continue
+                n = size
+                while doc.follows(d + n) and item.follows(i + n) and doc.seed[d + n] == item.seed[i + n]:
+                    n += 1
+                if n > best:
+                    best, found = n, []
+                if n == best:
+                    found.append((d, i))
+            if best > 2 * size:
+                break
+        if best > 2 * size:
+            size = best  # far longer: with longer windows fewer places are compared
+        elif best:
+            return best, found
+        else:
+            size //= 2
+    return 0, []
+
+
+def tile(places: list[tuple[list[int], list[int]]], k: int) -> list[tuple[int, int, int]]:
+    """(words, place in document, place in item) of the tiles, the longest first, ties by place.
+
+    `places` has for each seed of k words where it stands in the document and in the item.
     """
-    if not found:
-        return []
-    base = min(d for _, d, _ in found)
-    in_doc = np.zeros(max(d + n for n, d, _ in found) - base, dtype=bool)
-    in_item = np.zeros(n_item, dtype=bool)
-    queue = [(-n, d, i) for n, d, i in found]
-    heapq.heapify(queue)
-    tiles = []
-    while queue:
-        n, d, i = heapq.heappop(queue)
-        n = -n
-        taken = in_doc[d - base : d - base + n] | in_item[i : i + n]
-        if not taken.any():
-            in_doc[d - base : d - base + n] = True
-            in_item[i : i + n] = True
-            tiles.append((n, d, i))
-            continue
-        edge = np.diff(np.concatenate(([1], taken.astype(np.int8), [1])))
-        for a, b in zip(np.flatnonzero(edge == -1), np.flatnonzero(edge == 1), strict=True):
-            if b - a >= k:
-                heapq.heappush(queue, (-int(b - a), d + int(a), i + int(a)))
-    return tiles
+    sides = []
+    for side in (0, 1):
+        pairs = [(p, seed) for seed, both in enumerate(places) for p in both[side]]
+        sides.append(_Side([p for p, _ in pairs], [s for _, s in pairs]))
+    doc, item = sides
+    tiles, size = [], SEARCH
+    while True:
+        size, found = _longest(doc, item, size)
+        if not size:
+            return tiles
+        for d, i in sorted(found):
+            if doc.is_free(d, size) and item.is_free(i, size):
+                tiles.append((size + k - 1, int(doc.at[d]), int(item.at[i])))
+                doc.mark(d, size, k)
+                item.mark(i, size, k)
 
 
 def contaminated(
@@ -158,19 +209,23 @@ def contaminated(
     items = stored(_items(benchmark, shingle), "items")
     lengths = sorted(k for (k,) in items.select("k").distinct().collect())
     seeds = _seeds(docs, _filter(items), lengths)
+    of_item = items.groupBy("item_id", "ih", "k", "n_item", "gram").agg(F.collect_list("ipos").alias("ipos"))
     points = (
-        seeds.join(items.drop("h"), ["gram", "k"])
+        seeds.join(of_item, ["gram", "k"])
         .groupBy("doc_id", "th", "item_id", "ih", "k", "n_item")
-        .agg(F.collect_list("dpos").alias("dpos"), F.collect_list("ipos").alias("ipos"))
-        .filter(F.size(F.array_distinct("ipos")) * F.col("k") >= coverage * F.col("n_item"))
+        # As a set, since repeated rows bring the same places again.
+        .agg(F.collect_set(F.struct("dpos", "ipos")).alias("places"))
+        .filter(
+            F.aggregate("places", F.lit(0), lambda n, x: n + F.size(x["ipos"])) * F.col("k")
+            >= coverage * F.col("n_item")
+        )
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = {c: [] for c in ("doc_id", "item_id", "coverage", "tiles", "longest", "th")}
             for row in batch.to_pylist():
-                at = runs(np.array(row["dpos"]), np.array(row["ipos"]), row["k"])
-                tiles = tile(at, row["n_item"], row["k"])
+                tiles = tile([(x["dpos"], x["ipos"]) for x in row["places"]], row["k"])
                 share = sum(n for n, _, _ in tiles) / row["n_item"]
                 if share < coverage:
                     continue

@@ -1,7 +1,6 @@
 import random
 import re
 
-import numpy as np
 import pytest
 
 from candlewick.llm import decontaminate as dc
@@ -34,17 +33,36 @@ def brute_tiles(doc, item, k):
         marked_i[i : i + n] = [True] * n
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_tiles_equal_definition(seed):
+def places(doc, item, k):
+    def where(text):
+        out = {}
+        for p in range(len(text) - k + 1):
+            out.setdefault(tuple(text[p : p + k]), []).append(p)
+        return out
+
+    in_doc, in_item = where(doc), where(item)
+    return [(in_doc[gram], in_item[gram]) for gram in in_doc if gram in in_item]
+
+
+@pytest.mark.parametrize("seed", range(12))
+@pytest.mark.parametrize("search", [1, 2, 20])
+def test_tiles_equal_definition(monkeypatch, seed, search):
+    monkeypatch.setattr(dc, "SEARCH", search)
     rng = random.Random(seed)
-    item = [rng.choice("abc") for _ in range(25)]
-    doc = [rng.choice("abc") for _ in range(60)]
+    letters = "abc" if seed % 2 else "ab"
+    item = [rng.choice(letters) for _ in range(25)]
+    doc = [rng.choice(letters) for _ in range(60)]
+    if seed > 6:
+        cut = rng.randrange(25)
+        doc[10:10] = item[cut:] + item[:cut]
     k = 3
-    points = [
-        (d, i) for d in range(len(doc) - k + 1) for i in range(len(item) - k + 1) if doc[d : d + k] == item[i : i + k]
-    ]
-    at = dc.runs(np.array([p[0] for p in points]), np.array([p[1] for p in points]), k)
-    assert dc.tile(at, len(item), k) == brute_tiles(doc, item, k)
+    assert dc.tile(places(doc, item, k), k) == brute_tiles(doc, item, k)
+
+
+def test_repeated_words_need_no_product_of_places():
+    doc, item = ["r"] * 20_000, ["r"] * 200 + ["s"] * 5
+    tiles = dc.tile(places(doc, item, 5), 5)
+    assert tiles == [(200, 0, 0)]
 
 
 def test_pairs_equal_brute_force(spark):
