@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import sliced, split_by
@@ -207,13 +207,12 @@ def write_archives(
     return stored(rows.mapInArrow(run, "path string, records long, bytes long"), "warc-files")
 
 
-def read_archives(spark: SparkSession, paths: list[str], payloads: bool = True) -> DataFrame:
-    """The records of the files as RECORD columns; without `payloads` these are null. No files, no rows.
+def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records of the files (path, any other columns) as RECORD columns; without `payloads` these are null.
 
-    A file is read whole by one task; its size is bounded by the writer. Broken files raise.
+    The list of files stays a table: tasks open the files of their rows. A file is read whole by one task; its size is
+    bounded by the writer. Broken files raise. No files, no rows.
     """
-    if not paths:
-        return spark.createDataFrame([], RECORD)
     schema = pa.schema([
         ("record_type", pa.string()), ("record_id", pa.string()), ("page_id", pa.int64()), ("url", pa.string()),
         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()),
@@ -222,9 +221,12 @@ def read_archives(spark: SparkSession, paths: list[str], payloads: bool = True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for path in batch.column("path").to_pylist():
+                store, name = pyarrow.fs.FileSystem.from_uri(path)
+                with store.open_input_stream(name, compression=None) as source:
+                    content = source.read()
                 rows, size = [], 0
-                for data in frames(content.as_py()):
+                for data in frames(content):
                     row = parse_record(data)
                     if not payloads:
                         row["payload"] = None
@@ -235,13 +237,12 @@ def read_archives(spark: SparkSession, paths: list[str], payloads: bool = True)
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, RECORD)
+    # By number, as a path is far smaller than what it names.
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path").repartition(parts, "path").mapInArrow(run, RECORD)
 
 
 def archived(pages: DataFrame) -> DataFrame:
     """Write the pages to a new folder among the shared ones and read their records back, without payloads."""
-    spark = pages.sparkSession
-    files = write_archives(pages, fresh_path(spark, "warc"))
-    # One name for every FILE_BYTES of archive: the listing any reader of files needs.
-    paths = [r.path for r in files.select("path").toLocalIterator()]
-    return read_archives(spark, paths, payloads=False)
+    files = write_archives(pages, fresh_path(pages.sparkSession, "warc"))
+    return read_archives(files, payloads=False)
