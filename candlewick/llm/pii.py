@@ -84,20 +84,37 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 
+# The first digits of card issuers, each with the digits that may follow.
+ISSUERS = (
+    "4[0-9]{12}(?:[0-9]{3}){0,2}",
+    "5[1-5][0-9]{14}",
+    "2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}",
+    "3[47][0-9]{13}",
+    "3(?:0[0-5]|[689][0-9])[0-9]{11,16}",
+    "35(?:2[89]|[3-8][0-9])[0-9]{12,15}",
+    "6(?:011|4[4-9][0-9]|5[0-9]{2})[0-9]{12,15}",
+    "62[0-9]{14,17}",
+    "(?:5018|5020|5038|5893|6304|6759|676[1-3])[0-9]{9,15}",
+)
+ISSUED = f"^(?:{'|'.join(ISSUERS)})$"
+
+
 def _card(entity: Column) -> Column:
-    """(at, size) of the card number among the digits of an entity; null without a right check digit."""
+    """(at, size) of the card number among the digits of an entity.
+
+    Null without digits that an issuer gives out, in its length and with a right check digit.
+    """
     digits = _digits(entity)
     n, fours = F.length(digits), _whole(entity, FOURS)
     spans = [(0, n, n <= 19), (0, F.lit(16), fours & (n > 16)), (4, F.lit(16), fours & (n >= 20)),
              (4, F.lit(19), fours & (n == 23))]
+
+    def valid(at: int, size: Column, fits: Column) -> Column:
+        number = F.substr(digits, F.lit(at + 1), size)
+        return fits & number.rlike(ISSUED) & (_luhn(number) == 0)
+
     return F.coalesce(
-        *[
-            F.when(
-                fits & (_luhn(F.substr(digits, F.lit(at + 1), size)) == 0),
-                F.struct(F.lit(at).alias("at"), size.alias("size")),
-            )
-            for at, size, fits in spans
-        ]
+        *[F.when(valid(at, size, fits), F.struct(F.lit(at).alias("at"), size.alias("size"))) for at, size, fits in spans]
     )
 
 

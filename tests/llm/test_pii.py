@@ -148,3 +148,23 @@ def test_numbers_with_a_country_code(spark):
     assert both[1:] == (2, "card,phone") and "1111 1111" not in both[0] and "23 45 67" not in both[0]
     assert none == ("+1 2 3 or +20 % or 3+4567890", 0, "")
     assert len({re.sub("[^0-9]", "", p) for p in same[0].split(" and ")}) == 1
+
+
+def test_only_numbers_of_issuers_are_cards(spark):
+    def with_check_digit(start):
+        total = 0
+        for i, c in enumerate(reversed(start)):
+            d = int(c) * (2 if i % 2 == 0 else 1)
+            total += d - 9 if d > 9 else d
+        return start + str(-total % 10)
+
+    cards = [with_check_digit(s) for s in (
+        "411111111111111", "411111111111", "550000000000000", "222100000000000", "37828224631000", "3056930902590",
+        "353011133330000", "601111111111111", "620000000000000", "676100000000",
+    )]
+    others = [with_check_digit(s) for s in (
+        "341731008686921", "753678412781305", "999999999999999", "222000000000000", "100000000000000", "5500000000000",
+    )]
+    rows = [(i, f"no {n} here") for i, n in enumerate(cards + others)]
+    found = pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    assert {r.doc_id: r.n_entities for r in found} == {i: int(i < len(cards)) for i in range(len(rows))}
