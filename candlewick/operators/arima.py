@@ -26,7 +26,7 @@ from candlewick.functions.arma import (
 )
 from candlewick.operators.features import KEY, TIME
 from candlewick.operators.forecast import MIN_EXTRA_ROWS
-from candlewick.operators.series import overlapping_blocks, sorted_rows
+from candlewick.operators.series import overlapping_blocks, sorted_rows, spread
 from candlewick.sources.storage import stored
 
 ORDER = (1, 1, 1)
@@ -141,7 +141,7 @@ def _read(blocks: DataFrame, state: DataFrame, p: int, d: int, q: int, block_row
         )
 
     given = blocks.withColumnRenamed("_block", "place").join(state.select(*KEY, "points"), KEY)
-    return given.mapInPandas(read, f"{KEY[0]} {symbol}, {PART}")
+    return spread(given, *KEY, "place").mapInPandas(read, f"{KEY[0]} {symbol}, {PART}")
 
 
 def _gathered(read: DataFrame, longest: int, p: int, d: int, q: int) -> DataFrame:
@@ -221,4 +221,4 @@ def _composed(
         "pred array<double>, failed array<boolean>, converged array<boolean>"
     )
     given = state.select(*KEY, "tail", "points").join(read, KEY)
-    return given.mapInPandas(compose, schema)
+    return spread(given, *KEY).mapInPandas(compose, schema)

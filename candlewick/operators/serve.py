@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.series import sorted_rows
+from candlewick.sources.storage import stored
 
 
 def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,7 +77,9 @@ def describe_by(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     a key of any size between tasks; a quartile is then two row numbers, picked by join.
     """
     entries = F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in columns])
-    long = df.select(F.col(key).alias("key"), F.inline(entries))
+    # Sorting by range reads its input twice.
+    given = stored(df.select(F.col(key).alias("key"), *columns), "described")
+    long = given.select("key", F.inline(entries))
     # A key without values has a row all the same.
     rows = sorted_rows(long, ["key", "name"], ["value"])
     value = F.col("value")
