@@ -67,3 +67,18 @@ def test_odd_rows(spark):
     assert got == brute(rows, 100, 10)
     assert topk.top_k(frame.limit(0)).count() == 0
     assert topk.top_k(frame.filter("vec_id = 200")).count() == 0
+
+
+def test_only_hopeful_ranges_are_written(spark, monkeypatch):
+    """In clustered vectors few pairs of a query and a range outlive the query's own range."""
+    monkeypatch.setattr(topk, "RANGE", 32)
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    written, hopeful = [], topk._hopeful
+    monkeypatch.setattr(topk, "_hopeful", lambda *a: written.append(hopeful(*a)) or written[-1])
+    rng = np.random.default_rng(6)
+    centres = np.where(rng.random((16, 12)) < 0.5, -1.0, 1.0)
+    rows = [(i, [float(x) for x in centres[i % 16] + 0.05 * rng.normal(size=12)]) for i in range(1600)]
+    got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert got == brute(rows, 100, 10)
+    queries, ranges = 16, 1600 // 32
+    assert written[0].count() < 0.2 * queries * ranges
