@@ -14,6 +14,8 @@ from candlewick.sources.raw import write_raw
 
 KLINES_DATASET = "klines"
 MARKETS_DATASET = "markets"
+# Folders that the symbols of one date are dealt to.
+FOLDERS = 256
 
 
 def raw_schema(contract: Contract) -> T.StructType:
@@ -33,15 +35,17 @@ def ingest_klines(
     as_of_ms: int,
     ingested_date: dt.date,
     interval: str = "1d",
+    folders: int | None = FOLDERS,
 ) -> DataFrame:
     """Parse, drop open candles, check and land all symbols at once; (symbol, rows) landed.
 
     The contract gates the whole batch: nothing lands if any rule breaks. The payloads are parsed once, into
-    a stage that counts broken rules as it is written; what lands is read from there.
+    a stage that counts broken rules as it is written; what lands is read from there. A run replaces what the date
+    holds of its symbols. These share `folders`, see `write_raw`; None gives each a folder of its own.
     """
     candles = closed_candles(parse_klines(payloads, interval), as_of_ms)
     checked = stage_checked(candles, KLINES, "klines")
-    write_raw(checked, root, KLINES_DATASET, ingested_date, unit="symbol")
+    write_raw(checked, root, KLINES_DATASET, ingested_date, unit="symbol", folders=folders)
     return checked.groupBy("symbol").agg(F.count("*").alias("rows"))
 
 

@@ -74,6 +74,42 @@ def test_ingest_lands_every_symbol_at_once(spark, tmp_path, candle_payload):
     assert {row.ingested_date for row in klines.collect()} == {DAY}
 
 
+def test_many_symbols_share_folders(spark, tmp_path, candle_payload):
+    names = [f"S{i:03}" for i in range(300)]
+    raw = payloads(spark, *[(name, candle_payload[:1]) for name in names])
+    landed = ingest_klines(raw, str(tmp_path), 2_000_000_000_000, DAY, folders=4)
+    assert landed.count() == 300
+    assert len(list((tmp_path / "klines" / f"ingested_date={DAY}").iterdir())) == 4
+    klines = load_raw(spark, str(tmp_path), RAW_SCHEMAS)["klines"]
+    assert set(klines.columns) == set(RAW_SCHEMAS["klines"].names)
+    assert sorted(row.symbol for row in klines.collect()) == names
+
+
+def test_a_rerun_in_shared_folders_keeps_other_symbols_and_dates(spark, tmp_path):
+    schema = "close double, ingested_date date, symbol string"
+    later = DAY + dt.timedelta(days=1)
+
+    def land(day, rows):
+        write_raw(spark.createDataFrame(rows, "symbol string, close double"), str(tmp_path), "klines", day, "symbol", 2)
+
+    land(DAY, [("007", 1.0), ("007", 1.5), ("42", 2.0), ("a", 3.0), (None, 4.0)])
+    land(later, [("42", 5.0)])
+    land(DAY, [("42", 6.0), ("b", 7.0), (None, 8.0)])
+    loaded = load_raw(spark, str(tmp_path), {"klines": schema})["klines"]
+    assert sorted(map(str, loaded.select("ingested_date", "symbol", "close").collect())) == sorted(
+        f"Row(ingested_date={day!r}, symbol={symbol!r}, close={close})"
+        for day, symbol, close in [
+            (DAY, "007", 1.0),
+            (DAY, "007", 1.5),
+            (DAY, "42", 6.0),
+            (DAY, "a", 3.0),
+            (DAY, "b", 7.0),
+            (DAY, None, 8.0),
+            (later, "42", 5.0),
+        ]
+    )
+
+
 def test_a_broken_batch_lands_nothing(spark, tmp_path, candle_payload):
     bad = [list(candle) for candle in candle_payload]
     bad[1][2] = "1.0"  # high below low
