@@ -7,8 +7,6 @@ sums, see `functions.arma`; every step of the holdout gets its own best candidat
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,6 +31,10 @@ ORDER = (1, 1, 1)
 BLOCK_ROWS = 2048
 TOGETHER = 128  # blocks that a task reads in lockstep
 FOLD = 64  # blocks that one row holds the sums of
+# A task of Python holds one group of rows at a time. Groups are cut from the sorted rows of all series, which bounds
+# them whatever the number of series is.
+READ_BLOCKS, DECKS = 8192, 64  # neighbouring blocks whose pieces are dealt to some groups to read
+COMPOSED_ROWS = 1024  # the series that begin in so many rows are composed together
 
 
 def arima_forecast(
@@ -65,8 +67,8 @@ def arima_forecast(
     blocks = stored(blocks.join(spans, KEY).filter("start <= trained"), "blocks")
     tails = rows.join(spans, KEY).filter(F.col("_row") > F.col("trained") - (p + d))
     state = stored(
-        tails.groupBy(*KEY).agg(ordered["close"].alias("tail")).withColumn(
-            "points", F.lit(None).cast("array<array<bigint>>")
+        tails.groupBy(*KEY, "first").agg(ordered["close"].alias("tail")).withColumn(
+            "points", F.lit(None).cast("binary")
         ),
         "search",
     )
@@ -93,18 +95,17 @@ PART = "block long, sums binary, errors binary, n long, total double"
 def _candidates(points, size: int) -> np.ndarray:
     if points is None:
         return first_points(size)
-    return np.array([list(x) for x in points], dtype=np.int64).reshape(len(points), size)
+    found = np.frombuffer(points, dtype=np.int64)
+    return found.reshape(-1, size) if size else np.zeros((1, 0), dtype=np.int64)
 
 
 def _read(blocks: DataFrame, state: DataFrame, p: int, d: int, q: int, block_rows: int) -> DataFrame:
     """A row a block: what it says of the candidates of its series."""
     symbol = blocks.schema[KEY[0]].dataType.simpleString()
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame = frame.iloc[np.argsort(frame["closes"].map(len).to_numpy())]
-            for low in range(0, len(frame), TOGETHER):
-                yield together(frame.iloc[low : low + TOGETHER])
+    def read(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.iloc[np.argsort(frame["closes"].map(len).to_numpy())]
+        return pd.concat([together(frame.iloc[low : low + TOGETHER]) for low in range(0, len(frame), TOGETHER)])
 
     def together(frame: pd.DataFrame) -> pd.DataFrame:
         sets = [_candidates(x, p + q) for x in frame["points"]]
@@ -141,7 +142,10 @@ def _read(blocks: DataFrame, state: DataFrame, p: int, d: int, q: int, block_row
         )
 
     given = blocks.withColumnRenamed("_block", "place").join(state.select(*KEY, "points"), KEY)
-    return spread(given, *KEY, "place").mapInPandas(read, f"{KEY[0]} {symbol}, {PART}")
+    deck = F.pmod(F.xxhash64(*KEY, "place"), F.lit(DECKS))
+    given = given.withColumns({"_span": F.floor(F.col("place") / READ_BLOCKS), "_deck": deck})
+    groups = spread(given, "_span", "_deck").groupBy("_span", "_deck")
+    return groups.applyInPandas(read, f"{KEY[0]} {symbol}, {PART}")
 
 
 def _gathered(read: DataFrame, longest: int, p: int, d: int, q: int) -> DataFrame:
@@ -153,20 +157,24 @@ def _gathered(read: DataFrame, longest: int, p: int, d: int, q: int) -> DataFram
     symbol = read.schema[KEY[0]].dataType.simpleString()
     readings = 1 + q + (d == 0)
 
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for row in frame.itertuples():
-                sums, errors = folded(_arrays(row.parts, readings, q), d == 0)
-                n, total = sum(x["n"] for x in row.parts), sum(x["total"] for x in row.parts)
-                rows.append((getattr(row, KEY[0]), row.block, sums.tobytes(), errors.tobytes(), n, total))
-            yield pd.DataFrame(rows, columns=[KEY[0], "block", "sums", "errors", "n", "total"])
+    def fold(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for row in frame.itertuples():
+            sums, errors = folded(_arrays(row.parts, readings, q), d == 0)
+            n, total = sum(x["n"] for x in row.parts), sum(x["total"] for x in row.parts)
+            rows.append((getattr(row, KEY[0]), row.block, sums.tobytes(), errors.tobytes(), n, total))
+        return pd.DataFrame(rows, columns=[KEY[0], "block", "sums", "errors", "n", "total"])
 
     part = F.array_sort(F.collect_list(F.struct("block", "sums", "errors", "n", "total"))).alias("parts")
+    decks = FOLD
     while longest > FOLD:
         groups = read.groupBy(*KEY, F.floor(F.col("block") / FOLD).alias("group")).agg(part)
-        read = groups.withColumnRenamed("group", "block").mapInPandas(fold, f"{KEY[0]} {symbol}, {PART}")
+        # A group number spans ever more short series, which are dealt to as many more decks.
+        deck = F.pmod(F.xxhash64(*KEY), F.lit(decks))
+        dealt = groups.withColumnRenamed("group", "block").groupBy("block", deck.alias("_deck"))
+        read = dealt.applyInPandas(fold, f"{KEY[0]} {symbol}, {PART}")
         longest = longest // FOLD + 2  # a series may begin and end within a group
+        decks *= FOLD
     return read.groupBy(*KEY).agg(part)
 
 
@@ -187,12 +195,11 @@ def _composed(
     symbol = state.schema[KEY[0]].dataType.simpleString()
     readings = 1 + q + (d == 0)
 
-    def compose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame(
-                [one(row) for row in frame.itertuples()],
-                columns=[KEY[0], "tail", "points", "actual", "pred", "failed", "converged"],
-            )
+    def compose(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(
+            [one(row) for row in frame.itertuples()],
+            columns=[KEY[0], "first", "tail", "points", "actual", "pred", "failed", "converged"],
+        )
 
     def one(row) -> tuple:
         points = _candidates(row.points, p + q)
@@ -208,8 +215,9 @@ def _composed(
         following = neighbours(best, spacing) if spacing else best
         return (
             getattr(row, KEY[0]),
+            row.first,
             row.tail,
-            [list(map(int, x)) for x in following],
+            following.tobytes(),
             tail[at],
             np.where(failed, tail[at - 1], pred),
             failed,
@@ -217,8 +225,9 @@ def _composed(
         )
 
     schema = (
-        f"{KEY[0]} {symbol}, tail array<double>, points array<array<bigint>>, actual array<double>, "
+        f"{KEY[0]} {symbol}, first long, tail array<double>, points binary, actual array<double>, "
         "pred array<double>, failed array<boolean>, converged array<boolean>"
     )
-    given = state.select(*KEY, "tail", "points").join(read, KEY)
-    return spread(given, *KEY).mapInPandas(compose, schema)
+    given = state.select(*KEY, "first", "tail", "points").join(read, KEY)
+    given = given.withColumn("_span", F.floor(F.col("first") / COMPOSED_ROWS))
+    return spread(given, "_span").groupBy("_span").applyInPandas(compose, schema)

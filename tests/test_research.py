@@ -325,6 +325,32 @@ def test_folded_blocks_forecast_alike(spark, monkeypatch, order):
     assert pieces.converged.tolist() == whole.converged.tolist()
 
 
+def test_arima_hands_python_groups_of_bounded_size(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame(
+        pd.concat([series_frame(f"s{i:03}", 100 + rng.normal(size=20).cumsum()) for i in range(400)])
+    )
+    sizes, plans, spread, stored = [], [], arima.spread, arima.stored
+
+    def seen_spread(given, *key):
+        sizes.append(given.groupBy(*key).count().agg({"count": "max"}).first()[0])
+        return spread(given, *key)
+
+    def seen_stored(df, label):
+        if label == "search":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(arima, "spread", seen_spread)
+    monkeypatch.setattr(arima, "stored", seen_stored)
+    got = arima_forecast(df, 10)
+    assert got.count() == 4000
+    # What MapInPandas gets at once follows the number of series in a partition.
+    assert all(" MapInPandas" not in plan for plan in plans)
+    assert sum("FlatMapGroupsInPandas" in plan for plan in plans) == 4
+    assert max(sizes) <= 1024 // 20 + 1
+
+
 def test_arima_predicts_better_than_naive_where_moves_persist(spark):
     closes = 100 + np.cumsum(moving(0.7, 0.2, 600, 3))
     rows = arima_forecast(spark.createDataFrame(series_frame("A", closes)), 60).toPandas()
