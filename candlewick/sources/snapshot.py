@@ -8,15 +8,18 @@ rewrites these and carries the names of all others over, and a reader of one sym
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.operators.keyed import merge_fresh_wins
-from candlewick.sources.storage import fresh_path
+from candlewick.operators.series import ROW_NUMBER_MASK
+from candlewick.sources.storage import stored
 
 # Natural key of each mart (fixed values).
 MART_KEYS = {
@@ -32,6 +35,8 @@ MANIFEST = "version bigint, mart string, files string, rows bigint"
 #: Rows of a file; bounds what an export rewrites for one fresh row.
 FILE_ROWS = 1 << 20
 SLICE = "_slice"
+#: Files of one export that are opened by their names.
+NAMED_FILES = 32
 
 
 def export_snapshot(
@@ -54,17 +59,14 @@ def export_snapshot(
         if mart not in current:
             lists[mart] = _written(fresh, f"{root}/marts/{mart}", natural, part, file_rows)
             continue
-        # Laid out like the mart, so that each of its files has a narrow range of its own.
-        staged = fresh_path(spark, "fresh")
-        boxes = _written(fresh, staged, natural, part, file_rows)
+        rows, boxes = _boxed(fresh, natural, part, file_rows)
         old = spark.read.parquet(current[mart].files)
-        touched = [row.path for row in _meeting(old, boxes, natural).collect()]
-        paths = [row.path for row in boxes.select("path").collect()]
-        rows = _read(spark, paths, fresh)
+        met = stored(_meeting(old, boxes, natural), "touched")
+        touched = [row.path for row in met.collect()]
         if touched:
-            rows = merge_fresh_wins(rows, _read(spark, touched, fresh), natural)
+            rows = merge_fresh_wins(rows, _read(spark, touched, fresh.schema), natural)
         new = _written(rows, f"{root}/marts/{mart}", natural, part, file_rows)
-        lists[mart] = old.filter(~F.col("path").isin(touched)).unionByName(new)
+        lists[mart] = old.join(met, "path", "left_anti").unionByName(new)
     return _commit(spark, root, lists, current).select("mart", "rows")
 
 
@@ -123,11 +125,61 @@ def _opened(spark: SparkSession, row, where: Sequence[Column] | None) -> DataFra
     paths = [r.path for r in chosen.select("path").collect()]
     if not paths:  # no file may hold such rows: any one tells the columns
         return spark.read.parquet(files.first().path).limit(0)
-    return spark.read.parquet(*paths)
+    return _read(spark, paths)
 
 
-def _read(spark: SparkSession, paths: Sequence[str], like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).parquet(*paths)
+def _read(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """The rows of files of a mart.
+
+    Spark looks up named files one by one, in a task each. Where many of an export's files are wanted it lists their
+    folder instead, and if that holds others too, as when later exports replaced some, takes the rows of the wanted.
+    """
+    schema = schema or spark.read.parquet(paths[0]).schema
+    groups = defaultdict(list)
+    for path in paths:
+        groups[path.rpartition(f"/{SLICE}=")[0]].append(path)
+    single, parts = [], []
+    for folder, wanted in groups.items():
+        found = None
+        if folder and len(wanted) > NAMED_FILES:
+            whole = spark.read.schema(T.StructType([*schema, T.StructField(SLICE, T.StringType())])).parquet(folder)
+            present = len(whole.inputFiles())
+            if present == len(wanted):
+                found = whole
+            elif present < 2 * len(wanted):
+                names = spark.createDataFrame([(path,) for path in wanted], "_path string")
+                found = whole.join(names, _file_path() == F.col("_path"), "left_semi")
+        if found is None:
+            single += wanted
+        else:
+            parts.append(found.select(*schema.names))
+    if single:
+        parts.append(spark.read.schema(schema).parquet(*single))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _boxed(df: DataFrame, keys: Sequence[str], part: str | None, file_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows, written once, and the ranges of the files that they would make, without making these."""
+    order = [SLICE, *keys]
+    number = F.monotonically_increasing_id()
+    # Sorting by range reads its input twice.
+    table = stored(
+        stored(df.withColumn(SLICE, F.expr(part or "'all'").cast("string")), "fresh")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumns({"_part": F.spark_partition_id(), "_box": F.floor(number.bitwiseAND(ROW_NUMBER_MASK) / file_rows)}),
+        "fresh",
+    )
+    boxes = table.groupBy("_part", "_box", SLICE).agg(*_ranges(keys))
+    return table.select(*df.columns), boxes
+
+
+def _file_path() -> Column:
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _ranges(keys: Sequence[str]) -> list[Column]:
+    return [pick(name).alias(f"{side}_{name}") for name in keys for side, pick in (("low", F.min), ("high", F.max))]
 
 
 def _written(df: DataFrame, folder: str, keys: Sequence[str], part: str | None, file_rows: int) -> DataFrame:
@@ -138,23 +190,20 @@ def _written(df: DataFrame, folder: str, keys: Sequence[str], part: str | None,
     spark, path = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
     order = [SLICE, *keys]
     (
-        df.withColumn(SLICE, F.expr(part or "'all'").cast("string"))
+        # Sorting by range reads its input twice.
+        stored(df.withColumn(SLICE, F.expr(part or "'all'").cast("string")), "mart")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.option("maxRecordsPerFile", file_rows)
         .partitionBy(SLICE)
         .parquet(f"{path}/data")
     )
-    ranges = [
-        pick(name).alias(f"{side}_{name}") for name in keys for side, pick in (("low", F.min), ("high", F.max))
-    ]
     schema = df.select("*", F.lit("").alias(SLICE)).schema
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lists = (
         spark.read.schema(schema)
         .parquet(f"{path}/data")
-        .groupBy(file.alias("path"), SLICE)
-        .agg(F.count("*").alias("rows"), *ranges)
+        .groupBy(_file_path().alias("path"), SLICE)
+        .agg(F.count("*").alias("rows"), *_ranges(keys))
     )
     lists.coalesce(1).write.parquet(f"{path}/files")
     listed = spark.read.schema(lists.schema).parquet(f"{path}/files")

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import statistics
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Row
@@ -15,6 +16,7 @@ from candlewick.operators.keyed import (
     top_n_per_key,
 )
 from candlewick.plans import models
+from candlewick.sources import snapshot
 from candlewick.sources.bucketed import write_bucketed
 from candlewick.sources.snapshot import export_snapshot, files_of, publish, read_mart, read_snapshot
 
@@ -216,6 +218,32 @@ def test_many_exports_equal_plain_merges(spark, tmp_path):
         assert sorted(map(str, got)) == sorted(str(Row(symbol=s, trade_date=d, close=v)) for s, d, v in want)
 
 
+def test_an_export_lists_folders_and_lays_fresh_rows_out_once(spark, tmp_path):
+    root, shared = str(tmp_path / "a+b c%20"), Path(spark.conf.get("spark.checkpoint.dir"))
+    export_snapshot({MART: history(spark)}, root, file_rows=20)
+    seen = set(shared.rglob("*.parquet"))
+    export_snapshot({MART: history(spark).withColumn("close", F.lit(-1.0))}, root, file_rows=20)
+    # The fresh rows are compared and merged from a few files, not from 120 small ones.
+    staged = [path for path in shared.rglob("*.parquet") if path not in seen and "fresh-" in str(path)]
+    assert 1 <= len(staged) < 30
+    whole = read_snapshot(spark, root)[MART]
+    assert len(whole.inputFiles()) >= 6 * 400 // 20
+    assert "InMemoryFileIndex(1 paths)" in whole._jdf.queryExecution().executedPlan().toString()
+    assert whole.count() == 6 * 400 and whole.filter("close = -1").count() == 6 * 400
+
+
+@pytest.mark.parametrize("day", [2, 10])
+def test_files_of_partly_replaced_exports_are_read_alone(spark, tmp_path, monkeypatch, day):
+    monkeypatch.setattr(snapshot, "NAMED_FILES", 1)
+    root, want = str(tmp_path / "a+b c%20"), history(spark, 3, 20)
+    export_snapshot({MART: want}, root, file_rows=25)
+    for turn, symbols in enumerate((2, 13, 20)):
+        fresh = keyed(spark, [(f"s{i:02}", dt.date(2025, 3, day), -float(turn)) for i in range(symbols)])
+        export_snapshot({MART: fresh}, root, file_rows=25)
+        want = merge_fresh_wins(fresh, want, ["symbol", "trade_date"])
+        assert sorted(read_snapshot(spark, root)[MART].collect()) == sorted(want.collect())
+
+
 def test_pages_open_only_files_of_their_symbol(spark, tmp_path):
     root, old = str(tmp_path), history(spark)
     publish({MART: old}, root, file_rows=50)
